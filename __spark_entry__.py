@@ -125,7 +125,8 @@ def sample_quota(spark, sf_dir):
 
 
 def _sample_actions(spark, sf_dir):
-    sample = sampling.sample_sessions(_kept(spark, sf_dir, TaskParams()), SAMPLE_SIZE)
+    kept = stage(_kept(spark, sf_dir, TaskParams()), "kept_sessions")
+    sample = sampling.sample_sessions(kept, SAMPLE_SIZE)
     return sampling.actions_of_few(_actions(spark, sf_dir), sample, SAMPLE_SIZE)
 
 
@@ -294,7 +295,7 @@ def ratio_half_up(spark, sf_dir):
     counted = _actions(spark, sf_dir).groupBy("user_id").agg(
         F.count("click_category_id").alias("clicks"), F.count(F.lit(1)).alias("actions")
     )
-    return counted.withColumn("rate", numbers.ratio(F.col("clicks"), F.col("actions")))
+    return counted.withColumn("rate", numbers.ratio("clicks", "actions"))
 
 
 def format_double(spark, sf_dir):

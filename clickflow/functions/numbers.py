@@ -4,13 +4,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def ratio(part: Column, total: Column) -> Column:
+def ratio(part: str, total: str) -> Column:
     """``part / total`` rounded half-up to two decimals in integer arithmetic.
 
-    A zero total gives 0.0.
+    Both are SQL text of integer values. A zero total gives 0.0.
     """
-    hundredths = F.call_function("div", part * 200 + total, total * 2)
-    return F.when(total == 0, F.lit(0.0)).otherwise(hundredths.cast("double") / 100)
+    return F.expr(
+        f"if(({total}) = 0, 0D, double((200 * ({part}) + ({total})) div (2 * ({total}))) / 100)"
+    )
 
 
 def _power_of_two(exponent: Column) -> Column:

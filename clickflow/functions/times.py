@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Text formats. The parse pattern also accepts one-digit parts.
-DATE_FORMAT = "yyyy-MM-dd"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 PARSE_FORMAT = "yyyy-M-d H:m:s"
 
@@ -22,11 +21,13 @@ def parse_time_strict(col: Column) -> Column:
 
 
 def format_date(col: Column) -> Column:
-    return F.date_format(col, DATE_FORMAT)
+    """``yyyy-MM-dd`` text; no zone is involved for wall-clock values."""
+    return col.cast("date").cast("string")
 
 
 def format_time(col: Column) -> Column:
-    return F.date_format(col, TIME_FORMAT)
+    """``yyyy-MM-dd HH:mm:ss`` text, fractions of a second cut off."""
+    return F.substring(col.cast("string"), 1, len(TIME_FORMAT))
 
 
 def before(first: Column, second: Column) -> Column:

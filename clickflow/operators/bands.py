@@ -3,7 +3,7 @@
 from dataclasses import dataclass
 from typing import Optional
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.functions.numbers import ratio
@@ -18,8 +18,11 @@ class Band:
     low: int
     high: Optional[int] = None
 
-    def holds(self, col: Column) -> Column:
-        return col >= self.low if self.high is None else col.between(self.low, self.high)
+    def holds(self, column: str) -> str:
+        """SQL test for a value inside the band."""
+        if self.high is None:
+            return f"{column} >= {self.low}"
+        return f"{column} BETWEEN {self.low} AND {self.high}"
 
 
 # Upper ends of the bands in seconds and in steps. The first band starts at 1,
@@ -38,14 +41,14 @@ STEP_BANDS = consecutive(STEP_LABELS, STEP_ENDS)
 
 
 def _counts(bands, column, prefix):
-    return [F.count_if(band.holds(F.col(column))).alias(prefix + band.label) for band in bands]
+    return [F.expr(f"count_if({band.holds(column)}) AS `{prefix}{band.label}`") for band in bands]
 
 
 def band_counts(sessions: DataFrame, bands, column: str) -> DataFrame:
     """(band, sessions), one row per band, empty bands included."""
     wide = sessions.agg(*_counts(bands, column, ""))
-    rows = [F.struct(F.lit(b.label).alias("band"), F.col(f"`{b.label}`").alias("sessions")) for b in bands]
-    return wide.select(F.inline(F.array(*rows)))
+    rows = ", ".join(f"'{band.label}', `{band.label}`" for band in bands)
+    return wide.selectExpr(f"stack({len(bands)}, {rows}) AS (band, sessions)")
 
 
 def visit_bands(sessions: DataFrame, bands=VISIT_BANDS) -> DataFrame:
@@ -64,9 +67,8 @@ def aggr_stat(sessions: DataFrame, task_id: int, visits=VISIT_BANDS, steps=STEP_
         *_counts(steps, "step_length", "step_length_"),
     )
     names = [f"visit_length_{b.label}" for b in visits] + [f"step_length_{b.label}" for b in steps]
-    total = F.col("session_count")
     return counted.select(
         F.lit(task_id).cast("bigint").alias("taskid"),
-        total,
-        *[ratio(F.col(name), total).alias(f"{name}_ratio") for name in names],
+        "session_count",
+        *[ratio(f"`{name}`", "session_count").alias(f"{name}_ratio") for name in names],
     )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from clickflow.functions.numbers import ratio
 from clickflow.operators.hotkeys import HOT_ROWS, hot_keys
+from clickflow.operators.staging import at_most, stage
 
 # Longest run of consecutive tiebreak values in one piece of a hot session.
 PIECE = 100_000
@@ -17,9 +18,8 @@ def page_steps(actions: DataFrame, tiebreak: str = None, hot_rows: int = HOT_ROW
     Actions are ordered by time and then by ``tiebreak``, a unique integer column, or by page
     where there is none. The last action of a session has no next page and counts under null.
 
-    A session with more than ``hot_rows`` actions is cut into pieces that follow its order: one
-    per second and run of tiebreak values. Pages are paired inside pieces, and the last page
-    of each piece with the first page of the next.
+    Sessions with more than ``hot_rows`` actions are looked for first. If there are any, they
+    are cut into pieces that follow their order, see ``_steps_in_pieces``.
     """
     if tiebreak is None:
         # Copies of an action differ in nothing that matters here: keep one with its count.
@@ -27,50 +27,67 @@ def page_steps(actions: DataFrame, tiebreak: str = None, hot_rows: int = HOT_ROW
             F.count(F.lit(1)).alias("copies")
         )
         order = ["action_time", "page_id"]
-        run = F.lit(0).cast("bigint")
     else:
         ordered = actions.select(
             "session_id", "action_time", "page_id", tiebreak, F.lit(1).cast("bigint").alias("copies")
         )
         order = ["action_time", tiebreak]
-        run = F.floor(F.col(tiebreak) / piece)
 
-    hot = hot_keys(actions, "session_id", hot_rows).withColumn("hot", F.lit(True))
-    second = F.unix_timestamp("action_time")
-    pieces = ordered.join(F.broadcast(hot), "session_id", "left").select(
-        *ordered.columns,
-        F.when(F.col("hot"), F.struct(second.alias("second"), run.alias("run"))).alias("piece"),
-    )
+    hot = stage(hot_keys(actions, "session_id", hot_rows), "hot_sessions")
+    if at_most(hot, 0):
+        paired = _paired(ordered, ["session_id"], order)
+        steps = paired.selectExpr(PAGE_PAIRS if tiebreak is None else ONE_PAIR).filter("n > 0")
+    else:
+        run = F.lit(0) if tiebreak is None else F.floor(F.col(tiebreak) / piece)
+        steps = _steps_in_pieces(ordered, order, hot, run.cast("bigint"))
+    return steps.groupBy("page_id", "next_page_id").agg(F.sum("n").alias("n"))
+
+
+# The step from an action, and the steps from its copies to one another, all on one page.
+ONE_PAIR = "inline(array(struct(page_id, next_page_id, 1L AS n)))"
+PAGE_PAIRS = """inline(array(
+    struct(page_id, next_page_id, 1L AS n), struct(page_id, page_id AS next_page_id, copies - 1 AS n)))"""
 
-    in_piece = W.partitionBy("session_id", "piece").orderBy(*order)
+
+def _paired(ordered, within, order):
+    """Each action with the next page; ``first`` and ``last`` mark the ends of its group."""
+    window = W.partitionBy(*within).orderBy(*order)
     present = F.lit(True)
-    paired = pieces.select(
-        "session_id",
-        "piece",
+    return ordered.select(
+        *within,
         "page_id",
         "copies",
-        F.lead("page_id").over(in_piece).alias("next_page_id"),
-        F.lag(present).over(in_piece).isNull().alias("first"),
-        F.lead(present).over(in_piece).isNull().alias("last"),
+        F.lead("page_id").over(window).alias("next_page_id"),
+        F.lag(present).over(window).isNull().alias("first"),
+        F.lead(present).over(window).isNull().alias("last"),
     )
+
+
+def _steps_in_pieces(ordered, order, hot, run):
+    """Page pairs with hot sessions cut into one piece per second and run of tiebreak values.
+
+    Pages are paired inside pieces, and the last page of each piece with the first page of
+    the next. ``hot`` is a short list, see ``hot_keys``.
+    """
+    flagged = ordered.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "session_id", "left")
+    place = F.struct(F.unix_timestamp("action_time").alias("second"), run.alias("run"))
+    pieces = flagged.withColumn("piece", F.when(F.col("hot"), place))
+    paired = _paired(pieces, ["session_id", "piece"], order)
+
     # Only the ends of a hot session's pieces keep their session; all else collapses to page pairs.
-    end = F.col("piece").isNotNull() & (F.col("first") | F.col("last"))
+    cut = F.col("piece").isNotNull()
+    end = cut & (F.col("first") | F.col("last"))
     collapsed = paired.groupBy(
         "page_id",
         "next_page_id",
         F.when(end, F.col("session_id")).alias("session_id"),
         F.when(end, F.col("piece")).alias("piece"),
-        (end & F.col("first")).alias("first"),
-        (end & F.col("last")).alias("last"),
-    ).agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.sum("copies") - F.count(F.lit(1))).alias("repeats"),
-    )
+        (cut & F.col("first")).alias("first"),
+        (cut & F.col("last")).alias("last"),
+    ).agg(F.count(F.lit(1)).alias("n"), (F.sum("copies") - F.count(F.lit(1))).alias("repeats"))
+    collapsed = stage(collapsed, "page_pairs")
 
     inside = collapsed.filter(~F.col("last")).select("page_id", "next_page_id", "n")
-    repeats = collapsed.filter(F.col("repeats") > 0).select(
-        "page_id", F.col("page_id").alias("next_page_id"), F.col("repeats").alias("n")
-    )
     in_session = W.partitionBy("session_id").orderBy("piece")
     across = (
         collapsed.filter(F.col("session_id").isNotNull())
@@ -81,12 +98,8 @@ def page_steps(actions: DataFrame, tiebreak: str = None, hot_rows: int = HOT_ROW
         )
         .select("page_id", F.lead("entry").over(in_session).alias("next_page_id"), F.lit(1).alias("n"))
     )
-    return (
-        inside.unionByName(repeats)
-        .unionByName(across)
-        .groupBy("page_id", "next_page_id")
-        .agg(F.sum("n").alias("n"))
-    )
+    repeats = collapsed.selectExpr("page_id", "page_id AS next_page_id", "repeats AS n")
+    return inside.unionByName(repeats.filter("n > 0")).unionByName(across)
 
 
 def page_slices(steps: DataFrame) -> DataFrame:
@@ -103,12 +116,8 @@ def _hops(flow):
 
 def page_flow_matches(steps: DataFrame, flow) -> DataFrame:
     """(slice, n): page pairs that are consecutive steps of the flow."""
-    matches = [(F.col("page_id") == a) & (F.col("next_page_id") == b) for a, b in _hops(flow)]
-    wanted = matches[0]
-    for match in matches[1:]:
-        wanted = wanted | match
-    name = F.concat_ws("_", F.col("page_id").cast("string"), F.col("next_page_id").cast("string"))
-    return page_slices(steps).filter(wanted).select(name.alias("slice"), "n")
+    wanted = " OR ".join(f"page_id = {a} AND next_page_id = {b}" for a, b in _hops(flow))
+    return steps.filter(wanted).selectExpr("concat(page_id, '_', next_page_id) AS slice", "n")
 
 
 def page_conversion(steps: DataFrame, flow) -> DataFrame:
@@ -117,20 +126,15 @@ def page_conversion(steps: DataFrame, flow) -> DataFrame:
     The first hop is measured against all views of the first page.
     """
     hops = _hops(flow)
-    page, following, n = F.col("page_id"), F.col("next_page_id"), F.col("n")
-
-    def total(condition, name):
-        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0)).alias(name)
-
-    wide = steps.filter(page.isin([a for a, _ in hops])).agg(
-        total(page == hops[0][0], "n0"),
-        *[total((page == a) & (following == b), f"n{i}") for i, (a, b) in enumerate(hops, 1)],
+    tests = [f"page_id = {hops[0][0]}"] + [f"page_id = {a} AND next_page_id = {b}" for a, b in hops]
+    wide = steps.filter(F.col("page_id").isin([a for a, _ in hops])).agg(
+        *[F.expr(f"coalesce(sum(if({test}, n, 0)), 0) AS n{i}") for i, test in enumerate(tests)]
     )
     rows = [
         F.struct(
             F.lit(f"{a}_{b}").alias("slice"),
             F.col(f"n{i}").alias("n"),
-            ratio(F.col(f"n{i}"), F.col(f"n{i - 1}")).alias("rate"),
+            ratio(f"n{i}", f"n{i - 1}").alias("rate"),
         )
         for i, (a, b) in enumerate(hops, 1)
     ]

@@ -5,7 +5,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickflow import schemas
-from clickflow.functions.times import format_date, format_time
+from clickflow.functions.times import date_hour, format_date, format_time
 from clickflow.operators.sessions import session_rollup
 
 DEFAULT_SIZE = 100
@@ -18,8 +18,8 @@ BROADCAST_IDS = 100_000
 
 def sessions_per_hour(sessions: DataFrame) -> DataFrame:
     """(date_hour, sessions) by the hour a session starts in."""
-    key = F.date_format("start_time", "yyyy-MM-dd_HH").alias("date_hour")
-    return sessions.groupBy(key).agg(F.count(F.lit(1)).alias("sessions"))
+    key = date_hour(format_time(F.col("start_time")))
+    return sessions.groupBy(key.alias("date_hour")).agg(F.count(F.lit(1)).alias("sessions"))
 
 
 def _hour_keys():
@@ -50,6 +50,7 @@ def sample_sessions(sessions: DataFrame, size: int = DEFAULT_SIZE, seed: int = D
     Sessions of an hour are taken in the order of a seeded hash. Instead of ranking a whole
     hour in one task, hashes are counted per prefix cell: cells below the quota are taken
     whole, cells above it not at all, and only the one across the quota is ranked.
+    ``sessions`` is read three times and should be staged.
     """
     key = F.md5(F.concat(F.col("session_id"), F.lit(str(seed))))
     keyed = sessions.select("*", *_hour_keys(), key.alias("key"))
@@ -64,6 +65,9 @@ def sample_sessions(sessions: DataFrame, size: int = DEFAULT_SIZE, seed: int = D
         .filter(F.col("open") > 0)
         .select("date", "hour", "cell", "open")
     )
+    # Every needed cell yields a session, so there are at most ``size`` of them.
+    if size <= BROADCAST_IDS:
+        needed = F.broadcast(needed)
     in_cell = W.partitionBy("date", "hour", "cell").orderBy("key", "session_id")
     return (
         keyed.join(needed, ["date", "hour", "cell"])
