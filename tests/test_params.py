@@ -1,0 +1,46 @@
+import datetime as dt
+import json
+
+import pytest
+
+from clickflow import schemas
+from clickflow.params import TaskParams, parse_task_param, task_id_from_args, task_params
+
+
+def tasks(spark, *params):
+    rows = [(i, "t", None, None, None, None, None, p) for i, p in enumerate(params, 1)]
+    return spark.createDataFrame(rows, schemas.TASK)
+
+
+def test_element_zero_of_every_array_counts(spark):
+    text = json.dumps(
+        {"startDate": ["2024-01-05", "2030-01-01"], "startAge": [20], "endAge": ["50"], "cities": ["a,b"], "sex": []}
+    )
+    assert task_params(tasks(spark, text), 1) == TaskParams(
+        start_date=dt.date(2024, 1, 5), start_age=20, end_age=50, cities=("a", "b")
+    )
+
+
+def test_missing_and_empty_parameters_are_not_set(spark):
+    assert task_params(tasks(spark, '{"sex":[""],"cities":[""]}'), 1) == TaskParams()
+
+
+def test_page_flow(spark):
+    assert task_params(tasks(spark, '{"targetPageFlow":["1,2,3"]}'), 1).page_flow == (1, 2, 3)
+
+
+def test_the_right_task_is_read(spark):
+    assert task_params(tasks(spark, '{"sex":["male"]}', '{"sex":["female"]}'), 2).sex == "female"
+    with pytest.raises(LookupError):
+        task_params(tasks(spark, "{}"), 5)
+
+
+def test_parse_keeps_the_task_columns(spark):
+    parsed = parse_task_param(tasks(spark, '{"sex":["male"]}'))
+    assert parsed.columns[: len(schemas.TASK.names)] == schemas.TASK.names
+    assert parsed.first()["sex"] == "male"
+
+
+@pytest.mark.parametrize("args, expected", [(["7"], 7), ([], None), (None, None), (["x"], None), ([None], None)])
+def test_task_id_from_args(args, expected):
+    assert task_id_from_args(args) == expected

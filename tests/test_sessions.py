@@ -1,0 +1,167 @@
+import datetime as dt
+
+import pytest
+from conftest import at
+
+from clickflow.operators import filters
+from clickflow.operators.sessions import (
+    actions_of,
+    attach_users,
+    kept_sessions,
+    session_measures,
+    session_rollup,
+    with_time_text,
+)
+from clickflow.params import TaskParams
+
+LITERAL = (
+    dict(page_id=7, time="2019-01-20 20:39:42", click_category_id=83, click_product_id=80),
+    dict(page_id=3, time="2019-01-20 20:50:07", click_category_id=74, click_product_id=70),
+    dict(page_id=5, time="2019-01-20 20:47:02", pay_category_ids="93", pay_product_ids="14"),
+    dict(page_id=5, time="2019-01-20 20:48:02", pay_category_ids="79", pay_product_ids="93"),
+    dict(page_id=2, time="2019-01-20 20:27:46", search_keyword="新辣道鱼火锅"),
+)
+
+
+def test_worked_sample_session(actions):
+    rows = [dict(session_id="3b90", user_id=19, **row) for row in LITERAL]
+    row = with_time_text(session_rollup(actions(*rows))).first()
+    assert row.asDict() == {
+        "session_id": "3b90",
+        "user_id": 19,
+        "search_keywords": "新辣道鱼火锅",
+        "click_category_ids": "74,83",
+        "visit_length": 1341,
+        "step_length": 5,
+        "start_time": "2019-01-20 20:27:46",
+    }
+
+
+def test_values_are_distinct_as_wholes_and_sorted(actions):
+    rows = [dict(session_id="s", time="2019-01-20 08:00:00", click_category_id=c) for c in (15, 1, 2, 15, None)]
+    rows += [dict(session_id="s", time="2019-01-20 08:00:01", search_keyword=k) for k in ("bb", "b", "bb", "", None)]
+    row = session_rollup(actions(*rows)).first()
+    assert row.click_category_ids == "1,2,15"
+    assert row.search_keywords == "b,bb"
+    assert (row.step_length, row.visit_length) == (10, 1)
+
+
+def test_null_click_is_no_click_and_category_zero_is_one(actions):
+    rows = [
+        dict(session_id="a", time="2019-01-20 08:00:00"),
+        dict(session_id="b", time="2019-01-20 08:00:00", click_category_id=0),
+    ]
+    found = {r.session_id: r.click_category_ids for r in session_rollup(actions(*rows)).collect()}
+    assert found == {"a": "", "b": "0"}
+
+
+def test_user_is_the_smallest_seen(actions):
+    rows = [dict(session_id="s", user_id=u, time="2019-01-20 08:00:00") for u in (9, 4, 6)]
+    assert session_rollup(actions(*rows)).first().user_id == 4
+    assert session_measures(actions(*rows)).first().user_id == 4
+
+
+def test_every_action_belongs_to_one_session(actions):
+    rows = [dict(session_id=f"s{i % 7}", time=f"2019-01-20 08:00:{i % 60:02d}", page_id=i) for i in range(100)]
+    rolled = session_rollup(actions(*rows))
+    assert rolled.count() == 7
+    assert sum(r.step_length for r in rolled.collect()) == 100
+
+
+def test_rollup_does_not_depend_on_partitions(actions):
+    rows = [
+        dict(session_id=f"s{i % 5}", user_id=i % 3, time=f"2019-01-20 08:00:{i % 60:02d}", click_category_id=i % 11)
+        for i in range(200)
+    ]
+    table = actions(*rows)
+    one, many = (
+        sorted(map(tuple, session_rollup(table.repartition(n)).collect())) for n in (1, 13)
+    )
+    assert one == many
+
+
+def test_unknown_users_drop_their_sessions(actions, users):
+    table = actions(
+        dict(session_id="a", user_id=1, time="2019-01-20 08:00:00"),
+        dict(session_id="b", user_id=2, time="2019-01-20 08:00:00"),
+    )
+    known = users(dict(user_id=1, age=30, professional="p", city="c", sex="male"))
+    assert [tuple(r)[-4:] for r in attach_users(session_rollup(table), known).collect()] == [(30, "p", "c", "male")]
+
+
+def test_date_range_includes_both_ends(actions):
+    table = actions(*[dict(session_id=d, time=f"2019-01-{d} 08:00:00") for d in ("04", "05", "06", "07")])
+
+    def kept(start, end):
+        params = TaskParams(start_date=start, end_date=end)
+        return sorted(r.session_id for r in filters.date_range(table, params).collect())
+
+    assert kept(dt.date(2019, 1, 5), dt.date(2019, 1, 6)) == ["05", "06"]
+    assert kept(None, dt.date(2019, 1, 5)) == ["04", "05"]
+    assert kept(dt.date(2019, 1, 7), None) == ["07"]
+    assert kept(None, None) == ["04", "05", "06", "07"]
+
+
+USERS = (
+    dict(user_id=1, age=20, professional="p1", city="c1", sex="male"),
+    dict(user_id=2, age=50, professional="p2", city="c2", sex="female"),
+    dict(user_id=3, age=51, professional=None, city="c1", sex="male"),
+    dict(user_id=4, age=None, professional="p1,p3", city=None, sex=None),
+)
+ACTIONS = (
+    dict(session_id="s1", user_id=1, time="2019-01-20 08:00:00", search_keyword="k1"),
+    dict(session_id="s1", user_id=1, time="2019-01-20 08:00:05", click_category_id=1),
+    dict(session_id="s2", user_id=2, time="2019-01-20 08:00:00", click_category_id=15),
+    dict(session_id="s3", user_id=3, time="2019-01-20 08:00:00", search_keyword="k2,k3"),
+    dict(session_id="s4", user_id=4, time="2019-01-20 08:00:00", click_category_id=2),
+)
+CASES = [
+    (TaskParams(), ["s1", "s2", "s3", "s4"]),
+    (TaskParams(start_age=20, end_age=50), ["s1", "s2"]),
+    (TaskParams(start_age=60), ["s1", "s2", "s3", "s4"]),
+    (TaskParams(end_age=10), ["s1", "s2", "s3", "s4"]),
+    (TaskParams(professionals=("p1", "x")), ["s1", "s4"]),
+    (TaskParams(professionals=("p3",)), ["s4"]),
+    (TaskParams(professionals=()), []),
+    (TaskParams(cities=("c1",)), ["s1", "s3"]),
+    (TaskParams(sex="male"), ["s1", "s3"]),
+    (TaskParams(keywords=("k1", "k3")), ["s1", "s3"]),
+    (TaskParams(keywords=("k",)), []),
+    (TaskParams(category_ids=("1", "2")), ["s1", "s4"]),
+    (TaskParams(category_ids=("01", "x")), []),
+    (TaskParams(category_ids=("5",), keywords=("k1",)), []),
+    (TaskParams(sex="male", keywords=("k1", "k2"), cities=("c1",)), ["s1", "s3"]),
+]
+
+
+@pytest.mark.parametrize("params, expected", CASES)
+def test_conditions_on_both_paths(actions, users, params, expected):
+    table, people = actions(*ACTIONS), users(*USERS)
+    lists = filters.filter_sessions(attach_users(session_rollup(table), people), params)
+    flags = kept_sessions(table, people, params)
+    assert sorted(r.session_id for r in lists.collect()) == expected
+    assert sorted(r.session_id for r in flags.collect()) == expected
+
+
+def test_kind_filters(actions):
+    table = actions(
+        dict(session_id="a", time="2019-01-20 08:00:00", click_category_id=0),
+        dict(session_id="b", time="2019-01-20 08:00:00", order_category_ids="1"),
+        dict(session_id="c", time="2019-01-20 08:00:00", pay_category_ids="1"),
+        dict(session_id="d", time="2019-01-20 08:00:00", order_category_ids="", pay_category_ids=""),
+    )
+    for function, expected in ((filters.clicks, "a"), (filters.orders, "b"), (filters.pays, "c")):
+        assert [r.session_id for r in function(table).collect()] == [expected]
+
+
+def test_actions_of_keeps_the_action_side(actions):
+    table = actions(*ACTIONS)
+    kept = session_measures(table).filter("session_id = 's1'")
+    found = actions_of(table, kept)
+    assert found.columns[0] == "session_id"
+    assert found.count() == 2
+
+
+def test_start_time_is_the_earliest(actions):
+    row = session_measures(actions(*ACTIONS)).filter("session_id = 's1'").first()
+    assert (row.start_time, row.visit_length, row.step_length) == (at("2019-01-20 08:00:00"), 5, 2)
