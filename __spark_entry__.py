@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import sys
-import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -24,7 +23,7 @@ from clickflow.operators.filters import (  # noqa: E402
     orders,
     pays,
 )
-from clickflow.operators.staging import shared_folder, stage  # noqa: E402
+from clickflow.operators.staging import fresh_path, stage  # noqa: E402
 from clickflow.params import TaskParams, task_id_from_args, task_params  # noqa: E402
 from clickflow.plans import jobs  # noqa: E402
 from clickflow.sinks import results  # noqa: E402
@@ -97,13 +96,34 @@ def filter_all(spark, sf_dir):
     return sessions.with_time_text(filter_sessions(_full(spark, sf_dir, DATES), SIX))
 
 
+def _tasks(spark, param):
+    row = (TASK_ID, "task", None, None, None, None, None, json.dumps(param))
+    return register_view(spark, [row], schemas.TASK, "task")
+
+
 def task_filter(spark, sf_dir):
-    row = (TASK_ID, "filter", None, None, None, None, None, json.dumps(TASK_JSON))
-    tasks = register_view(spark, [row], schemas.TASK, "task")
-    params = task_params(tasks, task_id_from_args([str(TASK_ID)]))
+    params = task_params(_tasks(spark, TASK_JSON), task_id_from_args([str(TASK_ID)]))
     return _kept(spark, sf_dir, params).select("session_id")
 
 
+def session_analysis(spark, sf_dir):
+    """The whole job, from the task's JSON to the written tables, as rows per table."""
+    names = ("startDate", "endDate", "startAge", "endAge", "professionals", "sex")
+    param = {name: TASK_JSON[name] for name in names}
+    param["targetPageFlow"] = [",".join(map(str, FLOW))]
+    paths = jobs.run_task(
+        spark,
+        [str(TASK_ID)],
+        _tasks(spark, param),
+        events.load_actions(spark, sf_dir),
+        events.load_users(spark, sf_dir),
+        fresh_path(spark, "results"),
+        tiebreak="event_id",
+        sample_size=SAMPLE_SIZE,
+    )
+    return results.row_counts({name: spark.read.parquet(path) for name, path in paths.items()})
+
+
 def visit_bands(spark, sf_dir):
     return bands.visit_bands(sessions.session_measures(_actions(spark, sf_dir)))
 
@@ -139,13 +159,18 @@ def session_detail(spark, sf_dir):
 
 
 def kept_session_actions(spark, sf_dir):
-    return _plain(sessions.actions_of(_actions(spark, sf_dir, WIDE), _kept(spark, sf_dir, WIDE)))
+    kept = stage(_kept(spark, sf_dir, WIDE), "kept_sessions")
+    return _plain(sessions.actions_of(_actions(spark, sf_dir, WIDE), kept))
 
 
 def _counts(spark, sf_dir, only=lambda actions: actions):
     return categories.kept_category_counts(only(_actions(spark, sf_dir, WIDE)), _kept(spark, sf_dir, WIDE))
 
 
+def category_touches(spark, sf_dir):
+    return categories.category_touches(_actions(spark, sf_dir))
+
+
 def categories_touched(spark, sf_dir):
     return categories.categories_touched(_counts(spark, sf_dir))
 
@@ -323,12 +348,8 @@ def view_roundtrip(spark, sf_dir):
     return _plain(actions_table(spark))
 
 
-def _folder(spark, name):
-    return f"{shared_folder(spark)}/clickflow/{name}-{uuid.uuid4().hex}"
-
-
 def _written(spark, name, df, schema):
-    path = _folder(spark, name)
+    path = fresh_path(spark, name)
     results.write_result(df, path, TASK_ID, jobs.TASK_KEYS[name])
     return results.read_result(spark, path, schema)
 
@@ -349,13 +370,13 @@ def sink_detail_roundtrip(spark, sf_dir):
 
 
 def sink_actions_roundtrip(spark, sf_dir):
-    path = _folder(spark, "user_visit_action")
+    path = fresh_path(spark, "user_visit_action")
     results.write_actions(_actions(spark, sf_dir).select(*schemas.USER_VISIT_ACTION.names), path)
     return _plain(results.read_result(spark, path, schemas.USER_VISIT_ACTION))
 
 
 def sink_users_roundtrip(spark, sf_dir):
-    path = _folder(spark, "user_info")
+    path = fresh_path(spark, "user_info")
     results.write_users(events.load_users(spark, sf_dir), path)
     return results.read_result(spark, path, schemas.USER_INFO)
 
@@ -372,6 +393,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         session_full,
         filter_all,
         task_filter,
+        session_analysis,
         visit_bands,
         step_bands,
         session_aggr_stat,
@@ -380,6 +402,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         session_random_extract,
         session_detail,
         kept_session_actions,
+        category_touches,
         categories_touched,
         category_clicks,
         category_orders,

@@ -9,6 +9,8 @@ from clickflow.functions.text import csv_to_ids, is_not_empty
 KINDS = ("click", "order", "pay")
 COUNTS = tuple(f"{kind}_count" for kind in KINDS)
 DEFAULT_TOP = 10
+# Largest list of category ids that is sent whole to every executor.
+BROADCAST_IDS = 100_000
 
 
 def category_touches(actions: DataFrame) -> DataFrame:
@@ -80,13 +82,14 @@ def top_categories(counts: DataFrame, k: int = DEFAULT_TOP) -> DataFrame:
 def top_category_sessions(counts: DataFrame, top: DataFrame, k: int = DEFAULT_TOP) -> DataFrame:
     """(category_id, session_id, click_count): each top category's k sessions with most clicks.
 
-    ``top`` holds as many rows as categories were asked for. The rank limit is applied in
-    every input partition before the shuffle.
+    ``top`` holds at most k categories. The rank limit is applied in every input partition
+    before the shuffle, up to Spark's limit of 1,000.
     """
+    wanted = top.select("category_id").limit(k)
     order = W.partitionBy("category_id").orderBy(F.desc("click_count"), "session_id")
     return (
         counts.filter(F.col("click_count") > 0)
-        .join(F.broadcast(top.select("category_id")), "category_id", "left_semi")
+        .join(F.broadcast(wanted) if k <= BROADCAST_IDS else wanted, "category_id", "left_semi")
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
         .select("category_id", "session_id", "click_count")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from clickflow import schemas
 from clickflow.functions.times import date_hour, format_date, format_time
 from clickflow.operators.sessions import session_rollup
+from clickflow.operators.staging import stage
 
 DEFAULT_SIZE = 100
 DEFAULT_SEED = 0
@@ -50,12 +51,13 @@ def sample_sessions(sessions: DataFrame, size: int = DEFAULT_SIZE, seed: int = D
     Sessions of an hour are taken in the order of a seeded hash. Instead of ranking a whole
     hour in one task, hashes are counted per prefix cell: cells below the quota are taken
     whole, cells above it not at all, and only the one across the quota is ranked.
-    ``sessions`` is read three times and should be staged.
+    ``sessions`` is read twice and should be staged.
     """
     key = F.md5(F.concat(F.col("session_id"), F.lit(str(seed))))
     keyed = sessions.select("*", *_hour_keys(), key.alias("key"))
     keyed = keyed.withColumn("cell", F.substring("key", 1, CELL_DIGITS))
     cells = keyed.groupBy("date", "hour", "cell").agg(F.count(F.lit(1)).alias("members"))
+    cells = stage(cells, "sample_cells")
     hours = cells.groupBy("date", "hour").agg(F.sum("members").alias("sessions"))
     quotas = _with_quota(hours, size).filter(F.col("quota") > 0)
     up_to = W.partitionBy("date", "hour").orderBy("cell")

@@ -98,5 +98,10 @@ def with_time_text(sessions: DataFrame) -> DataFrame:
 
 
 def actions_of(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Actions of the given sessions, any number of them."""
+    """Actions of the given sessions, any number of them.
+
+    ``sessions`` should be staged: its real size then decides between a broadcast and a
+    shuffle join, and Spark can split a session with very many actions at run time, which it
+    does not where the join sits directly on an aggregation.
+    """
     return actions.join(sessions.select("session_id"), "session_id", "left_semi")

@@ -6,11 +6,15 @@ later joins are planned on what is there.
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_run_folder = ContextVar("run_folder", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -28,12 +32,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder, or in the current run's folder."""
+    parent = _run_folder.get() or f"{shared_folder(spark)}/clickflow"
+    return f"{parent}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession):
+    """Tables staged inside the block share one folder, deleted when the block ends."""
+    path = fresh_path(spark, "run")
+    token = _run_folder.set(path)
+    try:
+        yield path
+    finally:
+        _run_folder.reset(token)
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under a fresh path and read back with its own schema."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/clickflow/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def at_most(df: DataFrame, rows: int) -> bool:

@@ -7,7 +7,7 @@ from clickflow import schemas
 from clickflow.operators import bands, categories, pageflow, sampling
 from clickflow.operators.filters import date_range
 from clickflow.operators.sessions import kept_sessions
-from clickflow.operators.staging import at_most, stage
+from clickflow.operators.staging import at_most, run_folder, stage
 from clickflow.params import TaskParams, task_id_from_args, task_params
 from clickflow.sinks.results import write_result
 
@@ -100,17 +100,18 @@ def run_task(
 ) -> dict:
     """Run the task named by ``args`` and write each result table under ``target``.
 
-    Returns the path of each table.
+    Returns the path of each table. Staged tables are deleted at the end.
     """
     task_id = task_id_from_args(args)
     if task_id is None:
         raise ValueError("the first argument must be a task id")
     params = task_params(tasks, task_id)
-    results = session_analysis(actions, users, params, task_id, **options)
-    if params.page_flow is not None:
-        results["page_conversion"] = page_conversion_analysis(actions, params, task_id, tiebreak)
     paths = {}
-    for name, df in results.items():
-        paths[name] = f"{target.rstrip('/')}/{name}"
-        write_result(df, paths[name], task_id, TASK_KEYS[name])
+    with run_folder(spark):
+        results = session_analysis(actions, users, params, task_id, **options)
+        if params.page_flow is not None:
+            results["page_conversion"] = page_conversion_analysis(actions, params, task_id, tiebreak)
+        for name, df in results.items():
+            paths[name] = f"{target.rstrip('/')}/{name}"
+            write_result(df, paths[name], task_id, TASK_KEYS[name])
     return paths

@@ -25,7 +25,7 @@ EVENT = (
 ACTION = (
     "date",
     "user_id",
-    "concat(user_id, '_', date_format(date, 'yyyyMMdd')) AS session_id",
+    "concat(user_id, '_', year(date) * 10000 + month(date) * 100 + day(date)) AS session_id",
     "k % 10 AS page_id",
     """CAST(date AS TIMESTAMP_NTZ) + make_dt_interval(
          0, CAST(user_id % 24 AS INT), 0, (hour(ts) * 3600 + minute(ts) * 60 + second(ts)) div 24)

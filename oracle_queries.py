@@ -120,17 +120,19 @@ keyed AS (
   FROM kept JOIN quotas ON date = strftime(start_time, '%Y-%m-%d') AND hour = hour(start_time)),
 chosen AS (SELECT * FROM keyed WHERE rank <= quota)
 """
-    touches = """, touches AS (
-  SELECT acts.session_id, kind, unnest(ids) AS category_id FROM (
-    SELECT session_id, 'click' AS kind, [click_category_id] AS ids FROM uva_kept WHERE click_category_id IS NOT NULL
+    def touched(condition):
+        return f""", source AS (SELECT * FROM acts WHERE {condition}), touches AS (
+  SELECT session_id, kind, unnest(ids) AS category_id FROM (
+    SELECT session_id, 'click' AS kind, [click_category_id] AS ids FROM source WHERE click_category_id IS NOT NULL
     UNION ALL SELECT session_id, 'order',
       list_transform(string_split(order_category_ids, ','), lambda x: CAST(x AS BIGINT))
-      FROM uva_kept WHERE order_category_ids <> ''
+      FROM source WHERE order_category_ids <> ''
     UNION ALL SELECT session_id, 'pay',
       list_transform(string_split(pay_category_ids, ','), lambda x: CAST(x AS BIGINT))
-      FROM uva_kept WHERE pay_category_ids <> '') AS acts)
+      FROM source WHERE pay_category_ids <> ''))
 """
-    touches = ", uva_kept AS (SELECT * FROM acts WHERE session_id IN (SELECT session_id FROM kept))" + touches
+
+    touches = touched("session_id IN (SELECT session_id FROM kept)")
 
     def category_count(kind):
         body = f"SELECT category_id, CAST(count(*) AS BIGINT) AS n FROM touches WHERE kind = '{kind}' GROUP BY category_id"
@@ -238,6 +240,18 @@ SELECT slice, CAST(n AS BIGINT) AS n, {_ratio("n", "base")} AS rate FROM based""
             f"SELECT {SESSION_COLUMNS}, {USER_COLUMNS} FROM kept", dates, f"{wide} AND {city} AND {keywords}"
         ),
         "task_filter": ids(f"{wide} AND {city} AND {keywords} AND {category}"),
+        "session_analysis": query(
+            ranked + chosen.replace("chosen AS", "sampled AS") + slices("event_id") + target
+            + """SELECT 'session_aggr_stat' AS "table", CAST(1 AS BIGINT) AS n
+UNION ALL SELECT 'session_random_extract', count(*) FROM sampled
+UNION ALL SELECT 'session_detail', count(*) FROM acts WHERE session_id IN (SELECT session_id FROM sampled)
+UNION ALL SELECT 'top10_category', count(*) FROM top
+UNION ALL SELECT 'top10_session', count(*) FROM active
+UNION ALL SELECT 'top10_session_detail', count(*) FROM acts WHERE session_id IN (SELECT session_id FROM active)
+UNION ALL SELECT 'page_conversion', count(*) FROM hops""",
+            dates,
+            wide,
+        ),
         "visit_bands": query(_bands(VISIT_LABELS, VISIT_EDGES, "visit_length")),
         "step_bands": query(_bands(STEP_LABELS, STEP_EDGES, "step_length")),
         "session_aggr_stat": stat,
@@ -253,6 +267,7 @@ SELECT slice, CAST(n AS BIGINT) AS n, {_ratio("n", "base")} AS rate FROM based""
         "kept_session_actions": query(
             f"SELECT {ACTION_COLUMNS} FROM acts WHERE session_id IN (SELECT session_id FROM kept)", dates, wide
         ),
+        "category_touches": query(touched("true") + "SELECT * FROM touches"),
         "categories_touched": query(touches + "SELECT DISTINCT category_id FROM touches", dates, wide),
         "category_clicks": category_count("click"),
         "category_orders": category_count("order"),

@@ -1,15 +1,17 @@
 import datetime as dt
 import json
+import pathlib
 import random
 from collections import Counter, defaultdict
 
 import pytest
 
-from clickflow import schemas
-from clickflow.operators import sampling
+from clickflow import main, schemas
+from clickflow.operators import sampling, staging
 from clickflow.params import TaskParams
 from clickflow.plans import jobs
 from clickflow.sinks.results import read_result
+from clickflow.sources import session
 
 SCHEMAS = {
     "session_aggr_stat": schemas.SESSION_AGGR_STAT,
@@ -155,3 +157,43 @@ def test_page_conversion_covers_all_sessions_of_the_dates(world):
     found = [tuple(r) for r in jobs.page_conversion_analysis(table, PARAMS, 7).collect()]
     assert [(f[0], f[1], f[2]) for f in found] == [(7, "0_1", hops[0, 1]), (7, "1_2", hops[1, 2])]
     assert found[0][3] == pytest.approx(hops[0, 1] / views, abs=0.0051)
+
+
+def test_staged_tables_of_a_run_are_deleted(spark):
+    with staging.run_folder(spark) as path:
+        staged = staging.stage(spark.range(3), "numbers")
+        assert staged.count() == 3
+        assert path.split(":")[-1] in staged.inputFiles()[0]
+        local = pathlib.Path(path.split(":")[-1])
+        assert local.exists()
+    assert not local.exists()
+
+
+def test_staged_tables_are_deleted_after_a_failure(spark):
+    with pytest.raises(RuntimeError):
+        with staging.run_folder(spark) as path:
+            staging.stage(spark.range(3), "numbers")
+            raise RuntimeError
+    assert not pathlib.Path(path.split(":")[-1]).exists()
+
+
+def test_command_line_runs_a_task_on_catalog_tables(spark, world, tmp_path):
+    _, _, table, users = world
+    table.createOrReplaceTempView("cli_actions")
+    users.createOrReplaceTempView("cli_users")
+    task_table(spark).createOrReplaceTempView("cli_tasks")
+    paths = main.main(
+        ["7", "--target", str(tmp_path), "--actions", "cli_actions", "--users", "cli_users", "--tasks", "cli_tasks"]
+    )
+    assert set(paths) == set(SCHEMAS)
+    assert read_result(spark, paths["session_aggr_stat"], schemas.SESSION_AGGR_STAT).first().taskid == 7
+
+
+def test_command_line_options():
+    args = main.parse_args(["3", "--target", "t", "--jdbc", "url=jdbc:x?a=b", "--jdbc", "user=u", "--hive"])
+    assert (args.task_id, args.hive, args.jdbc) == (3, True, ["url=jdbc:x?a=b", "user=u"])
+
+
+def test_session_settings(spark):
+    for key, value in session.SETTINGS.items():
+        assert spark.conf.get(key) == value

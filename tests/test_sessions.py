@@ -12,6 +12,7 @@ from clickflow.operators.sessions import (
     session_rollup,
     with_time_text,
 )
+from clickflow.operators.staging import stage
 from clickflow.params import TaskParams
 
 LITERAL = (
@@ -165,3 +166,56 @@ def test_actions_of_keeps_the_action_side(actions):
 def test_start_time_is_the_earliest(actions):
     row = session_measures(actions(*ACTIONS)).filter("session_id = 's1'").first()
     assert (row.start_time, row.visit_length, row.step_length) == (at("2019-01-20 08:00:00"), 5, 2)
+
+
+def skewed(spark, count=20_000):
+    """A third of the rows hold one key."""
+    return spark.range(0, count, 1, 8).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('s', id)) AS session_id",
+        "if(id % 3 = 0, 0L, id) AS user_id",
+        "timestamp_ntz'2024-01-01 08:00:00' AS start_time",
+        "sha2(string(id), 512) AS filler",
+    )
+
+
+@pytest.fixture
+def small_skew(spark):
+    """Thresholds scaled down so that the test data counts as skewed, and no broadcasts."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_user_is_split_at_run_time(spark, small_skew):
+    people = spark.range(20_000).selectExpr(
+        "id AS user_id", "1 AS age", "'p' AS professional", "'c' AS city", "'male' AS sex"
+    )
+    joined = attach_users(skewed(spark), people)
+    assert "skew=true" in final_plan(joined)
+    assert joined.count() == 20_000
+
+
+def test_a_hot_session_is_split_at_run_time(spark, small_skew):
+    table = skewed(spark)
+    kept = stage(table.select("session_id").distinct(), "kept_sessions")
+    joined = actions_of(table, kept)
+    assert "skew=true" in final_plan(joined)
+    assert joined.count() == 20_000
