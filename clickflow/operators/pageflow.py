@@ -1,5 +1,7 @@
 """Page-to-page steps inside sessions and conversion along a target flow."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -88,18 +90,46 @@ def _steps_in_pieces(ordered, order, hot, run):
     collapsed = stage(collapsed, "page_pairs")
 
     inside = collapsed.filter(~F.col("last")).select("page_id", "next_page_id", "n")
-    in_session = W.partitionBy("session_id").orderBy("piece")
-    across = (
+    repeats = collapsed.selectExpr("page_id", "page_id AS next_page_id", "repeats AS n")
+    ends = (
         collapsed.filter(F.col("session_id").isNotNull())
-        .groupBy("session_id", "piece")
+        .groupBy("session_id", "piece.second", "piece.run")
         .agg(
             F.max(F.when(F.col("first"), F.col("page_id"))).alias("entry"),
-            F.max(F.when(F.col("last"), F.col("page_id"))).alias("page_id"),
+            F.max(F.when(F.col("last"), F.col("page_id"))).alias("exit"),
         )
-        .select("page_id", F.lead("entry").over(in_session).alias("next_page_id"), F.lit(1).alias("n"))
     )
-    repeats = collapsed.selectExpr("page_id", "page_id AS next_page_id", "repeats AS n")
-    return inside.unionByName(repeats.filter("n > 0")).unionByName(across)
+    return inside.unionByName(repeats.filter("n > 0")).unionByName(_across(ends))
+
+
+def _across(ends):
+    """Steps from piece to piece, given each piece's first and last page.
+
+    Pieces are joined up within a second, seconds within an hour and hours within a session,
+    so that no task sees all pieces of a session.
+    """
+    levels = (
+        (["session_id", "second"], "run"),
+        (["session_id", "hour"], "second"),
+        (["session_id"], "hour"),
+    )
+    steps = []
+    for within, order in levels:
+        if "hour" in within:
+            ends = ends.withColumn("hour", F.call_function("div", F.col("second"), F.lit(3600)))
+        window = W.partitionBy(*within).orderBy(order)
+        linked = ends.select(
+            F.col("exit").alias("page_id"),
+            F.lead("entry").over(window).alias("next_page_id"),
+            F.lit(1).alias("n"),
+            F.lead(F.lit(True)).over(window).alias("linked"),
+        )
+        steps.append(linked.filter("linked").drop("linked"))
+        ends = ends.groupBy(*within).agg(
+            F.min_by("entry", order).alias("entry"), F.max_by("exit", order).alias("exit")
+        )
+    final = ends.selectExpr("exit AS page_id", "CAST(NULL AS BIGINT) AS next_page_id", "1 AS n")
+    return reduce(DataFrame.unionByName, steps, final)
 
 
 def page_slices(steps: DataFrame) -> DataFrame:

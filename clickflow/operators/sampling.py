@@ -27,22 +27,29 @@ def _hour_keys():
     return [format_date(F.col("start_time")).alias("date"), F.hour("start_time").alias("hour")]
 
 
-def _with_quota(hours: DataFrame, size: int) -> DataFrame:
-    """Adds ``quota`` to (date, hour, sessions): the day's equal share of ``size``, split by hour.
+def _with_quota(counted: DataFrame, count: str, size: int) -> DataFrame:
+    """Adds ``sessions`` of the (date, hour) and its ``quota`` to counts per date, hour or finer.
 
-    Works on at most 24 rows per calendar day.
+    Each day gets an equal share of ``size``, split over its hours by their sessions.
     """
-    days = hours.select(F.count_distinct("date")).scalar()
+    # One value per calendar day.
+    days = counted.select(F.size(F.collect_set("date"))).scalar()
     per_day = F.call_function("div", F.lit(size).cast("bigint"), days)
-    day_total = F.sum("sessions").over(W.partitionBy("date"))
-    share = F.col("sessions").cast("double") / day_total.cast("double") * per_day
-    return hours.withColumn("quota", F.least(F.floor(share), F.col("sessions")))
+    in_day = F.sum(count).over(W.partitionBy("date"))
+    in_hour = F.sum(count).over(W.partitionBy("date", "hour"))
+    share = F.col("sessions").cast("double") / F.col("in_day").cast("double") * per_day
+    return (
+        counted.withColumn("in_day", in_day)
+        .withColumn("sessions", in_hour)
+        .withColumn("quota", F.least(F.floor(share), F.col("sessions")))
+        .drop("in_day")
+    )
 
 
 def sample_quota(sessions: DataFrame, size: int = DEFAULT_SIZE) -> DataFrame:
     """(date, hour, sessions, quota)."""
-    hours = sessions.groupBy(*_hour_keys()).agg(F.count(F.lit(1)).alias("sessions"))
-    return _with_quota(hours, size)
+    hours = sessions.groupBy(*_hour_keys()).agg(F.count(F.lit(1)).alias("members"))
+    return _with_quota(hours, "members", size).drop("members")
 
 
 def sample_sessions(sessions: DataFrame, size: int = DEFAULT_SIZE, seed: int = DEFAULT_SEED) -> DataFrame:
@@ -58,12 +65,11 @@ def sample_sessions(sessions: DataFrame, size: int = DEFAULT_SIZE, seed: int = D
     keyed = keyed.withColumn("cell", F.substring("key", 1, CELL_DIGITS))
     cells = keyed.groupBy("date", "hour", "cell").agg(F.count(F.lit(1)).alias("members"))
     cells = stage(cells, "sample_cells")
-    hours = cells.groupBy("date", "hour").agg(F.sum("members").alias("sessions"))
-    quotas = _with_quota(hours, size).filter(F.col("quota") > 0)
     up_to = W.partitionBy("date", "hour").orderBy("cell")
+    before = F.sum("members").over(up_to) - F.col("members")
     needed = (
-        cells.join(quotas.select("date", "hour", "quota"), ["date", "hour"])
-        .withColumn("open", F.col("quota") - (F.sum("members").over(up_to) - F.col("members")))
+        _with_quota(cells, "members", size)
+        .withColumn("open", F.col("quota") - before)
         .filter(F.col("open") > 0)
         .select("date", "hour", "cell", "open")
     )
@@ -85,7 +91,7 @@ def actions_of_few(actions: DataFrame, sessions: DataFrame, bound: int) -> DataF
     A short list goes to every executor and the actions are not shuffled; a longer one is
     joined like any other table.
     """
-    ids = sessions.select("session_id").distinct()
+    ids = sessions.select("session_id")
     if bound <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     return actions.join(ids, "session_id", "left_semi")

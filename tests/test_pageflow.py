@@ -54,6 +54,18 @@ def test_steps_match_brute_force_however_sessions_are_cut(spark, hot_rows, piece
     assert found == brute_force(rows, by_event)
 
 
+@pytest.mark.parametrize("piece", [1, 50])
+def test_pieces_are_joined_up_over_seconds_hours_and_days(spark, piece):
+    random.seed(5)
+    rows = [
+        ("busy", random.randint(0, 5), dt.datetime(2024, 1, random.randint(1, 3), random.randint(0, 23), 0, second), i)
+        for i in range(500)
+        for second in (random.randint(0, 2),)
+    ]
+    found = steps_of(spark, rows, tiebreak="event_id", hot_rows=100, piece=piece)
+    assert found == brute_force(rows, by_event)
+
+
 @pytest.mark.parametrize("hot_rows", [10**9, 50, 0])
 def test_steps_without_tiebreak_go_by_page(spark, hot_rows):
     rows = random_rows(2)
