@@ -132,6 +132,10 @@ def step_bands(spark, sf_dir):
     return bands.step_bands(sessions.session_measures(_actions(spark, sf_dir)))
 
 
+def band_counters(spark, sf_dir):
+    return bands.counters(_kept(spark, sf_dir, WIDE))
+
+
 def session_aggr_stat(spark, sf_dir):
     return jobs.band_statistics(_kept(spark, sf_dir, WIDE), TASK_ID)
 
@@ -396,6 +400,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         session_analysis,
         visit_bands,
         step_bands,
+        band_counters,
         session_aggr_stat,
         sessions_per_hour,
         sample_quota,

@@ -44,11 +44,16 @@ def _counts(bands, column, prefix):
     return [F.expr(f"count_if({band.holds(column)}) AS `{prefix}{band.label}`") for band in bands]
 
 
+def _rows(wide, names, columns):
+    """One row per column of a single wide row."""
+    pairs = ", ".join(f"'{name}', `{name}`" for name in names)
+    return wide.selectExpr(f"stack({len(names)}, {pairs}) AS ({columns})")
+
+
 def band_counts(sessions: DataFrame, bands, column: str) -> DataFrame:
     """(band, sessions), one row per band, empty bands included."""
     wide = sessions.agg(*_counts(bands, column, ""))
-    rows = ", ".join(f"'{band.label}', `{band.label}`" for band in bands)
-    return wide.selectExpr(f"stack({len(bands)}, {rows}) AS (band, sessions)")
+    return _rows(wide, [band.label for band in bands], "band, sessions")
 
 
 def visit_bands(sessions: DataFrame, bands=VISIT_BANDS) -> DataFrame:
@@ -59,6 +64,16 @@ def step_bands(sessions: DataFrame, bands=STEP_BANDS) -> DataFrame:
     return band_counts(sessions, bands, "step_length")
 
 
+def counters(sessions: DataFrame, visits=VISIT_BANDS, steps=STEP_BANDS) -> DataFrame:
+    """(counter, value): the number of sessions and of every band, zeros included."""
+    wide = sessions.agg(
+        F.count(F.lit(1)).alias("session_count"),
+        *_counts(visits, "visit_length", ""),
+        *_counts(steps, "step_length", ""),
+    )
+    return _rows(wide, ["session_count", *(band.label for band in (*visits, *steps))], "counter, value")
+
+
 def aggr_stat(sessions: DataFrame, task_id: int, visits=VISIT_BANDS, steps=STEP_BANDS) -> DataFrame:
     """One row: the number of sessions and each band's share of them, two decimals."""
     counted = sessions.agg(

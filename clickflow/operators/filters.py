@@ -1,5 +1,6 @@
 """Date range on actions and the task's conditions on sessions."""
 
+import re
 from functools import reduce
 from operator import and_
 
@@ -40,8 +41,7 @@ def searched_any(params: TaskParams) -> Column:
 
 def clicked_any(params: TaskParams) -> Column:
     """Action-level test: this action clicked one of the task's categories."""
-    ids = [int(text) for text in params.category_ids if text.isascii() and text.isdigit()]
-    ids = [number for number in ids if str(number) in params.category_ids]
+    ids = [int(text) for text in params.category_ids if re.fullmatch("0|-?[1-9][0-9]*", text)]
     return F.col("click_category_id").isin(ids) if ids else F.lit(False)
 
 

@@ -58,9 +58,9 @@ def _held(column, edge):
     return f"{column} >= {low}" if high is None else f"{column} BETWEEN {low} AND {high}"
 
 
-def _bands(labels, edges, column):
+def _bands(labels, edges, column, source="rolled", name="band", value="sessions"):
     return "\nUNION ALL ".join(
-        f"SELECT '{label}' AS band, CAST(count(*) FILTER (WHERE {_held(column, edge)}) AS BIGINT) AS sessions FROM rolled"
+        f"SELECT '{label}' AS {name}, CAST(count(*) FILTER (WHERE {_held(column, edge)}) AS BIGINT) AS {value} FROM {source}"
         for label, edge in zip(labels, edges, strict=True)
     )
 
@@ -254,6 +254,14 @@ UNION ALL SELECT 'page_conversion', count(*) FROM hops""",
         ),
         "visit_bands": query(_bands(VISIT_LABELS, VISIT_EDGES, "visit_length")),
         "step_bands": query(_bands(STEP_LABELS, STEP_EDGES, "step_length")),
+        "band_counters": query(
+            "SELECT 'session_count' AS counter, CAST(count(*) AS BIGINT) AS value FROM kept\nUNION ALL "
+            + _bands(VISIT_LABELS, VISIT_EDGES, "visit_length", "kept", "counter", "value")
+            + "\nUNION ALL "
+            + _bands(STEP_LABELS, STEP_EDGES, "step_length", "kept", "counter", "value"),
+            dates,
+            wide,
+        ),
         "session_aggr_stat": stat,
         "sink_roundtrip": stat,
         "sessions_per_hour": query(

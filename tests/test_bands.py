@@ -36,6 +36,12 @@ def test_empty_bands_are_shown(measured):
     assert sum(r.sessions for r in found) == 1
 
 
+def test_counters_show_zeros(measured):
+    found = {r.counter: r.value for r in bands.counters(measured([5], steps=(2, 2))).collect()}
+    assert len(found) == 16
+    assert {name: n for name, n in found.items() if n} == {"session_count": 3, "4s_6s": 1, "1_3": 2}
+
+
 def test_bands_are_a_parameter(measured):
     own = (bands.Band("low", 0, 9), bands.Band("high", 10))
     found = bands.visit_bands(measured([0, 9, 10, 99], steps=()), own)

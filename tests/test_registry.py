@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF_DIR = "/root/testdata/sf0.001"
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
@@ -36,9 +37,10 @@ def test_query_matches_sql(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
     result = duck.execute(ORACLES[name])
     columns = [column[0] for column in result.description]
+    kinds = {column[0]: TYPES[str(column[1])] for column in result.description}
     expected = result.fetchall()
     assert sorted(df.columns) == sorted(columns)
-    assert {kind for _, kind in df.dtypes} <= {"bigint", "int", "double", "string"}
+    assert dict(df.dtypes) == kinds
     assert normal(df.collect(), df.columns) == normal(expected, columns)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for slow in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):

@@ -129,7 +129,7 @@ CASES = [
     (TaskParams(keywords=("k1", "k3")), ["s1", "s3"]),
     (TaskParams(keywords=("k",)), []),
     (TaskParams(category_ids=("1", "2")), ["s1", "s4"]),
-    (TaskParams(category_ids=("01", "x")), []),
+    (TaskParams(category_ids=("01", "x", "-", "-0")), []),
     (TaskParams(category_ids=("5",), keywords=("k1",)), []),
     (TaskParams(sex="male", keywords=("k1", "k2"), cities=("c1",)), ["s1", "s3"]),
 ]
