@@ -23,59 +23,46 @@ def page_steps(actions: DataFrame, tiebreak: str = None, hot_rows: int = HOT_ROW
     Sessions with more than ``hot_rows`` actions are looked for first. If there are any, they
     are cut into pieces that follow their order, see ``_steps_in_pieces``.
     """
-    if tiebreak is None:
-        # Copies of an action differ in nothing that matters here: keep one with its count.
-        ordered = actions.groupBy("session_id", "action_time", "page_id").agg(
-            F.count(F.lit(1)).alias("copies")
-        )
-        order = ["action_time", "page_id"]
-    else:
-        ordered = actions.select(
-            "session_id", "action_time", "page_id", tiebreak, F.lit(1).cast("bigint").alias("copies")
-        )
-        order = ["action_time", tiebreak]
-
     hot = stage(hot_keys(actions, "session_id", hot_rows), "hot_sessions")
     if at_most(hot, 0):
-        paired = _paired(ordered, ["session_id"], order)
-        steps = paired.selectExpr(PAGE_PAIRS if tiebreak is None else ONE_PAIR).filter("n > 0")
+        order = W.partitionBy("session_id").orderBy("action_time", tiebreak or "page_id")
+        next_page = F.lead("page_id").over(order).alias("next_page_id")
+        steps = actions.select("page_id", next_page, F.lit(1).alias("n"))
     else:
-        run = F.lit(0) if tiebreak is None else F.floor(F.col(tiebreak) / piece)
-        steps = _steps_in_pieces(ordered, order, hot, run.cast("bigint"))
+        steps = _steps_in_pieces(actions, tiebreak, hot, piece)
     return steps.groupBy("page_id", "next_page_id").agg(F.sum("n").alias("n"))
 
 
-# The step from an action, and the steps from its copies to one another, all on one page.
-ONE_PAIR = "inline(array(struct(page_id, next_page_id, 1L AS n)))"
-PAGE_PAIRS = """inline(array(
-    struct(page_id, next_page_id, 1L AS n), struct(page_id, page_id AS next_page_id, copies - 1 AS n)))"""
+def _steps_in_pieces(actions, tiebreak, hot, piece):
+    """Page pairs with hot sessions cut into one piece per time and run of tiebreak values.
 
+    Pages are paired inside pieces, and the last page of each piece with the first page of
+    the next. ``hot`` is a short list, see ``hot_keys``.
+    """
+    if tiebreak is None:
+        # Copies of an action differ in nothing that matters here: keep one with its count.
+        ordered = actions.groupBy("session_id", "action_time", "page_id").agg(
+            F.count(F.lit(1)).alias("copies")
+        )
+        run = "0L"
+    else:
+        ordered = actions.select("session_id", "action_time", "page_id", tiebreak, F.lit(1).alias("copies"))
+        run = f"`{tiebreak}` div {piece}"
+    flagged = ordered.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "session_id", "left")
+    place = f"if(hot, named_struct('time', action_time, 'run', {run}), NULL)"
+    pieces = flagged.withColumn("piece", F.expr(place))
 
-def _paired(ordered, within, order):
-    """Each action with the next page; ``first`` and ``last`` mark the ends of its group."""
-    window = W.partitionBy(*within).orderBy(*order)
+    window = W.partitionBy("session_id", "piece").orderBy("action_time", tiebreak or "page_id")
     present = F.lit(True)
-    return ordered.select(
-        *within,
+    paired = pieces.select(
+        "session_id",
+        "piece",
         "page_id",
         "copies",
         F.lead("page_id").over(window).alias("next_page_id"),
         F.lag(present).over(window).isNull().alias("first"),
         F.lead(present).over(window).isNull().alias("last"),
     )
-
-
-def _steps_in_pieces(ordered, order, hot, run):
-    """Page pairs with hot sessions cut into one piece per second and run of tiebreak values.
-
-    Pages are paired inside pieces, and the last page of each piece with the first page of
-    the next. ``hot`` is a short list, see ``hot_keys``.
-    """
-    flagged = ordered.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "session_id", "left")
-    place = F.struct(F.unix_timestamp("action_time").alias("second"), run.alias("run"))
-    pieces = flagged.withColumn("piece", F.when(F.col("hot"), place))
-    paired = _paired(pieces, ["session_id", "piece"], order)
-
     # Only the ends of a hot session's pieces keep their session; all else collapses to page pairs.
     cut = F.col("piece").isNotNull()
     end = cut & (F.col("first") | F.col("last"))
@@ -93,7 +80,7 @@ def _steps_in_pieces(ordered, order, hot, run):
     repeats = collapsed.selectExpr("page_id", "page_id AS next_page_id", "repeats AS n")
     ends = (
         collapsed.filter(F.col("session_id").isNotNull())
-        .groupBy("session_id", "piece.second", "piece.run")
+        .groupBy("session_id", "piece")
         .agg(
             F.max(F.when(F.col("first"), F.col("page_id"))).alias("entry"),
             F.max(F.when(F.col("last"), F.col("page_id"))).alias("exit"),
@@ -109,14 +96,14 @@ def _across(ends):
     so that no task sees all pieces of a session.
     """
     levels = (
-        (["session_id", "second"], "run"),
+        (["session_id", "hour", "second"], "piece"),
         (["session_id", "hour"], "second"),
         (["session_id"], "hour"),
     )
+    ends = ends.withColumn("second", F.unix_timestamp("piece.time"))
+    ends = ends.withColumn("hour", F.floor(F.col("second") / 3600))
     steps = []
     for within, order in levels:
-        if "hour" in within:
-            ends = ends.withColumn("hour", F.call_function("div", F.col("second"), F.lit(3600)))
         window = W.partitionBy(*within).orderBy(order)
         linked = ends.select(
             F.col("exit").alias("page_id"),

@@ -17,17 +17,16 @@ _run_folder = ContextVar("run_folder", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir`` or set as checkpoint folder.
 
     Only a local session, as in tests, falls back to a temporary folder.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if folder is None:
-        context = spark.sparkContext
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="clickflow-"))
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="clickflow-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
 

@@ -66,6 +66,18 @@ def test_pieces_are_joined_up_over_seconds_hours_and_days(spark, piece):
     assert found == brute_force(rows, by_event)
 
 
+@pytest.mark.parametrize("hot_rows", [10**9, 20])
+def test_fractions_of_a_second_count_before_the_tiebreak(spark, hot_rows):
+    random.seed(8)
+    start = dt.datetime(2024, 1, 1, 8)
+    rows = [
+        ("busy", random.randint(0, 5), start + dt.timedelta(milliseconds=random.randint(0, 40) * 100), i)
+        for i in range(400)
+    ]
+    found = steps_of(spark, rows, tiebreak="event_id", hot_rows=hot_rows, piece=30)
+    assert found == brute_force(rows, by_event)
+
+
 @pytest.mark.parametrize("hot_rows", [10**9, 50, 0])
 def test_steps_without_tiebreak_go_by_page(spark, hot_rows):
     rows = random_rows(2)

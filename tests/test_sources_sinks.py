@@ -135,6 +135,10 @@ class RemoteSession:
     class sparkContext:
         master = "spark://host:7077"
 
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
 
 def test_a_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(ValueError, match="shared"):
