@@ -397,7 +397,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         session_full,
         filter_all,
         task_filter,
-        session_analysis,
         visit_bands,
         step_bands,
         band_counters,
@@ -435,6 +434,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         sink_detail_roundtrip,
         sink_actions_roundtrip,
         sink_users_roundtrip,
+        session_analysis,
     ]
     found = {function.__name__: function for function in named}
     found["filter_age"] = _filter_query(start_age=ALL.start_age, end_age=ALL.end_age)

@@ -18,11 +18,16 @@ def page_steps(actions: DataFrame, tiebreak: str = None, hot_rows: int = HOT_ROW
     """(page_id, next_page_id, n): how often a page is followed by another in a session.
 
     Actions are ordered by time and then by ``tiebreak``, a unique integer column, or by page
-    where there is none. The last action of a session has no next page and counts under null.
+    where there is none. The last action of a session has no next page and counts under null,
+    as does an action outside any session.
 
     Sessions with more than ``hot_rows`` actions are looked for first. If there are any, they
     are cut into pieces that follow their order, see ``_steps_in_pieces``.
     """
+    outside = actions.filter("session_id IS NULL").selectExpr(
+        "page_id", "CAST(NULL AS BIGINT) AS next_page_id", "1 AS n"
+    )
+    actions = actions.filter("session_id IS NOT NULL")
     hot = stage(hot_keys(actions, "session_id", hot_rows), "hot_sessions")
     if at_most(hot, 0):
         order = W.partitionBy("session_id").orderBy("action_time", tiebreak or "page_id")
@@ -30,6 +35,7 @@ def page_steps(actions: DataFrame, tiebreak: str = None, hot_rows: int = HOT_ROW
         steps = actions.select("page_id", next_page, F.lit(1).alias("n"))
     else:
         steps = _steps_in_pieces(actions, tiebreak, hot, piece)
+    steps = steps.unionByName(outside)
     return steps.groupBy("page_id", "next_page_id").agg(F.sum("n").alias("n"))
 
 

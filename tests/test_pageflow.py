@@ -91,6 +91,14 @@ def test_copies_of_one_action(spark, hot_rows):
     assert steps_of(spark, rows, hot_rows=hot_rows) == {(4, 4): 499, (4, 5): 1, (5, None): 1, (4, None): 1}
 
 
+@pytest.mark.parametrize("hot_rows", [10**9, 2])
+def test_actions_outside_a_session_have_no_next_page(spark, hot_rows):
+    time = dt.datetime(2024, 1, 1, 8)
+    rows = [(None, 1, time, i) for i in range(5)] + [("s", 1, time, 6), ("s", 2, time, 7), ("s", 3, time, 8)]
+    found = steps_of(spark, rows, tiebreak="event_id", hot_rows=hot_rows)
+    assert found == {(1, None): 5, (1, 2): 1, (2, 3): 1, (3, None): 1}
+
+
 def test_hot_keys_are_the_largest_within_the_limit(spark):
     table = spark.createDataFrame([(k,) for k in "aaaabbbccd"], "k string")
     assert [r.k for r in hot_keys(table, "k", rows=1).orderBy("k").collect()] == ["a", "b", "c"]
