@@ -30,6 +30,16 @@ from clickflow.sinks import results  # noqa: E402
 from clickflow.sources import events  # noqa: E402
 from clickflow.sources.catalog import actions_table, register_view  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from clickflow.llm import queries as llm_queries
+    from clickflow.llm import sql as llm_sql
+except ModuleNotFoundError as missing:
+    # The subpackage is optional; anything else that is missing is a fault.
+    if missing.name not in ("corpus_pipeline", "clickflow.llm"):
+        raise
+    corpus_pipeline = llm_queries = llm_sql = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 TASK_ID = 1
 SAMPLE_SIZE = 3000
@@ -442,8 +452,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found["filter_sex"] = _filter_query(sex=ALL.sex)
     found["filter_keywords"] = _filter_query(keywords=ALL.keywords)
     found["filter_categories"] = _filter_query(category_ids=ALL.category_ids)
+    if llm_queries is not None:
+        found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
     return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.build(TASK_JSON, TASK_ID, SAMPLE_SIZE, sampling.DEFAULT_SEED, FLOW)
+    found = oracle_queries.build(TASK_JSON, TASK_ID, SAMPLE_SIZE, sampling.DEFAULT_SEED, FLOW)
+    if llm_sql is not None:
+        found |= llm_sql.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
