@@ -3,7 +3,17 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm import chat, line_dedup, packing, quality, secret_scan, topk, url_filters
+from clickflow.llm import (
+    chat,
+    line_dedup,
+    ngram_join,
+    packing,
+    quality,
+    secret_scan,
+    suffix_dedup,
+    topk,
+    url_filters,
+)
 from clickflow.llm.common import read_table, ship
 
 
@@ -37,6 +47,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "source", F.col("__removed").alias("n_removed"), "text")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     kinds = "conv_id long, turn long, role string, text string"
@@ -62,6 +76,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_measures(read_table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def _shipping(function):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -76,8 +94,10 @@ def queries() -> dict:
         op3_packing,
         op4_secret_scan,
         op5_line_dedup,
+        op6_ngram_join,
         op7_chat_format,
         op8_url_filter,
         op9_quality_rules,
+        op10_suffix_dedup,
     )
     return {function.__name__: _shipping(function) for function in named}
