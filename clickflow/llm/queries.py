@@ -8,6 +8,7 @@ from clickflow.llm import (
     line_dedup,
     ngram_join,
     packing,
+    pieces,
     quality,
     secret_scan,
     suffix_dedup,
@@ -21,6 +22,10 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(read_table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
@@ -91,6 +96,7 @@ def _shipping(function):
 def queries() -> dict:
     named = (
         op1_topk_search,
+        op2_sentencepiece,
         op3_packing,
         op4_secret_scan,
         op5_line_dedup,
