@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickflow.llm.common import parts_for, small_side
 
@@ -263,7 +264,7 @@ def decode(df: DataFrame, ids: str = "ids", text: str = "text", model: str = MOD
 
     Control ids are silent; ids outside the table fail the job.
     """
-    schema = df.schema.add(text, "string")
+    schema = T.StructType([*df.schema.fields, T.StructField(text, T.StringType())])
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelled = _model(model)[2]

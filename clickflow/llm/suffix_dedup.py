@@ -24,8 +24,8 @@ GRAM = 20
 GRAMS = LENGTH - GRAM + 1
 BLOCK = 1 << 20
 # Anchors held before a task merges equal surroundings and sends the rest.
-HELD = 1_000_000
-ANCHORS_EACH = 300_000
+HELD = 300_000
+ANCHORS_EACH = 150_000
 SURROUNDINGS_EACH = 10_000
 
 _BASE = 0xD6E8FEB86659FD93
@@ -54,40 +54,38 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     """(document, place, gram hash, surroundings' hash, left, right) of a run of documents.
 
     ``data`` holds the documents' bytes back to back. Places count from the document's
-    start; the surroundings reach from ``left`` bytes before it to ``right`` bytes after.
+    start; the surroundings are all strings of which this gram is the smallest: they reach from ``left``
+    bytes before it to ``right`` bytes after its start.
     """
     found = []
-    step = BLOCK - 4 * LENGTH
-    for low in range(0, max(1, len(data) - GRAM + 1), step):
-        # What lies before and after a block is there for surroundings and for whole windows.
-        begin, stop = max(0, low - 2 * LENGTH), min(len(data), low + step + 2 * LENGTH)
-        block = data[begin:stop]
-        if len(block) < LENGTH:
-            continue
-        words, up, down = _tables_for(BLOCK)
+    words, up, down = _tables_for(BLOCK)
+    step = BLOCK - LENGTH + 1
+    for low in range(0, max(0, len(data) - LENGTH + 1), step):
+        # One string starts at each of ``step`` places.
+        block = data[low : low + BLOCK]
         sums = np.zeros(len(block) + 1, dtype=np.uint64)
         np.cumsum(words[block] * up[: len(block)], out=sums[1:])
         grams = _mixed((sums[GRAM:] - sums[:-GRAM]) * down[: len(block) - GRAM + 1])
         # The place in the low bits breaks ties to the left and is read from the minimum.
-        marked = (grams & ~np.uint64(BLOCK - 1)) | np.arange(len(grams), dtype=np.uint64)
-        least, width = marked, 1
+        least, width = (grams & ~np.uint64(BLOCK - 1)) | np.arange(len(grams), dtype=np.uint64), 1
         while 2 * width <= GRAMS:
             least = np.minimum(least[:-width], least[width:])
             width *= 2
         rest = GRAMS - width
         if rest:
             least = np.minimum(least[:-rest], least[rest:])
-        places = least[np.flatnonzero(np.diff(least, prepend=~least[:1]))] & np.uint64(BLOCK - 1)
-        places = np.unique(places.astype(np.int64))
-        places = places[(places + begin >= low) & (places + begin < low + step)]
-        document = np.searchsorted(starts, places + begin, side="right") - 1
-        inside = (places + begin + GRAM <= ends[document]) & (ends[document] - starts[document] >= LENGTH)
-        places, document = places[inside], document[inside]
-        left = np.minimum(places + begin - starts[document], LENGTH - GRAM)
-        right = np.minimum(ends[document] - begin - places, LENGTH)
-        around = _mixed((sums[places + right] - sums[places - left]) * down[places - left])
+        first = np.append(0, np.flatnonzero(least[1:] != least[:-1]) + 1)
+        last = np.append(first[1:], len(least)) - 1
+        places = (least[first] & np.uint64(BLOCK - 1)).astype(np.int64)
+        document = np.searchsorted(starts, places + low, side="right") - 1
+        first = np.maximum(first, starts[document] - low)
+        last = np.minimum(last, ends[document] - LENGTH - low)
+        inside = first <= last
+        places, document, first, last = (x[inside] for x in (places, document, first, last))
+        around = _mixed((sums[last + LENGTH] - sums[first]) * down[first])
+        left, right = places - first, last + LENGTH - places
         around = _mixed(around + grams[places] * np.uint64(_BASE) + (left * 256 + right).astype(np.uint64))
-        found.append((document, places + begin - starts[document], grams[places], around, left, right))
+        found.append((document, places + low - starts[document], grams[places], around, left, right))
     if not found:
         return tuple(np.empty(0, dtype=t) for t in (np.int64, np.int64, np.uint64, np.uint64, np.int64, np.int64))
     return tuple(np.concatenate(column) for column in zip(*found))
@@ -96,9 +94,9 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
 # Fields of an anchor, packed in binary columns of this order.
 FIELDS = (("gram", "<u8"), ("around", "<u8"), ("doc", "<i8"), ("copy", "<i4"), ("place", "<u4"), ("left", "u1"), ("right", "u1"))
 PACKED = "bucket int, " + ", ".join(f"{name} binary" for name, _ in FIELDS)
-# A row is a span to remove, or a bucket of packed anchors.
-SCANNED = "span_doc long, span_copy int, start long, end long, " + PACKED
+# A row is packed anchors of a bucket, or a span to remove, in any bucket.
 SPAN = "span_doc long, span_copy int, start long, end long"
+SCANNED = f"{PACKED}, {SPAN}"
 
 
 def _column_names(schema: str) -> list[str]:
@@ -152,7 +150,7 @@ def scan(docs: DataFrame, buckets: int) -> DataFrame:
             a = {name: np.concatenate([h[i] for h in held]) for i, (name, _) in enumerate(FIELDS)}
             order, first = _first_of_each(a)
             spans = _merged(_spans_of(a, order[~first]))
-            yield _batch({**spans}, SCANNED)
+            yield _batch({**spans, "bucket": (spans["span_doc"] % buckets).astype(np.int32)}, SCANNED)
             kept = order[first]
             bucket = (a["gram"][kept] % np.uint64(buckets)).astype(np.int64)
             dealt = np.argsort(bucket, kind="stable")
@@ -200,57 +198,69 @@ def _batch(columns: dict, schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names)
 
 
-COMPARED = SPAN + ", doc long, copy int, gram long, place int"
+ASKED = "doc long, copy int, gram long, place int, left int, right int"
+COMPARED = f"{SPAN}, {ASKED}"
 
 
-def compare(packed: DataFrame) -> DataFrame:
+def compare(scanned: DataFrame) -> DataFrame:
     """Spans of all but the first of equal surroundings, and, for grams with different ones,
-    the place of each first."""
+    the place of each first. Spans that are known already pass through."""
 
     def join(table: pa.Table) -> pa.Table:
+        known = table.filter(table.column("gram").is_null()).select(_column_names(SPAN))
+        table = table.filter(table.column("gram").is_valid())
         a = {name: np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind) for name, kind in FIELDS}
         order, first = _first_of_each(a)
         spans = _merged(_spans_of(a, order[~first]))
         kept = order[first]
         _, inverse, counts = np.unique(a["gram"][kept], return_inverse=True, return_counts=True)
         kept = kept[counts[inverse] > 1]
-        asked = {"doc": a["doc"][kept], "copy": a["copy"][kept], "gram": a["gram"][kept].view(np.int64), "place": a["place"][kept].astype(np.int32)}
-        return pa.Table.from_batches([_batch(spans, COMPARED), _batch(asked, COMPARED)])
+        asked = {n: a[n][kept].astype(np.int32) for n in ("copy", "place", "left", "right")}
+        asked |= {"doc": a["doc"][kept], "gram": a["gram"][kept].view(np.int64)}
+        before = {name: np.asarray(known.column(name)) for name in known.column_names}
+        return pa.Table.from_batches([_batch(columns, COMPARED) for columns in (before, spans, asked)])
 
-    return packed.groupBy("bucket").applyInArrow(join, COMPARED)
+    return scanned.groupBy("bucket").applyInArrow(join, COMPARED)
 
 
-def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
+def suffix_array(text: np.ndarray, wanted: np.ndarray | None = None, depth: int = LENGTH) -> np.ndarray:
     """Places in the order of the ``depth`` or more bytes from there on, zeros past the end.
 
     Two stages: only suffixes smaller than their successors are sorted directly. The others
     follow from a scan through the buckets of first bytes: each place found puts the
-    place before it, if that is larger than its successor, next in its own bucket.
+    place before it, if that is larger than its successor, next in its own bucket. Where not
+    all suffixes are ``wanted``, the result holds these and those that lead to them.
     """
     n = len(text)
     if not n:
         return np.empty(0, dtype=np.int64)
-    words = _words(text, depth)
     # A run of equal bytes has the order of what follows it; the last suffix exceeds its empty successor.
     turn = np.append(np.flatnonzero(text[1:] != text[:-1]), n - 1)
     at = turn[np.searchsorted(turn, np.arange(n))]
     smaller = np.append(text, 0)[at + 1].astype(np.int16) > text[at]
     smaller[at == n - 1] = False
-    direct = np.flatnonzero(smaller)
-    keys = [words[direct + 8 * k] for k in reversed(range(-(-depth // 8)))]
-    direct = direct[np.lexsort(keys)]
+    needed = np.ones(n, dtype=bool)
+    if wanted is not None:
+        # From each wanted place on up to the next suffix that is sorted directly.
+        direct = np.append(np.flatnonzero(smaller), n - 1)
+        asked = np.flatnonzero(wanted)
+        stops = direct[np.searchsorted(direct, asked)]
+        change = np.bincount(asked, minlength=n + 1) - np.bincount(stops + 1, minlength=n + 1)
+        needed = np.cumsum(change)[:n] > 0
+    direct = np.flatnonzero(smaller & needed)
+    words = _words(text, depth)
+    direct = direct[np.lexsort([words[direct + 8 * k] for k in reversed(range(-(-depth // 8)))])]
 
-    counts = np.bincount(text, minlength=256)
+    counts = np.bincount(text[needed], minlength=256)
     heads = np.concatenate([[0], np.cumsum(counts)[:-1]])
     tails = heads + counts
-    out = np.full(n, -1, dtype=np.int64)
-    first = text[direct]
-    ends = np.searchsorted(first, np.arange(256), side="right")
-    begins = np.searchsorted(first, np.arange(256), side="left")
-    for c in range(256):
-        size = ends[c] - begins[c]
-        if size:
-            out[tails[c] - size : tails[c]] = direct[begins[c] : ends[c]]
+    out = np.full(counts.sum(), -1, dtype=np.int64)
+    sorted_directly = np.bincount(text[direct], minlength=256)
+    low = 0
+    for c in np.flatnonzero(sorted_directly):
+        size = sorted_directly[c]
+        out[tails[c] - size : tails[c]] = direct[low : low + size]
+        low += size
     front = heads.copy()
 
     def put(places: np.ndarray):
@@ -263,23 +273,23 @@ def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
         front[:] += np.bincount(chars, minlength=256)
 
     # The last suffix comes before all others of its byte, as if an end mark had been scanned.
-    put(np.array([n - 1]))
-    for c in range(256):
-        done = heads[c]
-        while True:
+    if needed[n - 1]:
+        put(np.array([n - 1]))
+    induced = needed & ~smaller
+    for c in np.flatnonzero(counts):
+        done, whole = heads[c], False
+        while not whole:
             # First the places put here by the scan, wave by wave, then those sorted directly.
             stop = front[c]
             whole = stop == done
             if whole:
-                done, stop = tails[c] - (ends[c] - begins[c]), tails[c]
+                done, stop = tails[c] - sorted_directly[c], tails[c]
             before = out[done:stop] - 1
             before = before[before >= 0]
-            before = before[~smaller[before]]
+            before = before[induced[before]]
             if len(before):
                 put(before)
             done = stop
-            if whole:
-                break
     return out
 
 
@@ -298,9 +308,9 @@ def shared_windows(text: np.ndarray, begins: np.ndarray, keys: np.ndarray) -> np
     ``text`` is pieces back to back, ``begins`` where they begin, with the end; ``keys``
     numbers every place. Adjacent common prefixes of ``LENGTH`` join suffixes to groups.
     """
-    order = suffix_array(text)
-    piece_end = np.repeat(begins[1:], np.diff(begins))
-    order = order[order + LENGTH <= piece_end[order]]
+    inside = np.arange(len(text)) + LENGTH <= np.repeat(begins[1:], np.diff(begins))
+    order = suffix_array(text, inside)
+    order = order[inside[order]]
     if len(order) < 2:
         return np.empty(0, dtype=np.int64)
     words = _words(text, LENGTH)
@@ -320,7 +330,7 @@ AROUND = "bucket int, doc long, copy int, begin long, bytes binary"
 
 def surroundings(docs: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
     """The bytes around the asked anchors, by bucket of their gram."""
-    wanted = asked.groupBy("doc", "copy").agg(F.collect_list(F.struct("place", "gram")).alias("places"))
+    wanted = asked.groupBy("doc", "copy").agg(F.collect_list(F.struct("place", "gram", "left", "right")).alias("places"))
     wanted = small_side(wanted.select(F.col("doc").alias("d"), F.col("copy").alias("c"), "places"), "asked")
     texts = docs.join(wanted, (F.col("doc") == F.col("d")) & (F.col("copy") == F.col("c"))).select("doc", "copy", "text", "places")
 
@@ -329,9 +339,8 @@ def surroundings(docs: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
             rows = []
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             for doc, copy, data, places in zip(batch.column("doc").to_pylist(), batch.column("copy").to_pylist(), texts, batch.column("places")):
-                for place, gram in zip(places.values.field(0).to_pylist(), places.values.field(1).to_pylist()):
-                    begin = max(0, place - (LENGTH - GRAM))
-                    rows.append((gram % buckets, doc, copy, begin, data[begin : place + LENGTH]))
+                for place, gram, left, right in zip(*(f.to_pylist() for f in places.values.flatten())):
+                    rows.append((gram % buckets, doc, copy, place - left, data[place - left : place + right]))
             columns = dict(zip(_column_names(AROUND), zip(*rows))) if rows else {"bucket": []}
             yield _batch(columns, AROUND)
 
@@ -382,10 +391,9 @@ def removals(docs: DataFrame) -> DataFrame:
     n = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # An anchor comes about every half window of grams.
     buckets = parts_for(2 * n // GRAMS, ANCHORS_EACH)
-    scanned, _ = staged(scan(docs, buckets), "anchors")
-    met, _ = staged(compare(scanned.filter("bucket IS NOT NULL").select(*_column_names(PACKED))), "met")
-    spans = [t.filter("span_doc IS NOT NULL").select(*_column_names(SPAN)) for t in (scanned, met)]
-    asked = met.filter("doc IS NOT NULL").select("doc", "copy", "gram", "place")
+    met, _ = staged(compare(scan(docs, buckets)), "met")
+    spans = [met.filter("span_doc IS NOT NULL").select(*_column_names(SPAN))]
+    asked = met.filter("doc IS NOT NULL").select(*_column_names(ASKED))
     around = surroundings(docs, asked, parts_for(asked.count(), SURROUNDINGS_EACH))
     spans.append(sort_suffixes(around))
     dealt = union(spans).withColumn("part", F.expr(f"pmod(xxhash64(span_doc, span_copy), {buckets})"))

@@ -1,0 +1,114 @@
+import random
+
+import pytest
+
+from clickflow.llm import ngram_join
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def plain(rows):
+    sets = [shingles(text) for _, text in rows]
+    label = list(range(len(rows)))
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and 100 * both >= 75 * len(sets[i] | sets[j]):
+                label[find(i)] = find(j)
+    out = []
+    for i, (doc, _) in enumerate(rows):
+        ids = [rows[j][0] for j in range(len(rows)) if find(j) == find(i) and rows[j][0] is not None]
+        out.append((doc, len(sets[i]), min(ids) if ids else None))
+    return sorted(out, key=str)
+
+
+def found(documents, rows):
+    return sorted(map(tuple, ngram_join.near_duplicates(documents(*rows)).collect()), key=str)
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def corpus(seed):
+    """Groups of near copies on both sides of the similarity, unrelated texts and a common passage."""
+    rng = random.Random(seed)
+    passage = [f"line{i}" for i in range(40)]
+    rows = []
+    for group in range(25):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(8, 160))]
+        for _ in range(rng.randrange(1, 9)):
+            own = edited(rng, words, rng.randrange(0, 1 + len(words) // 20))
+            if rng.random() < 0.3:
+                own += " " + " ".join(passage)
+            rows.append(own)
+    rng.shuffle(rows)
+    return list(enumerate(rows, start=5))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_match_brute_force(documents, seed):
+    rows = corpus(seed)
+    assert found(documents, rows) == plain(rows)
+
+
+def test_the_similarity_is_inclusive(documents):
+    base = [f"a{i}" for i in range(34)]
+    # 30 shingles; 7 shared of 7 + ... : 24 common of 32 in all is exactly 0.75.
+    one, other = " ".join(base[:32]), " ".join(base[:28] + ["x", "y", "z", "u"])
+    sets = shingles(one), shingles(other)
+    assert 4 * len(sets[0] & sets[1]) == 3 * len(sets[0] | sets[1])
+    rows = [(1, one), (2, other), (3, " ".join(base[:27] + ["x", "y", "z", "u", "v"]))]
+    assert found(documents, rows) == plain(rows)
+
+
+def test_a_large_group_of_near_copies_makes_few_pairs(documents, monkeypatch):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(120)]
+    rows = [(i, edited(rng, words, 1)) for i in range(150)]
+    tested = []
+    verify = ngram_join.verify
+    monkeypatch.setattr(ngram_join, "verify", lambda pairs, *rest: tested.append(pairs.count()) or verify(pairs, *rest))
+    assert found(documents, rows) == plain(rows)
+    assert sum(tested) < 150 * 40
+
+
+def test_lists_beyond_the_split_give_the_same(documents, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HOT_POSTINGS", 3)
+    rows = corpus(3)
+    assert found(documents, rows) == plain(rows)
+
+
+def test_short_empty_null_long_and_repeated(documents):
+    rows = [
+        (1, None), (2, ""), (3, " \n\t"), (4, "A b"), (5, "a\tB"), (6, "a b c"), (7, "one two three four five"),
+        (8, "ONE two three four five"), (9, "é É"), (10, "É É"), (11, "a b"), (12, "word " * 20_000), (13, "word " * 7),
+        (None, "one two three four five"), (None, "alone here"), (14, "z y x w v u"), (14, "z y x w v u"), (15, "z y x w v u t"),
+    ]
+    assert found(documents, rows) == plain(rows)
+
+
+def test_empty_table(documents):
+    assert found(documents, []) == []
+
+
+def test_one_of_each_keeps_columns_and_clean_rows(documents):
+    rows = [(1, "a b c d e f"), (2, "A b c d e f"), (3, "other words stand here now"), (4, None), (5, ""), (None, "a b c d e f"), (3, "other words stand here now")]
+    df = documents(*rows)
+    kept = ngram_join.one_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "4", "5", "None"]

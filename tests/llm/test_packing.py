@@ -1,0 +1,76 @@
+import itertools
+import zlib
+
+import numpy as np
+import public_tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from clickflow.llm import packing
+
+
+def test_ids_are_those_of_the_vocabulary_file():
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = packing.encoder()
+    for text in ["", " ", "Hello  world\n\n x\t", "a<|endoftext|>b", "é🎉日本 x's", " 　  .", "9" * 40, "x" * 3000]:
+        assert encode(text) == own.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=60)
+@given(st.text(max_size=60))
+def test_ids_of_any_text(text):
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.encoder()(text) == own.encode(text, add_special_tokens=False).ids
+
+
+@given(st.dictionaries(st.integers(1, 12), st.integers(1, 3), max_size=4), st.integers(0, 30))
+def test_best_fill_is_the_best(counts, room):
+    fill = packing.best_fill(counts, room)
+    assert all(0 < n <= counts[length] for length, n in fill.items())
+    pieces = [length for length, n in counts.items() for _ in range(n)]
+    sums = {sum(c) for r in range(len(pieces) + 1) for c in itertools.combinations(pieces, r)}
+    assert sum(length * n for length, n in fill.items()) == max(s for s in sums if s <= room)
+
+
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 50), max_size=12))
+def test_a_plan_places_every_piece_once(counts):
+    windows = packing.plan(counts, 64)
+    placed = {}
+    for pattern, times in windows:
+        assert times > 0 and sum(length * n for length, n in pattern.items()) <= 64
+        for length, n in pattern.items():
+            placed[length] = placed.get(length, 0) + n * times
+    assert placed == counts
+
+
+def test_pieces_cover_their_documents_and_sequences_have_no_gaps(documents):
+    rng = np.random.default_rng(3)
+    words = ["alpha", "beta", "gamma", "d", "ee"]
+    texts = {i: " ".join(rng.choice(words, int(rng.integers(0, 3000)))) for i in range(60)}
+    rows = [*texts.items(), (100, None), (101, ""), (None, "no id"), (1, texts[1])]
+    found = packing.pack(documents(*rows)).collect()
+    encode = packing.encoder()
+    expected = []
+    for doc, text in rows:
+        ids = np.array([*encode(text or ""), 0], dtype="<u4")
+        expected += [
+            (doc, s, min(1024, len(ids) - s), zlib.crc32(ids[s : s + 1024].tobytes()), len(ids)) for s in range(0, len(ids), 1024)
+        ]
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    assert sorted((tuple(r)[:5] for r in found), key=key) == sorted(expected, key=key)
+    sequences = {}
+    for r in found:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    total = sum(r.length for r in found)
+    assert len(sequences) <= -(-total // 1024) + 2
+
+
+def test_empty_table(documents):
+    assert packing.pack(documents()).count() == 0

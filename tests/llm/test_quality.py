@@ -1,0 +1,81 @@
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from clickflow.llm import quality
+
+SPACE = re.compile("[^\x20\x09-\x0d]+")
+
+
+def plain(text):
+    words = SPACE.findall(text)
+    lines = [line for line in text.split("\n") if SPACE.search(line)]
+    windows = Counter(zip(words, words[1:], words[2:]))
+    covered = {i + k for i, w in enumerate(zip(words, words[1:], words[2:])) if windows[w] > 1 for k in range(3)}
+    n = len(words)
+    return (
+        n,
+        sum(map(len, words)),
+        sum(c in "#*$%&|<>" for c in text),
+        len(lines) - len(set(lines)),
+        len(covered),
+        n < 50 or 100 * len(covered) > 50 * n,
+    )
+
+
+@given(st.text(alphabet="ab \n\t#|é  ", max_size=80))
+def test_base_measures_match_the_plain_ones(text):
+    data = text.encode()
+    assert quality.base_measures(data, data.split()) == plain(text)
+
+
+def test_distance_is_zero_to_one():
+    p, q = np.array([1.0, 0.0]), np.array([0.0, 1.0])
+    assert quality.distance(p, p) == 0
+    assert quality.distance(p, q) == pytest.approx(1)
+
+
+def prose(seed, n=200):
+    rng = np.random.default_rng(seed)
+    common, rare = ["the", "of", "and", "to"], [f"word{i:03d}" for i in range(400)]
+    return " ".join(str(rng.choice(common)) if rng.random() < 0.4 else str(rng.choice(rare)) for _ in range(n)).translate(
+        str.maketrans("0123456789", "abcdefghij")
+    )
+
+
+def test_odd_documents_go_and_plain_ones_stay(documents):
+    good = [(i, prose(i)) for i in range(60)]
+    odd = [(100, "#$% " * 200 + prose(1, 60)), (101, "\n".join(f"{i * 7919} {i}" for i in range(200))), (102, "too short")]
+    rows = {r.doc_id: r for r in quality.quality_measures(documents(*good, *odd, (103, None), (104, ""))).collect()}
+    assert len(rows) == 65
+    assert all(rows[i].kept and not rows[i].base_failed for i in range(60))
+    assert not any(rows[i].kept for i in range(100, 105))
+    assert rows[101].char_distance > quality.MAX_CHAR_DISTANCE
+    assert rows[103].n_words == 0 and rows[103].base_failed
+    for i, text in good + odd:
+        assert tuple(rows[i][1:7]) == plain(text)
+
+
+def test_reference_counts_are_exact(documents):
+    texts = [prose(i) for i in range(30)]
+    found = quality.references(documents(*((i, t) for i, t in enumerate(texts))))
+    words = Counter(w for t in texts for w in t.encode().split())
+    total = words.total()
+    assert found["en"][0] == {w: n / total for w, n in sorted(words.items()) if n >= quality.COMMON_SHARE * total}
+    letters = sum(c.islower() for t in texts for c in t)
+    assert found["en"][1][0] == pytest.approx(letters / sum(map(len, texts)))
+
+
+def test_filter_keeps_all_columns_and_repeated_rows(documents):
+    df = documents((1, prose(1)), (1, prose(1)), (None, prose(2), None, None), (3, "short"))
+    kept = quality.quality_filter(df)
+    assert kept.columns == df.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "1", "None"]
+
+
+def test_empty_table(documents):
+    assert quality.quality_measures(documents()).count() == 0
