@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -19,7 +20,6 @@ from clickflow.operators import bands, categories, pageflow, sampling, sessions
 from clickflow.operators.filters import (  # noqa: E402
     clicks,
     date_range,
-    filter_sessions,
     orders,
     pays,
 )
@@ -103,7 +103,8 @@ def _filter_query(**changes):
 
 
 def filter_all(spark, sf_dir):
-    return sessions.with_time_text(filter_sessions(_full(spark, sf_dir, DATES), SIX))
+    kept = stage(_kept(spark, sf_dir, SIX), "kept_sessions")
+    return sessions.with_time_text(sessions.kept_rollup(_actions(spark, sf_dir, DATES), kept))
 
 
 def _tasks(spark, param):
@@ -116,12 +117,12 @@ def task_filter(spark, sf_dir):
     return _kept(spark, sf_dir, params).select("session_id")
 
 
-def session_analysis(spark, sf_dir):
-    """The whole job, from the task's JSON to the written tables, as rows per table."""
+def _job(spark, sf_dir):
+    """The whole job, from the task's JSON to the paths of the written tables."""
     names = ("startDate", "endDate", "startAge", "endAge", "professionals", "sex")
     param = {name: TASK_JSON[name] for name in names}
     param["targetPageFlow"] = [",".join(map(str, FLOW))]
-    paths = jobs.run_task(
+    return jobs.run_task(
         spark,
         [str(TASK_ID)],
         _tasks(spark, param),
@@ -131,7 +132,27 @@ def session_analysis(spark, sf_dir):
         tiebreak="event_id",
         sample_size=SAMPLE_SIZE,
     )
-    return results.row_counts({name: spark.read.parquet(path) for name, path in paths.items()})
+
+
+def session_analysis(spark, sf_dir):
+    """The whole job as rows per written table."""
+    return results.row_counts({name: spark.read.parquet(path) for name, path in _job(spark, sf_dir).items()})
+
+
+JOB_TABLES = {
+    "session_aggr_stat": schemas.SESSION_AGGR_STAT,
+    "session_random_extract": schemas.SESSION_RANDOM_EXTRACT,
+    "session_detail": schemas.SESSION_DETAIL,
+    "top10_category": schemas.TOP_CATEGORY,
+    "top10_session": schemas.TOP_SESSION,
+    "top10_session_detail": schemas.SESSION_DETAIL,
+    "page_conversion": schemas.PAGE_CONVERSION,
+}
+
+
+def _job_table(name):
+    """One table that the whole job has written, read back."""
+    return lambda spark, sf_dir: results.read_result(spark, _job(spark, sf_dir)[name], JOB_TABLES[name])
 
 
 def visit_bands(spark, sf_dir):
@@ -160,8 +181,8 @@ def sample_quota(spark, sf_dir):
 
 def _sample_actions(spark, sf_dir):
     kept = stage(_kept(spark, sf_dir, TaskParams()), "kept_sessions")
-    sample = sampling.sample_sessions(kept, SAMPLE_SIZE)
-    return sampling.actions_of_few(_actions(spark, sf_dir), sample, SAMPLE_SIZE)
+    sample = stage(sampling.sample_sessions(kept, SAMPLE_SIZE), "sample")
+    return sessions.actions_of(_actions(spark, sf_dir), sample)
 
 
 def session_random_extract(spark, sf_dir):
@@ -178,7 +199,8 @@ def kept_session_actions(spark, sf_dir):
 
 
 def _counts(spark, sf_dir, only=lambda actions: actions):
-    return categories.kept_category_counts(only(_actions(spark, sf_dir, WIDE)), _kept(spark, sf_dir, WIDE))
+    kept = stage(_kept(spark, sf_dir, WIDE), "kept_sessions")
+    return categories.kept_category_counts(only(_actions(spark, sf_dir, WIDE)), kept)
 
 
 def category_touches(spark, sf_dir):
@@ -205,19 +227,60 @@ def top10_categories(spark, sf_dir):
     return categories.top_categories(_counts(spark, sf_dir))
 
 
-def _ranked(spark, sf_dir):
+def _ranked(spark, sf_dir, **tops):
     kept = stage(_kept(spark, sf_dir, WIDE), "kept_sessions")
-    return jobs.ranked_sessions(_actions(spark, sf_dir, WIDE), kept)
+    return jobs.ranked_sessions(_actions(spark, sf_dir, WIDE), kept, **tops)
 
 
 def top10_category_sessions(spark, sf_dir):
     return _ranked(spark, sf_dir)[1]
 
 
+def top5_sessions_of_top20(spark, sf_dir):
+    return _ranked(spark, sf_dir, top=20, top_sessions=5)[1]
+
+
 def top10_session_detail(spark, sf_dir):
-    bound = categories.DEFAULT_TOP**2
-    actions = sampling.actions_of_few(_actions(spark, sf_dir, WIDE), _ranked(spark, sf_dir)[1], bound)
-    return sampling.detail_records(actions, TASK_ID)
+    active = stage(_ranked(spark, sf_dir)[1], "top_sessions")
+    return sampling.detail_records(sessions.actions_of(_actions(spark, sf_dir, WIDE), active), TASK_ID)
+
+
+def _gapped(spark, sf_dir):
+    """Actions of which some have no session and some no time."""
+    return _actions(spark, sf_dir).withColumns(
+        {
+            "session_id": F.expr("if(event_id % 50 = 0, NULL, session_id)"),
+            "action_time": F.expr("if(user_id % 7 = 0 OR event_id % 31 = 0, NULL, action_time)"),
+        }
+    )
+
+
+def _gapped_kept(spark, sf_dir):
+    return sessions.kept_sessions(_gapped(spark, sf_dir), events.load_users(spark, sf_dir), TaskParams())
+
+
+def gaps_band_counters(spark, sf_dir):
+    return bands.counters(_gapped_kept(spark, sf_dir))
+
+
+def gaps_sample(spark, sf_dir):
+    """Per hour, its quota and how many sessions were drawn."""
+    kept = stage(_gapped_kept(spark, sf_dir), "kept_sessions")
+    drawn = sampling.sample_quota(sampling.sample_sessions(kept, SAMPLE_SIZE), SAMPLE_SIZE)
+    drawn = drawn.select("date", "hour", F.col("sessions").alias("drawn"))
+    quota = sampling.sample_quota(kept, SAMPLE_SIZE)
+    return quota.join(drawn, ["date", "hour"], "left").na.fill(0, ["drawn"])
+
+
+def gaps_page_slices(spark, sf_dir):
+    steps = pageflow.page_steps(_gapped(spark, sf_dir), tiebreak="event_id")
+    return pageflow.page_slices(steps)
+
+
+def sink_bucketed_roundtrip(spark, sf_dir):
+    table = f"clickflow_actions_{uuid.uuid4().hex}"
+    results.write_bucketed_actions(_actions(spark, sf_dir).select(*schemas.USER_VISIT_ACTION.names), table, 8)
+    return _plain(actions_table(spark, table))
 
 
 def _steps(spark, sf_dir):
@@ -327,6 +390,8 @@ def date_exprs(spark, sf_dir):
         times.date_hour(time).alias("date_hour"),
         times.format_date(F.col("date")).alias("date"),
         times.format_time(times.parse_time(unpadded)).alias("time"),
+        times.today(F.col("date")).alias("today"),
+        times.yesterday(F.col("date")).alias("yesterday"),
     )
 
 
@@ -423,7 +488,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         category_pays,
         top10_categories,
         top10_category_sessions,
+        top5_sessions_of_top20,
         top10_session_detail,
+        gaps_band_counters,
+        gaps_sample,
+        gaps_page_slices,
         page_slices,
         page_slices_by_page,
         page_flow_matches,
@@ -443,10 +512,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         sink_extract_roundtrip,
         sink_detail_roundtrip,
         sink_actions_roundtrip,
+        sink_bucketed_roundtrip,
         sink_users_roundtrip,
         session_analysis,
     ]
     found = {function.__name__: function for function in named}
+    found |= {f"job_{name}": _job_table(name) for name in JOB_TABLES}
     found["filter_age"] = _filter_query(start_age=ALL.start_age, end_age=ALL.end_age)
     found["filter_professional_city"] = _filter_query(professionals=ALL.professionals, cities=ALL.cities)
     found["filter_sex"] = _filter_query(sex=ALL.sex)

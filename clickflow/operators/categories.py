@@ -5,12 +5,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickflow.functions.text import csv_to_ids, is_not_empty
+from clickflow.operators.sessions import actions_of
 
 KINDS = ("click", "order", "pay")
 COUNTS = tuple(f"{kind}_count" for kind in KINDS)
 DEFAULT_TOP = 10
-# Largest list of category ids that is sent whole to every executor.
-BROADCAST_IDS = 100_000
+# Spark limits ranks before the shuffle up to this rank; beyond it a category is ranked in slices first.
+LIMITED_RANK = 1_000
+SLICES = 64
 
 
 def category_touches(actions: DataFrame) -> DataFrame:
@@ -45,17 +47,12 @@ def session_category_counts(actions: DataFrame) -> DataFrame:
     return category_touches(actions).groupBy("session_id", "category_id").agg(*counts)
 
 
-def kept_category_counts(actions: DataFrame, kept: DataFrame, kept_is_small: bool = False) -> DataFrame:
-    """``session_category_counts`` of the kept sessions only.
+def kept_category_counts(actions: DataFrame, kept: DataFrame) -> DataFrame:
+    """``session_category_counts`` of the kept sessions only; ``kept`` should be staged.
 
-    With a kept list checked to be small, the list goes to every executor and only kept
-    actions are counted. Otherwise actions are counted per (session, category) before they
-    meet the kept list, so a very busy session arrives as a few rows per category.
+    Actions meet the kept list before anything is parsed or counted.
     """
-    ids = kept.select("session_id")
-    if kept_is_small:
-        return session_category_counts(actions.join(F.broadcast(ids), "session_id", "left_semi"))
-    return session_category_counts(actions).join(ids, "session_id", "left_semi")
+    return session_category_counts(actions_of(actions, kept))
 
 
 def categories_touched(counts: DataFrame) -> DataFrame:
@@ -79,18 +76,21 @@ def top_categories(counts: DataFrame, k: int = DEFAULT_TOP) -> DataFrame:
     return category_totals(counts).orderBy(*order).limit(k)
 
 
+def _ranked(counts: DataFrame, k: int, *keys) -> DataFrame:
+    order = W.partitionBy(*keys).orderBy(F.desc("click_count"), "session_id")
+    return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
+
+
 def top_category_sessions(counts: DataFrame, top: DataFrame, k: int = DEFAULT_TOP) -> DataFrame:
     """(category_id, session_id, click_count): each top category's k sessions with most clicks.
 
-    ``top`` holds at most k categories. The rank limit is applied in every input partition
-    before the shuffle, up to Spark's limit of 1,000.
+    ``top`` should be staged; its real size decides how it is joined. Ranks are limited
+    before the shuffle: by Spark up to ``LIMITED_RANK``, beyond it by ranking hash slices of
+    a category first, of which no more than k sessions each go on.
     """
-    wanted = top.select("category_id").limit(k)
-    order = W.partitionBy("category_id").orderBy(F.desc("click_count"), "session_id")
-    return (
-        counts.filter(F.col("click_count") > 0)
-        .join(F.broadcast(wanted) if k <= BROADCAST_IDS else wanted, "category_id", "left_semi")
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-        .select("category_id", "session_id", "click_count")
-    )
+    active = counts.filter(F.col("click_count") > 0).join(top.select("category_id"), "category_id", "left_semi")
+    active = active.select("category_id", "session_id", "click_count")
+    if k > LIMITED_RANK:
+        slice_ = F.expr(f"pmod(xxhash64(session_id), {SLICES})")
+        active = _ranked(active.withColumn("slice", slice_), k, "category_id", "slice").drop("slice")
+    return _ranked(active, k, "category_id")

@@ -10,13 +10,23 @@ from pyspark.sql import functions as F
 from clickflow.functions.text import any_of, is_not_empty
 from clickflow.params import TaskParams
 
+# Column that holds a text date of the source, ISO, beside the typed one.
+DATE_TEXT = "date_text"
+
 
 def date_range(actions: DataFrame, params: TaskParams) -> DataFrame:
-    """Actions from start to end date, both included; a missing end leaves that side open."""
-    if params.start_date is not None:
-        actions = actions.filter(F.col("date") >= F.lit(params.start_date))
-    if params.end_date is not None:
-        actions = actions.filter(F.col("date") <= F.lit(params.end_date))
+    """Actions from start to end date, both included; a missing end leaves that side open.
+
+    Where the source's date is text, see ``DATE_TEXT``, its ISO form is compared as well, as a
+    scan can skip by a column but not by a cast of it.
+    """
+    columns = ["date", *(name for name in (DATE_TEXT,) if name in actions.columns)]
+    for name in columns:
+        form = str if name == DATE_TEXT else (lambda day: day)
+        if params.start_date is not None:
+            actions = actions.filter(F.col(name) >= F.lit(form(params.start_date)))
+        if params.end_date is not None:
+            actions = actions.filter(F.col(name) <= F.lit(form(params.end_date)))
     return actions
 
 

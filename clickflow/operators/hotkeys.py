@@ -5,21 +5,13 @@ from pyspark.sql import functions as F
 
 # A key below this many rows is sorted comfortably by one task.
 HOT_ROWS = 200_000
-# With the largest MAX_HOT keys set apart, no other key holds more than 1 in MAX_HOT rows.
-MAX_HOT = 10_000
 
 
-def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS, most: int = MAX_HOT) -> DataFrame:
-    """Keys with more than ``rows`` rows, the largest ``most`` of them.
+def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> DataFrame:
+    """All keys with more than ``rows`` rows, counted with partial aggregation.
 
-    Counted with partial aggregation. The result never exceeds ``most`` keys, so it can be
-    broadcast; it only routes rows to an equivalent path and drops none.
+    There is at most one for every ``rows`` rows. The list only routes rows to an equivalent
+    path; whether it is broadcast is left to Spark, by its real size once it is staged.
     """
-    return (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .filter(F.col("rows") > rows)
-        .orderBy(F.desc("rows"), key)
-        .limit(most)
-        .select(key)
-    )
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    return counted.filter(F.col("rows") > rows).select(key)

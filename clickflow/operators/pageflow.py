@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from clickflow.functions.numbers import ratio
 from clickflow.operators.hotkeys import HOT_ROWS, hot_keys
-from clickflow.operators.staging import at_most, stage
+from clickflow.operators.sessions import in_sessions
+from clickflow.operators.staging import is_empty, stage
+from clickflow.params import page_hops
 
 # Longest run of consecutive tiebreak values in one piece of a hot session.
 PIECE = 100_000
@@ -18,53 +20,48 @@ def page_steps(actions: DataFrame, tiebreak: str = None, hot_rows: int = HOT_ROW
     """(page_id, next_page_id, n): how often a page is followed by another in a session.
 
     Actions are ordered by time and then by ``tiebreak``, a unique integer column, or by page
-    where there is none. The last action of a session has no next page and counts under null,
-    as does an action outside any session.
+    where there is none; nulls come first. The last action of a session has no next page and
+    counts under null, as does an action outside any session.
 
-    Sessions with more than ``hot_rows`` actions are looked for first. If there are any, they
-    are cut into pieces that follow their order, see ``_steps_in_pieces``.
+    Actions are scanned twice: for sessions with more than ``hot_rows`` actions, and to pair
+    pages. Only the actions of hot sessions are cut into pieces, see ``_steps_in_pieces``.
     """
-    outside = actions.filter("session_id IS NULL").selectExpr(
-        "page_id", "CAST(NULL AS BIGINT) AS next_page_id", "1 AS n"
-    )
-    actions = actions.filter("session_id IS NOT NULL")
-    hot = stage(hot_keys(actions, "session_id", hot_rows), "hot_sessions")
-    if at_most(hot, 0):
-        order = W.partitionBy("session_id").orderBy("action_time", tiebreak or "page_id")
+    hot = stage(hot_keys(in_sessions(actions), "session_id", hot_rows), "hot_sessions")
+    columns = ["session_id", "action_time", "page_id", *([tiebreak] if tiebreak else [])]
+    actions = actions.select(*columns)
+    # An action outside any session is a group of its own.
+    lone = F.when(F.col("session_id").isNull(), F.monotonically_increasing_id()).alias("lone")
+    if is_empty(hot):
+        order = W.partitionBy("session_id", "lone").orderBy("action_time", tiebreak or "page_id")
         next_page = F.lead("page_id").over(order).alias("next_page_id")
-        steps = actions.select("page_id", next_page, F.lit(1).alias("n"))
+        steps = actions.select("*", lone).select("page_id", next_page, F.lit(1).alias("n"))
     else:
-        steps = _steps_in_pieces(actions, tiebreak, hot, piece)
-    steps = steps.unionByName(outside)
+        steps = _steps_in_pieces(actions.select("*", lone), tiebreak, hot, piece)
     return steps.groupBy("page_id", "next_page_id").agg(F.sum("n").alias("n"))
 
 
 def _steps_in_pieces(actions, tiebreak, hot, piece):
-    """Page pairs with hot sessions cut into one piece per time and run of tiebreak values.
+    """Page pairs with hot sessions cut into pieces that follow their order.
 
-    Pages are paired inside pieces, and the last page of each piece with the first page of
-    the next. ``hot`` is a short list, see ``hot_keys``.
+    A piece is a time and a run of tiebreak values. Without a tiebreak it is a time and a page: its
+    actions are copies of each other, so any split of them will do. Pages are paired inside
+    pieces, and the last page of each piece with the first page of the next. Actions of other
+    sessions are in no piece and take the same window.
     """
+    flagged = actions.join(hot.withColumn("hot", F.lit(True)), "session_id", "left")
     if tiebreak is None:
-        # Copies of an action differ in nothing that matters here: keep one with its count.
-        ordered = actions.groupBy("session_id", "action_time", "page_id").agg(
-            F.count(F.lit(1)).alias("copies")
-        )
-        run = "0L"
+        run, part = "page_id", "spark_partition_id()"
     else:
-        ordered = actions.select("session_id", "action_time", "page_id", tiebreak, F.lit(1).alias("copies"))
-        run = f"`{tiebreak}` div {piece}"
-    flagged = ordered.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "session_id", "left")
-    place = f"if(hot, named_struct('time', action_time, 'run', {run}), NULL)"
+        run, part = f"`{tiebreak}` div {piece}", "0"
+    place = f"if(hot, named_struct('time', action_time, 'run', {run}, 'part', {part}), NULL)"
     pieces = flagged.withColumn("piece", F.expr(place))
 
-    window = W.partitionBy("session_id", "piece").orderBy("action_time", tiebreak or "page_id")
+    window = W.partitionBy("session_id", "lone", "piece").orderBy("action_time", tiebreak or "page_id")
     present = F.lit(True)
     paired = pieces.select(
         "session_id",
         "piece",
         "page_id",
-        "copies",
         F.lead("page_id").over(window).alias("next_page_id"),
         F.lag(present).over(window).isNull().alias("first"),
         F.lead(present).over(window).isNull().alias("last"),
@@ -79,11 +76,10 @@ def _steps_in_pieces(actions, tiebreak, hot, piece):
         F.when(end, F.col("piece")).alias("piece"),
         (cut & F.col("first")).alias("first"),
         (cut & F.col("last")).alias("last"),
-    ).agg(F.count(F.lit(1)).alias("n"), (F.sum("copies") - F.count(F.lit(1))).alias("repeats"))
+    ).agg(F.count(F.lit(1)).alias("n"))
     collapsed = stage(collapsed, "page_pairs")
 
     inside = collapsed.filter(~F.col("last")).select("page_id", "next_page_id", "n")
-    repeats = collapsed.selectExpr("page_id", "page_id AS next_page_id", "repeats AS n")
     ends = (
         collapsed.filter(F.col("session_id").isNotNull())
         .groupBy("session_id", "piece")
@@ -92,7 +88,7 @@ def _steps_in_pieces(actions, tiebreak, hot, piece):
             F.max(F.when(F.col("last"), F.col("page_id"))).alias("exit"),
         )
     )
-    return inside.unionByName(repeats.filter("n > 0")).unionByName(_across(ends))
+    return inside.unionByName(_across(ends))
 
 
 def _across(ends):
@@ -118,8 +114,10 @@ def _across(ends):
             F.lead(F.lit(True)).over(window).alias("linked"),
         )
         steps.append(linked.filter("linked").drop("linked"))
+        # A null time is the smallest inside a struct, as in the window; alone it would be skipped.
+        place = F.struct(order)
         ends = ends.groupBy(*within).agg(
-            F.min_by("entry", order).alias("entry"), F.max_by("exit", order).alias("exit")
+            F.min_by("entry", place).alias("entry"), F.max_by("exit", place).alias("exit")
         )
     final = ends.selectExpr("exit AS page_id", "CAST(NULL AS BIGINT) AS next_page_id", "1 AS n")
     return reduce(DataFrame.unionByName, steps, final)
@@ -130,16 +128,9 @@ def page_slices(steps: DataFrame) -> DataFrame:
     return steps.filter(F.col("next_page_id").isNotNull())
 
 
-def _hops(flow):
-    pages = [int(page) for page in flow]
-    if len(pages) < 2 or len(set(pages)) != len(pages):
-        raise ValueError("a page flow needs two or more different pages")
-    return list(zip(pages, pages[1:]))
-
-
 def page_flow_matches(steps: DataFrame, flow) -> DataFrame:
     """(slice, n): page pairs that are consecutive steps of the flow."""
-    wanted = " OR ".join(f"page_id = {a} AND next_page_id = {b}" for a, b in _hops(flow))
+    wanted = " OR ".join(f"page_id = {a} AND next_page_id = {b}" for a, b in page_hops(flow))
     return steps.filter(wanted).selectExpr("concat(page_id, '_', next_page_id) AS slice", "n")
 
 
@@ -148,7 +139,7 @@ def page_conversion(steps: DataFrame, flow) -> DataFrame:
 
     The first hop is measured against all views of the first page.
     """
-    hops = _hops(flow)
+    hops = page_hops(flow)
     tests = [f"page_id = {hops[0][0]}"] + [f"page_id = {a} AND next_page_id = {b}" for a, b in hops]
     wide = steps.filter(F.col("page_id").isin([a for a, _ in hops])).agg(
         *[F.expr(f"coalesce(sum(if({test}, n, 0)), 0) AS n{i}") for i, test in enumerate(tests)]

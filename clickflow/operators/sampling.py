@@ -13,14 +13,17 @@ DEFAULT_SIZE = 100
 DEFAULT_SEED = 0
 # Hex digits of the random key that form a cell: an hour's sessions spread over 16^3 cells.
 CELL_DIGITS = 3
-# Largest list of session ids that is sent whole to every executor.
-BROADCAST_IDS = 100_000
+
+
+def _started(sessions: DataFrame) -> DataFrame:
+    """Sessions with a known start; others have no hour and are neither counted nor drawn."""
+    return sessions.filter(F.col("start_time").isNotNull())
 
 
 def sessions_per_hour(sessions: DataFrame) -> DataFrame:
     """(date_hour, sessions) by the hour a session starts in."""
     key = date_hour(format_time(F.col("start_time")))
-    return sessions.groupBy(key.alias("date_hour")).agg(F.count(F.lit(1)).alias("sessions"))
+    return _started(sessions).groupBy(key.alias("date_hour")).agg(F.count(F.lit(1)).alias("sessions"))
 
 
 def _hour_keys():
@@ -32,8 +35,7 @@ def _with_quota(counted: DataFrame, count: str, size: int) -> DataFrame:
 
     Each day gets an equal share of ``size``, split over its hours by their sessions.
     """
-    # One value per calendar day.
-    days = counted.select(F.size(F.collect_set("date"))).scalar()
+    days = counted.select(F.count_distinct("date")).scalar()
     per_day = F.call_function("div", F.lit(size).cast("bigint"), days)
     in_day = F.sum(count).over(W.partitionBy("date"))
     in_hour = F.sum(count).over(W.partitionBy("date", "hour"))
@@ -48,7 +50,7 @@ def _with_quota(counted: DataFrame, count: str, size: int) -> DataFrame:
 
 def sample_quota(sessions: DataFrame, size: int = DEFAULT_SIZE) -> DataFrame:
     """(date, hour, sessions, quota)."""
-    hours = sessions.groupBy(*_hour_keys()).agg(F.count(F.lit(1)).alias("members"))
+    hours = _started(sessions).groupBy(*_hour_keys()).agg(F.count(F.lit(1)).alias("members"))
     return _with_quota(hours, "members", size).drop("members")
 
 
@@ -61,7 +63,7 @@ def sample_sessions(sessions: DataFrame, size: int = DEFAULT_SIZE, seed: int = D
     ``sessions`` is read twice and should be staged.
     """
     key = F.md5(F.concat(F.col("session_id"), F.lit(str(seed))))
-    keyed = sessions.select("*", *_hour_keys(), key.alias("key"))
+    keyed = _started(sessions).select("*", *_hour_keys(), key.alias("key"))
     keyed = keyed.withColumn("cell", F.substring("key", 1, CELL_DIGITS))
     cells = keyed.groupBy("date", "hour", "cell").agg(F.count(F.lit(1)).alias("members"))
     cells = stage(cells, "sample_cells")
@@ -74,8 +76,7 @@ def sample_sessions(sessions: DataFrame, size: int = DEFAULT_SIZE, seed: int = D
         .select("date", "hour", "cell", "open")
     )
     # Every needed cell yields a session, so there are at most ``size`` of them.
-    if size <= BROADCAST_IDS:
-        needed = F.broadcast(needed)
+    needed = stage(needed, "sample_open_cells")
     in_cell = W.partitionBy("date", "hour", "cell").orderBy("key", "session_id")
     return (
         keyed.join(needed, ["date", "hour", "cell"])
@@ -85,18 +86,6 @@ def sample_sessions(sessions: DataFrame, size: int = DEFAULT_SIZE, seed: int = D
     )
 
 
-def actions_of_few(actions: DataFrame, sessions: DataFrame, bound: int) -> DataFrame:
-    """Actions of at most ``bound`` sessions.
-
-    A short list goes to every executor and the actions are not shuffled; a longer one is
-    joined like any other table.
-    """
-    ids = sessions.select("session_id")
-    if bound <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return actions.join(ids, "session_id", "left_semi")
-
-
 def detail_records(actions: DataFrame, task_id: int) -> DataFrame:
     """Actions as the 12 columns of the detail table."""
     names = [name for name in schemas.SESSION_DETAIL.names if name not in ("task_id", "action_time")]

@@ -21,28 +21,25 @@ def _measured(rolled: DataFrame, *extra) -> DataFrame:
     )
 
 
+def in_sessions(actions: DataFrame) -> DataFrame:
+    """Actions of a session; one without a session id belongs to none and is left out."""
+    return actions.filter(F.col("session_id").isNotNull())
+
+
 def session_rollup(actions: DataFrame) -> DataFrame:
     """One row per session with its distinct keywords and clicked categories as sorted lists.
 
-    Actions are first reduced per (session, keyword, category), so a session with very many
-    actions is spread over tasks and only its distinct values meet in one row.
+    One shuffle: every task first merges its own actions of a session, so a session with very
+    many actions sends each task's distinct values and no more.
     """
     keyword = F.nullif(F.col("search_keyword"), F.lit(""))
-    reduced = actions.groupBy(
-        "session_id", keyword.alias("keyword"), F.col("click_category_id").alias("category")
-    ).agg(
+    rolled = in_sessions(actions).groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
-        F.count(F.lit(1)).alias("steps"),
-    )
-    rolled = reduced.groupBy("session_id").agg(
-        F.min("user_id").alias("user_id"),
-        F.min("start_time").alias("start_time"),
-        F.max("end_time").alias("end_time"),
-        F.sum("steps").alias("step_length"),
-        F.collect_set("keyword").alias("keywords"),
-        F.collect_set("category").alias("categories"),
+        F.count(F.lit(1)).alias("step_length"),
+        F.collect_set(keyword).alias("keywords"),
+        F.collect_set("click_category_id").alias("categories"),
     )
     categories = F.array_sort("categories").cast("array<string>")
     return _measured(
@@ -71,7 +68,7 @@ def session_measures(actions: DataFrame, params: TaskParams = TaskParams()) -> D
     if params.category_ids is not None:
         aggregates.append(F.max(clicked_any(params)).alias("clicked"))
         flags.append(F.col("clicked"))
-    return _measured(keep(actions.groupBy("session_id").agg(*aggregates), flags))
+    return _measured(keep(in_sessions(actions).groupBy("session_id").agg(*aggregates), flags))
 
 
 def attach_users(sessions: DataFrame, users: DataFrame) -> DataFrame:
@@ -105,3 +102,12 @@ def actions_of(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     does not where the join sits directly on an aggregation.
     """
     return actions.join(sessions.select("session_id"), "session_id", "left_semi")
+
+
+def kept_rollup(actions: DataFrame, kept: DataFrame) -> DataFrame:
+    """The full rows, lists and users included, of kept sessions.
+
+    ``kept`` is what ``kept_sessions`` gives, staged. Lists are built for these sessions only.
+    """
+    rolled = session_rollup(actions_of(actions, kept))
+    return rolled.join(kept.select("session_id", *USER_COLUMNS), "session_id")

@@ -4,6 +4,7 @@ A written table cuts lineage, survives the loss of executors and carries real si
 later joins are planned on what is there.
 """
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -19,21 +20,36 @@ _run_folder = ContextVar("run_folder", default=None)
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir`` or set as checkpoint folder.
 
-    Only a local session, as in tests, falls back to a temporary folder.
+    Only a single-process session, as in tests, falls back to a temporary folder.
     """
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="clickflow-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
+def _files(spark: SparkSession, path: str):
+    """(Hadoop path, its file system)."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def session_folder(spark: SparkSession) -> str:
+    """This application's folder in the shared one, deleted when the driver ends."""
+    path = f"{shared_folder(spark)}/clickflow/{spark.sparkContext.applicationId}"
+    folder, files = _files(spark, path)
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path of its own in the shared folder, or in the current run's folder."""
-    parent = _run_folder.get() or f"{shared_folder(spark)}/clickflow"
+    """A path of its own in this application's folder, or in the current run's folder."""
+    parent = _run_folder.get() or session_folder(spark)
     return f"{parent}/{name}-{uuid.uuid4().hex}"
 
 
@@ -46,8 +62,8 @@ def run_folder(spark: SparkSession):
         yield path
     finally:
         _run_folder.reset(token)
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        folder, files = _files(spark, path)
+        files.delete(folder, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -57,6 +73,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether a staged table has no more than ``rows`` rows; counting reads no columns."""
-    return df.count() <= rows
+def is_empty(df: DataFrame) -> bool:
+    """Whether a staged table has no rows."""
+    return df.isEmpty()

@@ -36,6 +36,14 @@ NAMES = (
 )
 
 
+def page_hops(flow) -> list:
+    """(page, next page) for each step of a flow; a flow of no use raises."""
+    pages = [int(page) for page in flow]
+    if len(pages) < 2 or len(set(pages)) != len(pages):
+        raise ValueError("a page flow needs two or more different pages")
+    return list(zip(pages, pages[1:]))
+
+
 @dataclass(frozen=True)
 class TaskParams:
     """One task's settings; None means the condition is not set.
@@ -59,6 +67,8 @@ class TaskParams:
         """From a mapping of parameter name to text; missing or empty text is not set."""
         text = {name: texts.get(name) or None for name in NAMES}
         flow = split_csv(text[TARGET_PAGE_FLOW])
+        if flow is not None:
+            page_hops(flow)
         return cls(
             start_date=as_date(text[START_DATE]),
             end_date=as_date(text[END_DATE]),

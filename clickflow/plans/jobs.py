@@ -6,13 +6,10 @@ from pyspark.sql import functions as F
 from clickflow import schemas
 from clickflow.operators import bands, categories, pageflow, sampling
 from clickflow.operators.filters import date_range
-from clickflow.operators.sessions import kept_sessions
-from clickflow.operators.staging import at_most, run_folder, stage
+from clickflow.operators.sessions import actions_of, kept_sessions
+from clickflow.operators.staging import run_folder, stage
 from clickflow.params import TaskParams, task_id_from_args, task_params
-from clickflow.sinks.results import write_result
-
-# A staged list of kept sessions up to this length is sent whole to every executor.
-SMALL_KEPT = 1_000_000
+from clickflow.sinks.results import write_result, write_result_table
 
 # Result table: its task column.
 TASK_KEYS = {
@@ -34,15 +31,19 @@ def band_statistics(kept: DataFrame, task_id: int) -> DataFrame:
     return bands.aggr_stat(kept, task_id)
 
 
-def ranked_sessions(actions: DataFrame, kept: DataFrame, top: int = categories.DEFAULT_TOP):
-    """(top categories, their top sessions). ``kept`` should be staged.
+def ranked_sessions(
+    actions: DataFrame,
+    kept: DataFrame,
+    top: int = categories.DEFAULT_TOP,
+    top_sessions: int = categories.DEFAULT_TOP,
+):
+    """(top categories, the top sessions of each). ``kept`` should be staged.
 
     Counts per (session, category) are written once; both rankings read them.
     """
-    small = at_most(kept, SMALL_KEPT)
-    counts = stage(categories.kept_category_counts(actions, kept, small), "category_counts")
+    counts = stage(categories.kept_category_counts(actions, kept), "category_counts")
     popular = stage(categories.top_categories(counts, top), "top_categories")
-    return popular, categories.top_category_sessions(counts, popular, top)
+    return popular, categories.top_category_sessions(counts, popular, top_sessions)
 
 
 def session_analysis(
@@ -53,6 +54,7 @@ def session_analysis(
     sample_size: int = sampling.DEFAULT_SIZE,
     seed: int = sampling.DEFAULT_SEED,
     top: int = categories.DEFAULT_TOP,
+    top_sessions: int = categories.DEFAULT_TOP,
 ) -> dict:
     """All result tables of a task by name.
 
@@ -62,22 +64,21 @@ def session_analysis(
     actions = date_range(actions, params)
     kept = stage(kept_sessions(actions, users, params), "kept_sessions")
     sample = stage(sampling.sample_sessions(kept, sample_size, seed), "sample")
-    popular, active = ranked_sessions(actions, kept, top)
+    popular, active = ranked_sessions(actions, kept, top, top_sessions)
     active = stage(active, "top_sessions")
 
+    # Staged, so that its real size decides how it meets the actions.
     chosen = sample.select("session_id").unionByName(active.select("session_id"))
-    bound = sample_size + top * top
-    detail = stage(sampling.actions_of_few(actions, chosen, bound), "detail")
-    sampled = sampling.actions_of_few(detail, sample, sample_size)
+    chosen = stage(chosen.distinct(), "chosen_sessions")
+    detail = stage(actions_of(actions, chosen), "detail")
+    sampled = actions_of(detail, sample)
     return {
         "session_aggr_stat": band_statistics(kept, task_id),
         "session_random_extract": sampling.extract_records(sampled, task_id),
         "session_detail": sampling.detail_records(sampled, task_id),
         "top10_category": _for_task(popular, task_id, schemas.TOP_CATEGORY),
         "top10_session": _for_task(active, task_id, schemas.TOP_SESSION),
-        "top10_session_detail": sampling.detail_records(
-            sampling.actions_of_few(detail, active, top * top), task_id
-        ),
+        "top10_session_detail": sampling.detail_records(actions_of(detail, active), task_id),
     }
 
 
@@ -94,14 +95,18 @@ def run_task(
     tasks: DataFrame,
     actions: DataFrame,
     users: DataFrame,
-    target: str,
+    target: str = None,
     tiebreak: str = None,
+    database: str = None,
     **options,
 ) -> dict:
-    """Run the task named by ``args`` and write each result table under ``target``.
+    """Run the task named by ``args`` and write each result table.
 
-    Returns the path of each table. Staged tables are deleted at the end.
+    Tables go to folders under ``target`` or, with ``database``, to that catalog database.
+    Returns each table's path or name. Staged tables are deleted at the end.
     """
+    if (target is None) == (database is None):
+        raise ValueError("name either a target folder or a database")
     task_id = task_id_from_args(args)
     if task_id is None:
         raise ValueError("the first argument must be a task id")
@@ -112,6 +117,10 @@ def run_task(
         if params.page_flow is not None:
             results["page_conversion"] = page_conversion_analysis(actions, params, task_id, tiebreak)
         for name, df in results.items():
-            paths[name] = f"{target.rstrip('/')}/{name}"
-            write_result(df, paths[name], task_id, TASK_KEYS[name])
+            if database is None:
+                paths[name] = f"{target.rstrip('/')}/{name}"
+                write_result(df, paths[name], task_id, TASK_KEYS[name])
+            else:
+                paths[name] = f"{database}.{name}"
+                write_result_table(df, paths[name], task_id, TASK_KEYS[name])
     return paths

@@ -59,9 +59,13 @@ def write_users(df: DataFrame, path: str) -> None:
 
 
 def write_bucketed_actions(df: DataFrame, table: str, buckets: int) -> None:
-    """The action table by day, bucketed by session: session roll-ups then need no shuffle."""
+    """The action table by day, bucketed by session: session roll-ups then need no shuffle.
+
+    Rows are dealt out by bucket first, so that a write makes one file per day and bucket.
+    """
     (
-        df.write.mode("append")
+        df.repartition(buckets, "session_id")
+        .write.mode("append")
         .partitionBy("date")
         .bucketBy(buckets, "session_id")
         .format("parquet")

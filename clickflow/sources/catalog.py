@@ -6,10 +6,14 @@ from pyspark.sql.types import StructType, TimestampNTZType
 
 from clickflow import schemas
 from clickflow.functions.times import parse_time_strict
+from clickflow.operators.filters import DATE_TEXT
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Exactly the schema's columns and types; time text with one-digit parts is accepted."""
+def conform(df: DataFrame, schema: StructType, extra=()) -> DataFrame:
+    """The schema's columns and types, then ``extra`` columns as they are.
+
+    Time text with one-digit parts is accepted; date text is ISO, yyyy-MM-dd.
+    """
     present = dict(df.dtypes)
     columns = []
     for field in schema.fields:
@@ -19,19 +23,28 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
         elif present[field.name] != field.dataType.simpleString():
             col = col.cast(field.dataType)
         columns.append(col.alias(field.name))
-    return df.select(*columns)
+    return df.select(*columns, *extra)
 
 
-def read_table(spark: SparkSession, name: str, schema: StructType) -> DataFrame:
-    return conform(spark.table(name), schema)
+def read_table(spark: SparkSession, name: str, schema: StructType, extra=()) -> DataFrame:
+    return conform(spark.table(name), schema, extra)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return conform(spark.read.parquet(path), schema)
 
 
-def actions_table(spark: SparkSession, name="user_visit_action") -> DataFrame:
-    return read_table(spark, name, schemas.USER_VISIT_ACTION)
+def actions_table(spark: SparkSession, name="user_visit_action", extra=()) -> DataFrame:
+    """The action table, with ``extra`` columns such as a unique id for ties.
+
+    A date column of text is kept beside its typed form as ``date_text``, on which
+    ``filters.date_range`` filters too, so that its bounds reach the scan.
+    """
+    table = spark.table(name)
+    if dict(table.dtypes).get("date") == "string":
+        table = table.withColumn(DATE_TEXT, F.col("date"))
+        extra = [*extra, DATE_TEXT]
+    return conform(table, schemas.USER_VISIT_ACTION, extra)
 
 
 def users_table(spark: SparkSession, name="user_info") -> DataFrame:

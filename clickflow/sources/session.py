@@ -11,8 +11,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # Recording a call site for every column operation makes plans slow to build.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    # Sets of a session's keywords and categories stay hash-aggregated for more keys per task.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
 }
 
 

@@ -41,7 +41,7 @@ ROLLED = """
          CAST(date_diff('second', min(action_time), max(action_time)) AS BIGINT) AS visit_length,
          CAST(count(*) AS BIGINT) AS step_length,
          min(action_time) AS start_time
-  FROM {actions} GROUP BY session_id"""
+  FROM {actions} WHERE session_id IS NOT NULL GROUP BY session_id"""
 
 TIME_TEXT = "strftime(start_time, '%Y-%m-%d %H:%M:%S')"
 SESSION_COLUMNS = f"""session_id, user_id, search_keywords, click_category_ids, visit_length, step_length,
@@ -87,10 +87,10 @@ def build(task, task_id, sample_size, seed, flow):
     category = f"list_has_any(string_split(click_category_ids, ','), {_texts(value['categoryIds'])})"
     wide = f"{age} AND {professional} AND {sex}"
 
-    def query(body, where="true", kept="true"):
+    def query(body, where="true", kept="true", source="uva"):
         """``body`` over acts (actions), rolled (their sessions), known (with users), kept."""
         return f"""WITH {TABLES},
-acts AS (SELECT * FROM uva WHERE {where}),
+acts AS (SELECT * FROM {source} WHERE {where}),
 rolled AS ({ROLLED.format(actions="acts")}),
 known AS (SELECT rolled.*, {USER_COLUMNS} FROM rolled JOIN ui USING (user_id)),
 kept AS (SELECT * FROM known WHERE {kept})
@@ -99,6 +99,9 @@ kept AS (SELECT * FROM known WHERE {kept})
     def ids(kept):
         return query("SELECT session_id FROM kept", dates, kept)
 
+    gapped = """(SELECT * REPLACE (CASE WHEN event_id % 50 <> 0 THEN session_id END AS session_id,
+    CASE WHEN user_id % 7 <> 0 AND event_id % 31 <> 0 THEN action_time END AS action_time) FROM uva)"""
+
     detail = f"""SELECT CAST({task_id} AS BIGINT) AS task_id, user_id, session_id, page_id,
   strftime(action_time, '%Y-%m-%d %H:%M:%S') AS action_time, search_keyword, click_category_id,
   click_product_id, order_category_ids, order_product_ids, pay_category_ids, pay_product_ids
@@ -106,7 +109,7 @@ FROM acts WHERE session_id IN (SELECT session_id FROM chosen)"""
 
     hours = """hours AS (
   SELECT strftime(start_time, '%Y-%m-%d') AS date, CAST(hour(start_time) AS INTEGER) AS hour,
-         CAST(count(*) AS BIGINT) AS sessions FROM kept GROUP BY ALL),"""
+         CAST(count(*) AS BIGINT) AS sessions FROM kept WHERE start_time IS NOT NULL GROUP BY ALL),"""
     quotas = f""", {hours}
 quotas AS (
   SELECT date, hour, sessions,
@@ -146,19 +149,22 @@ chosen AS (SELECT * FROM keyed WHERE rank <= quota)
   FROM touches GROUP BY category_id
   ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id LIMIT 10)
 """
-    active = """, active AS (
+    def active(k):
+        return f""", active AS (
   SELECT category_id, session_id, click_count FROM (
     SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS rank
     FROM (SELECT category_id, session_id, CAST(count(*) AS BIGINT) AS click_count
           FROM touches WHERE kind = 'click' AND category_id IN (SELECT category_id FROM top)
           GROUP BY ALL))
-  WHERE rank <= 10)
+  WHERE rank <= {k})
 """
-    ranked = touches + top + active
+
+    ranked = touches + top + active(10)
 
     def slices(order):
         return f""", steps AS (
-  SELECT page_id, lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time, {order}) AS next_page_id FROM acts),
+  SELECT page_id, lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time NULLS FIRST, {order}) AS next_page_id
+  FROM acts WHERE session_id IS NOT NULL),
 slices AS (
   SELECT page_id, next_page_id, CAST(count(*) AS BIGINT) AS n FROM steps
   WHERE next_page_id IS NOT NULL GROUP BY ALL)
@@ -219,11 +225,12 @@ SELECT slice, CAST(n AS BIGINT) AS n, {_ratio("n", "base")} AS rate FROM based""
             f"{sign}CAST(({mantissa} * 200 + {power}) // (2 * {power}) AS DOUBLE) / 100 END"
         )
 
-    extract = query(
+    extract_body = (
         chosen
         + f"""SELECT CAST({task_id} AS BIGINT) AS task_id, session_id, {TIME_TEXT} AS start_time,
   nullif(search_keywords, '') AS search_keywords, nullif(click_category_ids, '') AS click_category_ids FROM chosen"""
     )
+    extract = query(extract_body)
     sampled_detail = query(chosen + detail)
     text = "SELECT session_id, {} FROM known"
 
@@ -282,6 +289,30 @@ UNION ALL SELECT 'page_conversion', count(*) FROM hops""",
         "category_pays": category_count("pay"),
         "top10_categories": query(touches + top + "SELECT * FROM top", dates, wide),
         "top10_category_sessions": query(ranked + "SELECT * FROM active", dates, wide),
+        "top5_sessions_of_top20": query(
+            touches + top.replace("LIMIT 10", "LIMIT 20") + active(5) + "SELECT * FROM active", dates, wide
+        ),
+        "gaps_band_counters": query(
+            "SELECT 'session_count' AS counter, CAST(count(*) AS BIGINT) AS value FROM kept\nUNION ALL "
+            + _bands(VISIT_LABELS, VISIT_EDGES, "visit_length", "kept", "counter", "value")
+            + "\nUNION ALL "
+            + _bands(STEP_LABELS, STEP_EDGES, "step_length", "kept", "counter", "value"),
+            source=gapped,
+        ),
+        "gaps_sample": query(quotas + "SELECT date, hour, sessions, quota, quota AS drawn FROM quotas", source=gapped),
+        "gaps_page_slices": query(slices("event_id") + "SELECT * FROM slices", source=gapped),
+        "job_session_aggr_stat": stat,
+        "job_session_random_extract": query(extract_body, dates, wide),
+        "job_session_detail": query(chosen + detail, dates, wide),
+        "job_top10_category": query(ranked + f"SELECT CAST({task_id} AS BIGINT) AS task_id, * FROM top", dates, wide),
+        "job_top10_session": query(ranked + f"SELECT CAST({task_id} AS BIGINT) AS task_id, * FROM active", dates, wide),
+        "job_top10_session_detail": query(
+            ranked + ", chosen AS (SELECT DISTINCT session_id FROM active)\n" + detail, dates, wide
+        ),
+        "job_page_conversion": query(
+            slices("event_id") + target + conversion.replace("SELECT slice, CAST(n", f"SELECT CAST({task_id} AS BIGINT) AS task_id, slice, CAST(n"), dates
+        ),
+        "sink_bucketed_roundtrip": query(f"SELECT {ACTION_COLUMNS} FROM acts"),
         "top10_session_detail": query(
             ranked + ", chosen AS (SELECT DISTINCT session_id FROM active)\n" + detail, dates, wide
         ),
@@ -318,7 +349,8 @@ UNION ALL SELECT 'user_info', count(*) FROM ui UNION ALL SELECT 'session', count
             """SELECT event_id, CAST(action_time < noon AS INTEGER) AS before, CAST(action_time > noon AS INTEGER) AS after,
   CAST(date_diff('second', noon, action_time) AS INTEGER) AS minus, CAST(0 AS INTEGER) AS minus_bad,
   strftime(action_time, '%Y-%m-%d_%H') AS date_hour, strftime(day, '%Y-%m-%d') AS date,
-  strftime(action_time, '%Y-%m-%d %H:%M:%S') AS time
+  strftime(action_time, '%Y-%m-%d %H:%M:%S') AS time, strftime(day, '%Y-%m-%d') AS today,
+  strftime(day - INTERVAL 1 DAY, '%Y-%m-%d') AS yesterday
 FROM (SELECT *, CAST(day AS TIMESTAMP) + INTERVAL 12 HOUR AS noon FROM acts)"""
         ),
         "ratio_half_up": query(

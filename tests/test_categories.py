@@ -1,9 +1,11 @@
 import random
+import re
 from collections import Counter
 
 import pytest
 
 from clickflow.operators import categories
+from clickflow.operators.staging import stage
 
 TIME = "2019-01-20 08:00:00"
 ROWS = (
@@ -37,10 +39,9 @@ def test_counts_per_session_and_category(table):
     ]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_only_kept_sessions_count(table, small):
-    kept = table.select("session_id").filter("session_id <> 'c'").distinct()
-    counts = categories.kept_category_counts(table, kept, small)
+def test_only_kept_sessions_count(table):
+    kept = stage(table.select("session_id").filter("session_id <> 'c'").distinct(), "kept")
+    counts = categories.kept_category_counts(table, kept)
     assert sorted(r.category_id for r in categories.categories_touched(counts).collect()) == [1, 2, 3]
     assert sorted(map(tuple, categories.category_count(counts, "click").collect())) == [(1, 2), (2, 1)]
     assert sorted(map(tuple, categories.category_count(counts, "order").collect())) == [(1, 1), (2, 1)]
@@ -80,3 +81,37 @@ def test_sessions_without_clicks_are_not_active(table):
     counts = categories.session_category_counts(table)
     found = categories.top_category_sessions(counts, categories.top_categories(counts))
     assert {tuple(r) for r in found.collect()} == {(1, "a", 2), (2, "b", 1), (9, "c", 1)}
+
+
+COUNTS = "session_id string, category_id bigint, click_count bigint, order_count bigint, pay_count bigint"
+
+
+def test_every_top_category_keeps_its_own_sessions(spark):
+    rows = [(f"s{i}", c, 10 * c + i, 0, 0) for c in range(1, 5) for i in range(3)]
+    counts = spark.createDataFrame(rows, COUNTS)
+    found = categories.top_category_sessions(counts, categories.top_categories(counts, 4), 2)
+    assert {tuple(r) for r in found.collect()} == {(c, f"s{i}", 10 * c + i) for c in range(1, 5) for i in (1, 2)}
+
+
+def test_large_ranks_are_limited_before_the_last_shuffle(spark, monkeypatch):
+    random.seed(4)
+    rows = [(f"s{i:03d}", i % 3, random.randint(1, 9), 0, 0) for i in range(400)]
+    counts = spark.createDataFrame(rows, COUNTS)
+    top = stage(categories.top_categories(counts), "top")
+    plain = categories.top_category_sessions(counts, top, 20).collect()
+    monkeypatch.setattr(categories, "LIMITED_RANK", 10)
+    sliced = categories.top_category_sessions(counts, top, 20)
+    assert sorted(map(tuple, sliced.collect())) == sorted(map(tuple, plain))
+    monkeypatch.undo()
+    plan = categories.top_category_sessions(counts, top, 2000)._jdf.queryExecution().executedPlan().toString()
+    last, first = [m.start() for m in re.finditer("Exchange hashpartitioning", plan)][:2]
+    assert re.search(r"Filter \(rank#\d+ <= 2000\)", plan[last:first])
+
+
+def test_malformed_ids_of_dropped_sessions_do_no_harm(actions):
+    table = actions(
+        dict(session_id="a", time=TIME, order_category_ids="1,2"), dict(session_id="b", time=TIME, order_category_ids="1,x")
+    )
+    kept = stage(table.filter("session_id = 'a'").select("session_id"), "kept")
+    counts = categories.kept_category_counts(table, kept)
+    assert sorted(r.category_id for r in counts.collect()) == [1, 2]

@@ -5,9 +5,10 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickflow import main, schemas
-from clickflow.operators import sampling, staging
+from clickflow.operators import staging
 from clickflow.params import TaskParams
 from clickflow.plans import jobs
 from clickflow.sinks.results import read_result
@@ -101,12 +102,16 @@ def test_session_analysis(world):
     assert top_detail == {s: steps[s] for _, _, s, _ in active}
 
 
-def test_large_kept_lists_give_the_same_ranking(world, monkeypatch):
+def test_large_kept_lists_give_the_same_ranking(world):
     _, _, table, users = world
     small = jobs.session_analysis(table, users, PARAMS, 7)
-    monkeypatch.setattr(jobs, "SMALL_KEPT", 0)
-    monkeypatch.setattr(sampling, "BROADCAST_IDS", 0)
-    large = jobs.session_analysis(table.repartition(11), users, PARAMS, 7)
+    spark = table.sparkSession
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = jobs.session_analysis(table.repartition(11), users, PARAMS, 7)
+        large = {name: spark.createDataFrame(df.collect(), df.schema) for name, df in large.items()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     for name in small:
         assert sorted(map(repr, small[name].collect())) == sorted(map(repr, large[name].collect())), name
 
@@ -190,8 +195,56 @@ def test_command_line_runs_a_task_on_catalog_tables(spark, world, tmp_path):
 
 
 def test_command_line_options():
-    args = main.parse_args(["3", "--target", "t", "--jdbc", "url=jdbc:x?a=b", "--jdbc", "user=u", "--hive"])
-    assert (args.task_id, args.hive, args.jdbc) == (3, True, ["url=jdbc:x?a=b", "user=u"])
+    args = main.parse_args(["3", "--target", "t", "--tiebreak", "event_id", "--top", "20", "--top-sessions", "5", "--hive"])
+    assert (args.task_id, args.hive, args.tiebreak, args.top, args.top_sessions) == (3, True, "event_id", 20, 5)
+    with pytest.raises(SystemExit):
+        main.parse_args(["3"])
+
+
+def test_jdbc_options_come_from_a_file(tmp_path):
+    (tmp_path / "options").write_text("# of the task database\nurl=jdbc:x?a=b\n\nuser=u\n")
+    assert main.jdbc_options(tmp_path / "options") == {"url": "jdbc:x?a=b", "user": "u"}
+
+
+def test_command_line_with_tiebreak_writes_catalog_tables(spark, world):
+    _, _, table, users = world
+    numbered = table.withColumn("event_id", F.monotonically_increasing_id())
+    numbered.createOrReplaceTempView("numbered_actions")
+    users.createOrReplaceTempView("cli_users")
+    task_table(spark).createOrReplaceTempView("cli_tasks")
+    spark.sql("CREATE DATABASE IF NOT EXISTS run_results")
+    names = ["--actions", "numbered_actions", "--users", "cli_users", "--tasks", "cli_tasks"]
+    tables = main.main(["7", "--database", "run_results", "--tiebreak", "event_id", "--top", "3", *names])
+    assert set(tables) == set(SCHEMAS)
+    assert spark.table(tables["top10_category"]).count() == 3
+    assert spark.table(tables["page_conversion"]).filter("task_id = 7").count() == 2
+
+
+def test_a_bad_page_flow_is_found_before_any_work():
+    with pytest.raises(ValueError):
+        TaskParams.from_texts({"targetPageFlow": "1,2,1"})
+
+
+class Fixed:
+    """A context whose master is not this process."""
+
+    applicationId = "app"
+
+    def __init__(self, master):
+        self.master = master
+
+    def getCheckpointDir(self):
+        return None
+
+
+@pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", "yarn", "spark://host:7077"])
+def test_clusters_need_a_shared_folder(master):
+    class Session:
+        conf = {}
+        sparkContext = Fixed(master)
+
+    with pytest.raises(ValueError):
+        staging.shared_folder(Session())
 
 
 def test_session_settings(spark):

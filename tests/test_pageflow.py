@@ -99,10 +99,49 @@ def test_actions_outside_a_session_have_no_next_page(spark, hot_rows):
     assert found == {(1, None): 5, (1, 2): 1, (2, 3): 1, (3, None): 1}
 
 
-def test_hot_keys_are_the_largest_within_the_limit(spark):
+def nulls_first(value):
+    return (value is not None, value or 0) if not isinstance(value, dt.datetime) else (True, value)
+
+
+def ordered(key):
+    def of(row):
+        time, rest = key(row)
+        return (time is not None, time or dt.datetime.min), nulls_first(rest)
+
+    return of
+
+
+@pytest.mark.parametrize("tiebreak, key", [("event_id", by_event), (None, by_page)])
+@pytest.mark.parametrize("hot_rows", [10**9, 20, 1])
+def test_null_times_and_pages_come_first_at_every_size(spark, tiebreak, key, hot_rows):
+    rows = [
+        (session, None if i % 7 == 0 else page, None if i % 5 == 0 else time, i)
+        for i, (session, page, time, _) in enumerate(random_rows(3, 300))
+    ]
+    rows += [("tiny", 1, None, 1001), ("tiny", 2, dt.datetime(2024, 1, 1), 1002), ("tiny", 3, dt.datetime(2024, 1, 2), 1003)]
+    found = steps_of(spark, rows, tiebreak=tiebreak, hot_rows=hot_rows, piece=30)
+    assert found == brute_force(rows, ordered(key))
+
+
+def test_a_hot_session_adds_one_scan_and_no_shuffle_of_the_others(spark):
+    rows = random_rows(6)
+    table = spark.createDataFrame(rows, SCHEMA)
+
+    def exchanges(hot_rows):
+        paired = []
+        stage = pageflow.stage
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(pageflow, "stage", lambda df, name: paired.append(df) or stage(df, name))
+            steps = pageflow.page_steps(table, hot_rows=hot_rows)
+        frame = paired[-1] if len(paired) > 1 else steps
+        return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    assert exchanges(50) == exchanges(10**9) == 2
+
+
+def test_hot_keys_are_all_above_the_limit(spark):
     table = spark.createDataFrame([(k,) for k in "aaaabbbccd"], "k string")
     assert [r.k for r in hot_keys(table, "k", rows=1).orderBy("k").collect()] == ["a", "b", "c"]
-    assert [r.k for r in hot_keys(table, "k", rows=1, most=2).orderBy("k").collect()] == ["a", "b"]
     assert hot_keys(table, "k", rows=4).collect() == []
 
 

@@ -3,10 +3,10 @@ import hashlib
 from collections import Counter, defaultdict
 
 import pytest
-from pyspark.sql import functions as F
 
 from clickflow import schemas
 from clickflow.operators import sampling
+from clickflow.operators.sessions import actions_of
 
 SCHEMA = "session_id string, start_time timestamp_ntz"
 
@@ -69,10 +69,13 @@ def test_sample_matches_brute_force(sessions, size, seed):
     assert set(found) == brute_force(STRATA, size, seed)
 
 
-def test_sample_without_broadcast_is_the_same(sessions, monkeypatch):
-    monkeypatch.setattr(sampling, "BROADCAST_IDS", 0)
-    sample = sampling.sample_sessions(sessions(STRATA), 300)
-    assert {r.session_id for r in sample.collect()} == brute_force(STRATA, 300, 0)
+def test_sessions_without_a_start_take_no_part(spark, sessions):
+    table = sessions(STRATA).unionByName(spark.createDataFrame([(f"none{i}", None) for i in range(200)], SCHEMA))
+    assert sampling.sample_quota(table, 300).count() == len(STRATA)
+    assert sampling.sessions_per_hour(table).count() == len(STRATA)
+    drawn = [r.session_id for r in sampling.sample_sessions(table, 300).collect()]
+    assert set(drawn) == brute_force(STRATA, 300, 0)
+    assert len(drawn) == sum(expected_quota(STRATA, 300).values())
 
 
 def test_sample_does_not_depend_on_partitions_but_on_the_seed(sessions):
@@ -109,7 +112,7 @@ def test_detail_and_extract_records(actions):
         dict(session_id="c", time="2019-01-20 09:00:00", page_id=3),
     )
     chosen = table.filter("session_id <> 'c'").select("session_id")
-    picked = sampling.actions_of_few(table, chosen, 2)
+    picked = actions_of(table, chosen)
     detail = sampling.detail_records(picked, 7)
     assert [(f.name, f.dataType) for f in detail.schema] == [(f.name, f.dataType) for f in schemas.SESSION_DETAIL]
     assert sorted((r.task_id, r.session_id, r.action_time) for r in detail.collect()) == [
@@ -125,15 +128,3 @@ def test_detail_and_extract_records(actions):
         (7, "a", "2019-01-20 08:00:01", "k", "4"),
         (7, "b", "2019-01-20 09:00:00", None, None),
     ]
-
-
-def test_long_id_lists_are_not_broadcast_by_hint(spark, actions):
-    table = actions(dict(session_id="a", time="2019-01-20 08:00:00"))
-    ids = spark.range(1).select(F.lit("a").alias("session_id"))
-
-    def hinted(bound):
-        plan = sampling.actions_of_few(table, ids, bound)._jdf.queryExecution().analyzed().toString()
-        return "ResolvedHint" in plan
-
-    assert hinted(sampling.BROADCAST_IDS)
-    assert not hinted(sampling.BROADCAST_IDS + 1)

@@ -7,6 +7,7 @@ from clickflow.operators import filters
 from clickflow.operators.sessions import (
     actions_of,
     attach_users,
+    kept_rollup,
     kept_sessions,
     session_measures,
     session_rollup,
@@ -219,3 +220,33 @@ def test_a_hot_session_is_split_at_run_time(spark, small_skew):
     joined = actions_of(table, kept)
     assert "skew=true" in final_plan(joined)
     assert joined.count() == 20_000
+
+
+def test_actions_without_a_session_make_no_session(actions):
+    rows = [dict(session_id=None, time="2019-01-20 08:00:00", search_keyword=f"k{i}") for i in range(5)]
+    table = actions(*rows, dict(session_id="a", time="2019-01-20 08:00:00"))
+    assert [r.session_id for r in session_rollup(table).collect()] == ["a"]
+    assert [r.session_id for r in session_measures(table).collect()] == ["a"]
+
+
+def test_lists_are_built_for_kept_sessions_only(actions, users):
+    """Users' attributes are plain columns here, so only the join with the kept list can help."""
+    rows = [
+        dict(session_id=f"s{i % 9}", user_id=i % 9, time="2019-01-20 08:00:00", search_keyword=f"k{i % 4}", click_category_id=i % 5)
+        for i in range(90)
+    ]
+    people = users(*[dict(user_id=u, age=10 + u, professional="p", city="c", sex="male") for u in range(9)])
+    params = TaskParams(start_age=12, end_age=15, sex="male", keywords=("k1",))
+    table = actions(*rows)
+    kept = stage(kept_sessions(table, people, params), "kept_sessions")
+    found = kept_rollup(table, kept)
+    everything = attach_users(session_rollup(table), people)
+    expected = filters.filter_sessions(everything, params)
+    assert sorted(map(repr, found.select(*expected.columns).collect())) == sorted(map(repr, expected.collect()))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("LeftSemi") > plan.index("collect_set")
+
+
+def test_a_rollup_is_one_shuffle(actions):
+    plan = session_rollup(actions(*ACTIONS))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_collect_set" in plan
