@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import parts_for, small_side, staged, union
+from clickflow.llm.common import parts_for, staged, union
 
 LENGTH = 100
 GRAM = 20
@@ -331,7 +331,7 @@ AROUND = "bucket int, doc long, copy int, begin long, bytes binary"
 def surroundings(docs: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
     """The bytes around the asked anchors, by bucket of their gram."""
     wanted = asked.groupBy("doc", "copy").agg(F.collect_list(F.struct("place", "gram", "left", "right")).alias("places"))
-    wanted = small_side(wanted.select(F.col("doc").alias("d"), F.col("copy").alias("c"), "places"), "asked")
+    wanted, _ = staged(wanted.select(F.col("doc").alias("d"), F.col("copy").alias("c"), "places"), "asked")
     texts = docs.join(wanted, (F.col("doc") == F.col("d")) & (F.col("copy") == F.col("c"))).select("doc", "copy", "text", "places")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -422,7 +422,7 @@ def suffix_dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     surroundings are matched by 64-bit hashes, shared strings inside them byte by byte.
     """
     docs = numbered(df, key, text)
-    gone = small_side(removals(docs).select(F.col("doc").alias("d"), F.col("copy").alias("c"), "starts", "ends"), "removals")
+    gone, _ = staged(removals(docs).select(F.col("doc").alias("d"), F.col("copy").alias("c"), "starts", "ends"), "removals")
     joined = docs.join(gone, (F.col("doc") == F.col("d")) & (F.col("copy") == F.col("c")), "left").select("doc", "text", "starts", "ends")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
