@@ -27,6 +27,9 @@ STEPS = 8
 # Postings in one task, and postings of one shingle from which on its list is split.
 POSTINGS_EACH = 400_000
 HOT_POSTINGS = 20_000
+# Partners of one set in one group of pairs, and bytes of sets that a task holds before it sends them.
+PARTNERS = 256
+SENT_BYTES = 16 << 20
 # Parts of the shingle space whose counts bound the overlap of two sets.
 RANGE_BITS = 6
 MOST_WORDS_CACHED = 400_000
@@ -88,7 +91,7 @@ SIGNATURES = "doc_id long, n long, class long, ranges array<smallint>, chunk int
 
 def signatures(df: DataFrame, key: str, text: str) -> DataFrame:
     """A row per document with its set's size, class and counts by range, and rows with
-    each task's share of the frequency sketch."""
+    each task's share of the frequency sketch, in which a task counts a shingle up to 255 times."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
@@ -111,7 +114,7 @@ def signatures(df: DataFrame, key: str, text: str) -> DataFrame:
             arrays = [ids, *(pa.array(v, t) for v, t in zip((sizes, classes, ranges), types[1:4])), *empty]
             yield pa.RecordBatch.from_arrays(arrays, names)
         if sketch.any():
-            parts = np.minimum(sketch, 65535).astype("<u2").reshape(-1, 1 << CHUNK_BITS)
+            parts = np.minimum(sketch, 255).astype(np.uint8).reshape(-1, 1 << CHUNK_BITS)
             n = len(parts)
             none = [pa.nulls(n, t) for t in types[:4]]
             counts = pa.array([part.tobytes() for part in parts], pa.binary())
@@ -126,7 +129,7 @@ def frequency_steps(sketch: DataFrame) -> np.ndarray:
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(1 << CHUNK_BITS, dtype=np.uint64)
         for counts in rows["counts"]:
-            total += np.frombuffer(counts, dtype="<u2")
+            total += np.frombuffer(counts, dtype=np.uint8)
         steps = np.minimum(255, np.rint(STEPS * np.log2(1.0 + total))).astype(np.uint8)
         return pd.DataFrame({"chunk": rows["chunk"][:1], "steps": [steps.tobytes()]})
 
@@ -257,51 +260,65 @@ def _filtered(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return joined.filter(full | (most >= needed_overlap(F.col("n_a"), F.col("n_b")))).select("a", "b")
 
 
+# A set on its way to a group of pairs that share ``one``; ``other`` is null for that one's own set.
+SENT = "one long, part int, other long, tokens binary"
+
+
 def verify(pairs: DataFrame, df: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
     """The linked ones of distinct pairs of classes (a < b).
 
-    Each class's shingles are read again from one document's text, only for classes in pairs.
-    One side of a pair travels with it, the other once for each chunk of its partners.
+    Each class's shingles are read again from one document's text, only for classes in
+    pairs, and sent straight to the groups that need them: one side of a pair for each pair, the
+    other once for each ``PARTNERS`` of its partners.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes.select("class", "doc_id"), "class")
+    counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("parts"))
+    part = F.expr("CAST(pmod(xxhash64(b), parts) AS INT)").alias("part")
+    routes = pairs.join(counts, "a").select(F.col("b").alias("class"), F.col("a").alias("one"), part, F.col("b").alias("other"))
+    own = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    own = counts.select(F.col("a").alias("class"), F.col("a").alias("one"), own, F.lit(None).cast("long").alias("other"))
+    routes = routes.unionByName(own).groupBy("class").agg(F.collect_list(F.struct("one", "part", "other")).alias("routes"))
+    wanted = routes.join(classes.select("class", "doc_id"), "class")
     # Null ids are a value of their own here.
-    wanted = small_side(wanted.select("class", F.col("doc_id").alias("__doc")), "wanted")
+    wanted = small_side(wanted.select("class", F.col("doc_id").alias("__doc"), "routes"), "wanted")
     rows = df.select(F.col(key).cast("long").alias("__key"), F.col(text).alias("text"))
-    texts = rows.join(wanted, F.col("__key").eqNullSafe(F.col("__doc"))).select("class", "text")
+    texts = rows.join(wanted, F.col("__key").eqNullSafe(F.col("__doc"))).select("class", "text", "routes")
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [part.split()[0] for part in SENT.split(", ")]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
         for batch in batches:
-            out = []
-            for own, data in zip(batch.column("class").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+            out, held = [], 0
+            columns = (batch.column("class").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), batch.column("routes"))
+            for own, data, routes in zip(*columns):
                 tokens = shingles(data)
+                # Rows that share the id may hold another text, or the same one twice.
                 if len(tokens) and _class_of(tokens) == own:
-                    out.append((own, tokens.tobytes()))
-            columns = list(zip(*out)) if out else [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary())], ["class", "tokens"])
-
-    # Rows that share an id may hold the same text twice.
-    sets = texts.mapInArrow(read, "class long, tokens binary").groupBy("class").agg(F.first("tokens").alias("tokens"))
-    sets, _ = staged(sets, "shingle_sets")
-    partners = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / 256).alias("chunks"))
-    dealt = pairs.join(partners, "a").withColumn("chunk", F.expr("pmod(xxhash64(b), chunks)"))
-    right = dealt.join(sets, F.col("b") == F.col("class")).select("a", "chunk", "b", F.col("tokens").alias("others"))
-    left = partners.join(sets, F.col("a") == F.col("class"))
-    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
-    left = left.select(F.col("a").alias("one"), each.alias("part"), F.col("tokens").alias("own"))
-
-    def compare(one: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(one):
-            own = np.frombuffer(one["own"].iloc[0], dtype=np.uint64)
-            for b, data in zip(others["b"], others["others"]):
-                tokens = np.frombuffer(data, dtype=np.uint64)
+                    packed = tokens.tobytes()
+                    out += [(*route, packed) for route in zip(*(f.to_pylist() for f in routes.values.flatten()))]
+                    held += len(packed) * len(routes.values)
+                if held > SENT_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+                    out, held = [], 0
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+
+    def compare(group: pa.Table) -> pa.Table:
+        found = set()
+        others = group.column("other").to_pylist()
+        sets = group.column("tokens")
+        own = np.frombuffer(sets[others.index(None)].as_py(), dtype=np.uint64)
+        one = group.column("one")[0].as_py()
+        for other, data in zip(others, sets):
+            if other is not None:
+                tokens = np.frombuffer(data.as_py(), dtype=np.uint64)
                 at = np.minimum(np.searchsorted(own, tokens), len(own) - 1)
                 shared = int((own[at] == tokens).sum())
                 if OVER * shared >= UNDER * (len(own) + len(tokens) - shared):
-                    out.append((one["one"].iloc[0], b))
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+                    found.add(other)
+        return pa.table([pa.array([one] * len(found), pa.int64()), pa.array(sorted(found), pa.int64())], names=["a", "b"])
 
-    return left.groupBy("one", "part").cogroup(right.groupBy("a", "chunk")).applyInPandas(compare, "a long, b long")
+    sent = texts.mapInArrow(send, SENT)
+    return sent.groupBy("one", "part").applyInArrow(compare, "a long, b long")
 
 
 def _labelled(lists: DataFrame, links: DataFrame) -> DataFrame:
