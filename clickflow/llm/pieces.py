@@ -21,7 +21,9 @@ from clickflow.llm.common import parts_for, small_side
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 # Text to a chunk: documents that are in memory together, with the codes of their segments.
-CHUNK_BYTES = 48 << 20
+CHUNK_BYTES = 24 << 20
+# Text whose distinct segments make one task's lattices: they are some fifty times their segments' size.
+LATTICE_BYTES = 3 << 20
 # What an unknown character scores below the worst piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -108,22 +110,26 @@ def best_paths(edges: DataFrame, carried: str) -> DataFrame:
     """
     edge = F.struct("end", "start", "score", "id")
     grouped = edges.groupBy("segment").agg(F.sort_array(F.collect_list(edge)).alias("edges"), F.first(carried, ignorenulls=True).alias(carried))
-    kind = "array<struct<score:double,start:int,id:int>>"
-    begin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("start"), F.lit(None).cast("int").alias("id"))).cast(kind)
-
-    def extend(best, e):
-        here = F.struct((F.get(best, e["start"])["score"] + e["score"]).alias("score"), e["start"].alias("start"), e["id"].alias("id"))
-        better = here["score"] > F.get(best, e["end"])["score"]
-        new = F.when(F.size(best) == e["end"], F.concat(best, F.array(here)))
-        return new.when(better, F.concat(F.slice(best, F.lit(1), e["end"]), F.array(here))).otherwise(best)
-
-    best = F.aggregate("edges", begin, extend)
+    # The best way to a place: its score, minus its last edge's start, and that edge's id. Of
+    # two ways the greater one is better.
+    kind = "struct<score:double,back:int,id:int>"
+    none = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(None).cast("int").alias("id")).cast(kind)
+    begin = F.struct(F.array().cast(f"array<{kind}>").alias("done"), none.alias("here"), F.lit(0).alias("end"))
+
+    def extend(s, e):
+        before = F.when(e["start"] == s["end"], s["here"]["score"]).otherwise(F.get(s["done"], e["start"])["score"])
+        way = F.struct((before + e["score"]).alias("score"), (-e["start"]).alias("back"), e["id"].alias("id"))
+        same = F.struct(s["done"].alias("done"), F.greatest(s["here"], way).alias("here"), s["end"].alias("end"))
+        new = F.struct(F.concat(s["done"], F.array(s["here"])).alias("done"), way.alias("here"), e["end"].alias("end"))
+        return F.when(s["end"] == e["end"], same).otherwise(new)
+
+    best = F.aggregate("edges", begin, extend, lambda s: F.concat(s["done"], F.array(s["here"])))
     state = F.struct(F.length("segment").alias("at"), F.array().cast("array<struct<start:int,id:int>>").alias("path"))
 
     def back(s, at):
         e = F.get(F.col("best"), at)
-        step = F.struct(e["start"].alias("start"), e["id"].alias("id"))
-        return F.when(s["at"] == at, F.struct(e["start"].alias("at"), F.concat(F.array(step), s["path"]).alias("path"))).otherwise(s)
+        step = F.struct((-e["back"]).alias("start"), e["id"].alias("id"))
+        return F.when(s["at"] == at, F.struct((-e["back"]).alias("at"), F.concat(F.array(step), s["path"]).alias("path"))).otherwise(s)
 
     places = F.sequence(F.length("segment"), F.lit(1), F.lit(-1))
     path = F.aggregate(places, state, back, lambda s: s["path"])
@@ -140,7 +146,9 @@ def codes(paths: DataFrame, byte_ids: dict[int, int], unknown: int) -> DataFrame
         fallback = F.transform(bytes_, lambda b: F.get(spelled, b)) if byte_ids else F.array(F.lit(unknown))
         return F.when(e["id"].isNotNull(), F.array(e["id"])).otherwise(fallback)
 
-    return paths.withColumn("ids", F.flatten(F.transform("path", ids))).drop("path")
+    known = F.forall("path", lambda e: e["id"].isNotNull())
+    found = F.when(known, F.col("path")["id"]).otherwise(F.flatten(F.transform("path", ids)))
+    return paths.withColumn("ids", found).drop("path")
 
 
 PACKED = "chunk int, docs binary"
@@ -214,10 +222,10 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", model: str =
     # The table is the model's, not the data's; its size is checked like any other.
     table = small_side(spark.createDataFrame(ordinary, "piece string, id int, score double"), "pieces")
     docs = df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    chunks = parts_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0, CHUNK_BYTES)
-    packed = _packed(docs, chunks)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    packed = _packed(docs, parts_for(size, CHUNK_BYTES))
     # A segment's list of chunks stays in one cell: at most one small number for each chunk.
-    segments = _chunk_segments(packed, model).groupBy("segment").agg(F.collect_list("chunk").alias("chunks"))
+    segments = _chunk_segments(packed, model).repartition(parts_for(size, LATTICE_BYTES), "segment").groupBy("segment").agg(F.collect_list("chunk").alias("chunks"))
     edges = lattice(segments, table, most, worst)
     once = F.when((F.col("start") == 0) & (F.col("end") == 1), F.col("chunks"))
     found = codes(best_paths(edges.withColumn("chunks", once), "chunks"), byte_ids, unknown)
@@ -229,6 +237,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", model: str =
         offsets, values = ids.offsets.to_numpy(), ids.values.to_numpy()
         code = {s: values[a:b].astype("<i4").tobytes() for s, a, b in zip(known.column("segment").to_pylist(), offsets[:-1], offsets[1:])}
         by_word: dict[str, bytes] = {}
+        altered: set[str] = set()
         keys, encoded, whole = [], [], []
         for blob in docs.column("docs").to_pylist():
             for doc, content in _unpacked(blob):
@@ -237,11 +246,14 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", model: str =
                     data = by_word.get(word)
                     if data is None:
                         data = by_word[word] = b"".join([code[s] for s in _cut(word, pattern)])
+                        spoken = word if word[:2] == "  " else " " + word
+                        if decode_ids(memoryview(data).cast("i"), spelled) != spoken[1:]:
+                            altered.add(word)
                     out.append(data)
-                joined = b"".join(out)
                 keys.append(doc)
-                encoded.append(joined)
-                whole.append(decode_ids(memoryview(joined).cast("i"), spelled) == content)
+                encoded.append(b"".join(out))
+                # The text is its words, each read back above, unless it has the sign itself.
+                whole.append(SPACE not in content and not (altered and altered.intersection(_words(content))))
         ends = [0]
         for data in encoded:
             ends.append(ends[-1] + len(data) // 4)
