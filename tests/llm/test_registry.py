@@ -1,0 +1,38 @@
+"""Every query of this subpackage with SQL against DuckDB, over whole small tables."""
+
+import glob
+import os
+import re
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from clickflow.llm import sql
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in glob.glob(f"{SF_DIR}/*.parquet"):
+        connection.execute(f"CREATE VIEW {os.path.basename(path).removesuffix('.parquet')} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def test_every_operator_is_registered_once():
+    numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in entry.queries() if name.startswith("op"))
+    assert numbers == list(range(1, 11))
+    assert "pipeline" in entry.queries()
+
+
+@pytest.mark.parametrize("name", sorted(sql.oracle_sql()))
+def test_query_matches_sql(spark, duck, name):
+    found = entry.queries()[name](spark, SF_DIR)
+    result = duck.execute(entry.oracle_sql()[name])
+    columns = [column[0] for column in result.description]
+    assert sorted(found.columns) == sorted(columns)
+    order = sorted(columns)
+    expected = [dict(zip(columns, row)) for row in result.fetchall()]
+    assert sorted(repr([r[c] for c in order]) for r in found.collect()) == sorted(repr([r[c] for c in order]) for r in expected)
