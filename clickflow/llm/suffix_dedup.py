@@ -27,6 +27,9 @@ BLOCK = 1 << 20
 HELD = 300_000
 ANCHORS_EACH = 150_000
 SURROUNDINGS_EACH = 10_000
+# A gram with so many different surroundings, or with this share of all, is matched string by string.
+HOT_GRAM = 20_000
+HOT_SHARE = 1e-5
 
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -140,8 +143,81 @@ def _merged(spans: dict) -> dict:
     return {"span_doc": doc[firsts], "span_copy": copy[firsts], "start": start[firsts], "end": reach[lasts] - number[lasts] * (1 << 40)}
 
 
-def scan(docs: DataFrame, buckets: int) -> DataFrame:
-    """All anchors, packed by bucket, and spans of surroundings a task has met before."""
+def _read(batch: pa.RecordBatch):
+    """The fields of a batch's anchors, in the order of ``FIELDS``, and its bytes."""
+    texts = batch.column("text").cast(pa.binary()).fill_null(b"")
+    if not len(texts):
+        return None
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    if offsets[-1] == offsets[0]:
+        return None
+    data = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
+    offsets -= offsets[0]
+    document, place, gram, around, left, right = anchors(data, offsets[:-1], offsets[1:])
+    doc = np.asarray(batch.column("doc"), dtype=np.int64)[document]
+    copy = np.asarray(batch.column("copy"), dtype=np.int32)[document]
+    fields = (gram, around, doc, copy, place.astype(np.uint32), left.astype(np.uint8), right.astype(np.uint8))
+    return fields, data, offsets[:-1][document] + place
+
+
+def hot_grams(docs: DataFrame, total: int) -> np.ndarray:
+    """Hashes of the grams with very many different surroundings, sorted.
+
+    Every task counts its surroundings of each gram, and leaves out counts so small that
+    all of them together cannot make half a hot gram. At most 2 / ``HOT_SHARE`` grams are found.
+    """
+    limit = max(HOT_GRAM, total * HOT_SHARE)
+    flushes = total // HELD + docs.rdd.getNumPartitions()
+    least = max(1, int(limit / 2 / flushes))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n_held = [], 0
+
+        def send():
+            pairs = np.unique(np.stack([np.concatenate(column) for column in zip(*held)], axis=1), axis=0)
+            grams, counts = np.unique(pairs[:, 0], return_counts=True)
+            many = counts >= least
+            return _batch({"gram": grams[many].view(np.int64), "n": counts[many]}, "gram long, n long")
+
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                if (found := _read(batch)) is not None:
+                    held.append(found[0][:2])
+                    n_held += len(found[0][0])
+                if n_held >= HELD:
+                    yield send()
+                    held, n_held = [], 0
+            if n_held:
+                yield send()
+
+    counted = docs.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    hot = [row.gram for row in counted.filter(F.col("n") >= limit / 2).select("gram").collect()]
+    return np.sort(np.array(hot, dtype=np.int64).view(np.uint64))
+
+
+def _string_by_string(fields, data: np.ndarray, at: np.ndarray):
+    """Each string around the given anchors as an anchor of its own, its hash being its gram."""
+    gram, around, doc, copy, place, left, right = fields
+    count = left.astype(np.int64) + right - LENGTH + 1
+    row = np.repeat(np.arange(len(gram)), count)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    start = at[row] - left[row] + step
+    words, up, _ = _tables_for(BLOCK)
+    own = np.zeros(len(row), dtype=np.uint64)
+    for k in range(LENGTH):
+        own += words[data[start + k]] * up[k]
+    own = _mixed(own)
+    zeros = np.zeros(len(row), dtype=np.uint8)
+    first = place[row].astype(np.int64) - left[row] + step
+    return own, own, doc[row], copy[row], first.astype(np.uint32), zeros, zeros + np.uint8(LENGTH)
+
+
+def scan(docs: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
+    """All anchors, packed by bucket, and spans of surroundings a task has met before.
+
+    Around hot grams every string is dealt out by itself, so that no bucket holds them all.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n_held = [], 0
@@ -164,22 +240,20 @@ def scan(docs: DataFrame, buckets: int) -> DataFrame:
 
         with np.errstate(over="ignore"):
             for batch in batches:
-                texts = batch.column("text").cast(pa.binary()).fill_null(b"")
-                if not len(texts):
+                if (found := _read(batch)) is None:
                     continue
-                offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
-                if offsets[-1] == offsets[0]:
-                    continue
-                data = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
-                offsets -= offsets[0]
-                document, place, gram, around, left, right = anchors(data, offsets[:-1], offsets[1:])
-                doc = np.asarray(batch.column("doc"), dtype=np.int64)[document]
-                copy = np.asarray(batch.column("copy"), dtype=np.int32)[document]
-                held.append((gram, around, doc, copy, place.astype(np.uint32), left.astype(np.uint8), right.astype(np.uint8)))
-                n_held += len(gram)
-                if n_held >= HELD:
-                    yield from send()
-                    held, n_held = [], 0
+                fields, data, at = found
+                many = np.isin(fields[0], shared.value)
+                parts = [tuple(f[~many] for f in fields)]
+                # A limited number of strings at a time.
+                for rows in np.array_split(np.flatnonzero(many), max(1, int(many.sum()) // (HELD // GRAMS))):
+                    parts.append(_string_by_string(tuple(f[rows] for f in fields), data, at[rows]))
+                for part in parts:
+                    held.append(part)
+                    n_held += len(part[0])
+                    if n_held >= HELD:
+                        yield from send()
+                        held, n_held = [], 0
             if n_held:
                 yield from send()
 
@@ -390,8 +464,9 @@ def removals(docs: DataFrame) -> DataFrame:
     """``REMOVALS``: the maximal spans that each document loses."""
     n = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # An anchor comes about every half window of grams.
-    buckets = parts_for(2 * n // GRAMS, ANCHORS_EACH)
-    met, _ = staged(compare(scan(docs, buckets)), "met")
+    total = 2 * n // GRAMS
+    buckets = parts_for(total, ANCHORS_EACH)
+    met, _ = staged(compare(scan(docs, buckets, hot_grams(docs, total))), "met")
     spans = [met.filter("span_doc IS NOT NULL").select(*_column_names(SPAN))]
     asked = met.filter("doc IS NOT NULL").select(*_column_names(ASKED))
     around = surroundings(docs, asked, parts_for(asked.count(), SURROUNDINGS_EACH))

@@ -64,6 +64,19 @@ def test_removal_matches_brute_force(documents, seed):
     assert found(documents, rows) == plain(rows)
 
 
+def test_grams_with_many_surroundings_are_split(documents, monkeypatch):
+    rng = random.Random(8)
+    passage = random_text(rng, 180)
+    rows = [(i, random_text(rng, 150) + passage + random_text(rng, 150)) for i in range(40)]
+    rows += [(50, rows[3][1][100:420]), (51, rows[3][1][100:419] + "z")]
+    monkeypatch.setattr(suffix_dedup, "HOT_GRAM", 8)
+    hot = []
+    search = suffix_dedup.hot_grams
+    monkeypatch.setattr(suffix_dedup, "hot_grams", lambda *a: hot.append(search(*a)) or hot[0])
+    assert found(documents, rows) == plain(rows)
+    assert len(hot[0])
+
+
 def test_overlaps_runs_and_lengths_at_the_limit(documents):
     rng = random.Random(4)
     a = random_text(rng, 300).replace("é", "e")
