@@ -64,31 +64,34 @@ def parts_for(rows: int, each: int) -> int:
 def components(links: DataFrame, left: str = "a", right: str = "b", name: str = "component") -> DataFrame:
     """Connected components of an undirected graph: node, ``name`` (its smallest node).
 
-    Alternates large-star and small-star steps until the edges no longer change. A hub is
-    only ever aggregated to its minimum and joined with one row, so it needs no task of its
-    own. Every round is a written table; nothing but its checksum reaches the driver.
-    Null ends and loops take no part; an empty table gives an empty table.
+    In every round the ends of an edge, and the nodes that name their components so far, take the
+    smaller of the two names, and every node then the name of the node it is named after, so
+    names travel over distances that double. A hub is only ever aggregated to a minimum or joined
+    with one row. Names are written tables, whose real size decides how Spark joins them; nothing but a
+    checksum reaches the driver. Null ends and loops take no part; an empty table gives an
+    empty table.
     """
     edges = links.select(F.col(left).alias("u"), F.col(right).alias("v")).filter("u <> v")
-    edges, _ = staged(edges.selectExpr("greatest(u, v) AS u", "least(u, v) AS v").distinct(), "links")
+    edges, _ = staged(edges.selectExpr("least(u, v) AS u", "greatest(u, v) AS v").distinct(), "links")
+    ends = F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("u").alias("name")), F.struct(F.col("v").alias("node"), F.col("u").alias("name"))))
+    names = edges.select(ends.alias("e")).select("e.*").groupBy("node").agg(F.min("name").alias("name"))
+    names, _ = staged(names, "names")
     before = None
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large, _ = staged(large.filter("u <> v").distinct(), "large_star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        edges, _ = staged(small, "small_star")
-        check = edges.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        ).first()
+        seen = edges
+        for end in ("u", "v"):
+            seen = seen.join(names.select(F.col("node").alias(end), F.col("name").alias(f"name_{end}")), end)
+        both = F.least("name_u", "name_v").alias("name")
+        taken = F.explode(F.array(*(F.struct(F.col(c).alias("node"), both) for c in ("u", "v", "name_u", "name_v"))))
+        hooked = seen.filter("name_u <> name_v").select(taken.alias("e")).select("e.*").unionByName(names)
+        hooked, _ = staged(hooked.groupBy("node").agg(F.min("name").alias("name")), "hooked")
+        further = hooked.select(F.col("node").alias("name"), F.col("name").alias("next"))
+        names, _ = staged(hooked.join(further, "name").select("node", F.col("next").alias("name")), "names")
+        check = names.agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "name").cast("decimal(38,0)"))).first()
         if check == before:
             break
         before = check
-    roots = edges.select(F.col("v").alias("u")).distinct().withColumn("v", F.col("u"))
-    return edges.unionByName(roots).select(F.col("u").alias("node"), F.col("v").alias(name))
+    return names.withColumnRenamed("name", name)
 
 
 def union(frames: list[DataFrame]) -> DataFrame:

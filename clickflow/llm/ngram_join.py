@@ -30,6 +30,9 @@ HOT_POSTINGS = 20_000
 # Partners of one set in one group of pairs, and bytes of sets that a task holds before it sends them.
 PARTNERS = 256
 SENT_BYTES = 16 << 20
+# Pairs from which on a group's are compared in blocks, and the shingles of one side of a block.
+DENSE_PAIRS = 10_000
+BLOCK_SHINGLES = 200_000
 # Parts of the shingle space whose counts bound the overlap of two sets.
 RANGE_BITS = 6
 MOST_WORDS_CACHED = 400_000
@@ -248,10 +251,9 @@ def meet(packed: DataFrame, shared) -> DataFrame:
 
 def _filtered(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs whose counts by range leave room for the overlap: the suffix filter."""
-    side = small_side(classes.select("class", "n", "ranges"), "ranges")
 
     def of(name):
-        return side.select(F.col("class").alias(name), F.col("n").alias(f"n_{name}"), F.col("ranges").alias(f"ranges_{name}"))
+        return classes.select(F.col("class").alias(name), F.col("n").alias(f"n_{name}"), F.col("ranges").alias(f"ranges_{name}"))
 
     joined = pairs.join(of("a"), "a").join(of("b"), "b")
     most = F.aggregate(F.zip_with("ranges_a", "ranges_b", lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
@@ -260,23 +262,17 @@ def _filtered(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return joined.filter(full | (most >= needed_overlap(F.col("n_a"), F.col("n_b")))).select("a", "b")
 
 
-# A set on its way to a group of pairs that share ``one``; ``other`` is null for that one's own set.
-SENT = "one long, part int, other long, tokens binary"
+# A set on its way to a group; sets marked own are compared with the others of the group.
+SENT = "group long, part int, own boolean, class long, tokens binary"
 
 
-def verify(pairs: DataFrame, df: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
-    """The linked ones of distinct pairs of classes (a < b).
+def _sets_by_group(routes: DataFrame, df: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
+    """``SENT`` rows for routes (class, group, part, own).
 
-    Each class's shingles are read again from one document's text, only for classes in
-    pairs, and sent straight to the groups that need them: one side of a pair for each pair, the
-    other once for each ``PARTNERS`` of its partners.
+    Each class's shingles are read again from one document's text, only for classes with
+    routes, and sent straight to the groups that need them.
     """
-    counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("parts"))
-    part = F.expr("CAST(pmod(xxhash64(b), parts) AS INT)").alias("part")
-    routes = pairs.join(counts, "a").select(F.col("b").alias("class"), F.col("a").alias("one"), part, F.col("b").alias("other"))
-    own = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    own = counts.select(F.col("a").alias("class"), F.col("a").alias("one"), own, F.lit(None).cast("long").alias("other"))
-    routes = routes.unionByName(own).groupBy("class").agg(F.collect_list(F.struct("one", "part", "other")).alias("routes"))
+    routes = routes.groupBy("class").agg(F.collect_list(F.struct("group", "part", "own")).alias("routes"))
     wanted = routes.join(classes.select("class", "doc_id"), "class")
     # Null ids are a value of their own here.
     wanted = small_side(wanted.select("class", F.col("doc_id").alias("__doc"), "routes"), "wanted")
@@ -285,7 +281,11 @@ def verify(pairs: DataFrame, df: DataFrame, classes: DataFrame, key: str, text:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [part.split()[0] for part in SENT.split(", ")]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+        kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary()]
+
+        def packed(out):
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+
         for batch in batches:
             out, held = [], 0
             columns = (batch.column("class").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), batch.column("routes"))
@@ -293,37 +293,85 @@ def verify(pairs: DataFrame, df: DataFrame, classes: DataFrame, key: str, text:
                 tokens = shingles(data)
                 # Rows that share the id may hold another text, or the same one twice.
                 if len(tokens) and _class_of(tokens) == own:
-                    packed = tokens.tobytes()
-                    out += [(*route, packed) for route in zip(*(f.to_pylist() for f in routes.values.flatten()))]
-                    held += len(packed) * len(routes.values)
+                    held += tokens.nbytes * len(routes.values)
+                    out += [(*route, own, tokens.tobytes()) for route in zip(*(f.to_pylist() for f in routes.values.flatten()))]
                 if held > SENT_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+                    yield packed(out)
                     out, held = [], 0
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+                yield packed(out)
+
+    return texts.mapInArrow(send, SENT)
+
+
+def _linked(sent: DataFrame) -> DataFrame:
+    """Links a < b between the own and the other sets of each group, compared in full."""
 
     def compare(group: pa.Table) -> pa.Table:
-        found = set()
-        others = group.column("other").to_pylist()
-        sets = group.column("tokens")
-        own = np.frombuffer(sets[others.index(None)].as_py(), dtype=np.uint64)
-        one = group.column("one")[0].as_py()
-        for other, data in zip(others, sets):
-            if other is not None:
-                tokens = np.frombuffer(data.as_py(), dtype=np.uint64)
-                at = np.minimum(np.searchsorted(own, tokens), len(own) - 1)
-                shared = int((own[at] == tokens).sum())
-                if OVER * shared >= UNDER * (len(own) + len(tokens) - shared):
-                    found.add(other)
-        return pa.table([pa.array([one] * len(found), pa.int64()), pa.array(sorted(found), pa.int64())], names=["a", "b"])
-
-    sent = texts.mapInArrow(send, SENT)
-    return sent.groupBy("one", "part").applyInArrow(compare, "a long, b long")
-
-
-def _labelled(lists: DataFrame, links: DataFrame) -> DataFrame:
+        own, others = {}, {}
+        for mark, name, data in zip(*(group.column(c).to_pylist() for c in ("own", "class", "tokens"))):
+            (own if mark else others)[name] = np.frombuffer(data, dtype=np.uint64)
+        found = []
+        if own and others:
+            names = np.array(list(others), dtype=np.int64)
+            sizes = np.array([len(x) for x in others.values()])
+            tokens, starts = np.concatenate(list(others.values())), np.cumsum(sizes) - sizes
+            for name, mine in own.items():
+                at = np.minimum(np.searchsorted(mine, tokens), len(mine) - 1)
+                shared = np.add.reduceat((mine[at] == tokens).astype(np.int64), starts)
+                linked = (OVER * shared >= UNDER * (len(mine) + sizes - shared)) & (names != name)
+                found += [(min(name, int(x)), max(name, int(x))) for x in names[linked]]
+        columns = list(zip(*set(found))) if found else [(), ()]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
+    return sent.groupBy("group", "part").applyInArrow(compare, "a long, b long")
+
+
+def verify(pairs: DataFrame, df: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
+    """The linked ones of distinct pairs of classes (a < b).
+
+    One side of a pair travels for each pair, the other once for each ``PARTNERS`` of its partners.
+    """
+    counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("parts"))
+    part = F.expr("CAST(pmod(xxhash64(b), parts) AS INT)").alias("part")
+    routes = pairs.join(counts, "a").select(F.col("b").alias("class"), F.col("a").alias("group"), part, F.lit(False).alias("own"))
+    each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    own = counts.select(F.col("a").alias("class"), F.col("a").alias("group"), each, F.lit(True).alias("own"))
+    return _linked(_sets_by_group(routes.unionByName(own), df, classes, key, text))
+
+
+def dense_groups(apart: DataFrame) -> DataFrame:
+    """main, own_parts, other_parts: main components that hold most of their lists' classes
+    beside some others, too many to list the pairs of."""
+    members = apart.select("main", "a", "size", (F.col("component") != F.col("main")).alias("outside")).distinct()
+    alone = F.col("outside").cast("long")
+    sums = members.groupBy("main").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(alone).alias("out"), F.sum("size").alias("size"), F.sum(alone * F.col("size")).alias("out_size")
+    )
+    dense = sums.filter(f"out > 0 AND 2 * out <= n AND out * n >= {DENSE_PAIRS}")
+    own = F.ceil(F.col("out_size") / BLOCK_SHINGLES * 4).cast("int").alias("own_parts")
+    return dense.select("main", own, F.ceil(F.col("size") / BLOCK_SHINGLES).cast("int").alias("other_parts"))
+
+
+def verify_blocks(apart: DataFrame, dense: DataFrame, df: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
+    """Links of the classes outside a dense group's main component to any class of the group.
+
+    Blocks of them meet blocks of all in one task each; their pairs are never listed.
+    """
+    members = apart.select("main", "a", (F.col("component") != F.col("main")).alias("outside")).distinct().join(dense, "main")
+    mine, theirs = (F.expr(f"pmod(xxhash64(a), {n})") for n in ("own_parts", "other_parts"))
+    every = (F.explode(F.sequence(F.lit(0), F.col(n) - 1)) for n in ("own_parts", "other_parts"))
+    other = members.withColumn("i", next(every)).withColumn("part", F.col("i") * F.col("other_parts") + theirs)
+    own = members.filter("outside").withColumn("i", next(every)).withColumn("part", mine * F.col("other_parts") + F.col("i"))
+    routes = [
+        side.select(F.col("a").alias("class"), F.col("main").alias("group"), F.col("part").cast("int").alias("part"), F.lit(mark).alias("own"))
+        for side, mark in ((own, True), (other, False))
+    ]
+    return _linked(_sets_by_group(routes[0].unionByName(routes[1]), df, classes, key, text))
+
+
+def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Lists with each posting's component and its list's main one, if it has others too."""
-    labels = small_side(components(links), "labels")
     named = lists.join(labels, F.col("a") == F.col("node"), "left")
     named = named.select("shingle", "a", "size", "place", F.coalesce("component", "a").alias("component"))
     named, _ = staged(named, "labelled_lists")
@@ -333,6 +381,19 @@ def _labelled(lists: DataFrame, links: DataFrame) -> DataFrame:
     return named.join(mains.select("shingle", F.col("main.component").alias("main"), F.col("main.one").alias("one")), "shingle")
 
 
+def _joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links: the components of the named ones' graph, names replaced."""
+    ends = links
+    for end in ("a", "b"):
+        side = labels.select(F.col("node").alias(end), F.col("component").alias(f"component_{end}"))
+        ends = ends.join(side, end, "left").withColumn(f"component_{end}", F.coalesce(f"component_{end}", end))
+    found = components(ends, "component_a", "component_b", "merged").withColumnRenamed("node", "old")
+    fresh = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti")
+    every = labels.unionByName(fresh.withColumn("component", F.col("node")))
+    every = every.join(found, F.col("component") == F.col("old"), "left")
+    return small_side(every.select("node", F.coalesce("merged", "component").alias("component")), "labels")
+
+
 def _candidate(left: Column, right: Column, size: Column, place: Column, other_size: Column, other_place: Column) -> Column:
     follow = F.least(size - place, other_size - other_place)
     return (left != right) & (follow >= needed_overlap(size, other_size))
@@ -342,16 +403,16 @@ def _ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def links(df: DataFrame, docs: DataFrame, sketch: DataFrame, key: str, text: str) -> DataFrame:
-    """Links between classes that connect all that are connected: a, b.
+def class_components(df: DataFrame, docs: DataFrame, sketch: DataFrame, key: str, text: str) -> DataFrame:
+    """node, component: classes that links connect, with the smallest of their component.
 
     In a list of many copies only neighbours are compared at first. What these connect
     need not be compared again: next, postings outside their list's main component meet one
-    of its members, and then all members of other components that may link. So a group of
-    near copies costs pairs in proportion to its size, and no link between components is lost.
+    of its members, and then all members of other components that may link: in blocks,
+    where the main component is most of a large group, else as pairs. So a group of
+    near copies lists pairs in proportion to its size, and no link between components is lost.
     """
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(frequency_steps(sketch))
+    shared = df.sparkSession.sparkContext.broadcast(frequency_steps(sketch))
     prefix = F.col("n") - F.ceil(F.col("n") * UNDER / OVER) + 1
     total = docs.agg(F.sum(prefix)).first()[0] or 0
     classes = docs.filter("n > 0").groupBy("class").agg(
@@ -361,34 +422,42 @@ def links(df: DataFrame, docs: DataFrame, sketch: DataFrame, key: str, text: str
     met, _ = staged(meet(postings(df, text, shared, parts_for(total, POSTINGS_EACH)), shared), "met")
     lists = met.filter("shingle IS NOT NULL")
     tested = []
-    found = []
 
-    def test(pairs: DataFrame, name: str) -> bool:
+    def linked(pairs: DataFrame, name: str) -> DataFrame | None:
+        """The links among pairs that have not been tested yet, if there are any pairs."""
         for before in tested:
             pairs = pairs.join(before, ["a", "b"], "left_anti")
         pairs, _ = staged(_filtered(pairs, classes), name)
         if pairs.isEmpty():
-            return False
+            return None
         tested.append(pairs)
-        found.append(staged(verify(pairs, df, classes, key, text), f"links_{name}")[0])
-        return True
-
-    test(met.filter("shingle IS NULL").select("a", "b").distinct(), "neighbours")
-    if not lists.isEmpty() and found:
-        apart, _ = staged(_labelled(lists, union(found)).filter("component <> main"), "apart")
-        one = F.col("one")
-        chance = _candidate(F.col("component"), F.col("main"), F.col("size"), F.col("place"), one["size"], one["place"])
-        test(apart.filter(chance).select(*_ordered(F.col("a"), one["a"])).distinct(), "to_main")
-    if not lists.isEmpty():
-        joined = _labelled(lists, union(found) if found else spark.createDataFrame([], "a long, b long"))
-        joined, _ = staged(joined, "lists_apart")
-        others = joined.select("shingle", *(F.col(c).alias(f"{c}_2") for c in ("a", "component", "size", "place")))
-        outside = joined.filter("component <> main")
-        pairs = outside.join(others, "shingle").filter(
-            _candidate(F.col("component"), F.col("component_2"), F.col("size"), F.col("place"), F.col("size_2"), F.col("place_2"))
-        )
-        test(pairs.select(*_ordered(F.col("a"), F.col("a_2"))).distinct(), "across")
-    return union(found) if found else spark.createDataFrame([], "a long, b long")
+        return staged(verify(pairs, df, classes, key, text), f"links_{name}")[0]
+
+    found = linked(met.filter("shingle IS NULL").select("a", "b").distinct(), "neighbours")
+    if found is None:
+        found = df.sparkSession.createDataFrame([], "a long, b long")
+    labels = small_side(components(found), "labels")
+    if lists.isEmpty():
+        return labels
+    outside, _ = staged(_labelled(lists, labels).filter("component <> main"), "outside")
+    one = F.col("one")
+    chance = _candidate(F.col("component"), F.col("main"), F.col("size"), F.col("place"), one["size"], one["place"])
+    found = linked(outside.filter(chance).select(*_ordered(F.col("a"), one["a"])).distinct(), "to_main")
+    if found is not None:
+        labels = _joined_labels(labels, found)
+    joined, _ = staged(_labelled(lists, labels), "lists_apart")
+    dense, _ = staged(dense_groups(joined), "dense_groups")
+    links = []
+    if not dense.isEmpty():
+        links.append(staged(verify_blocks(joined, dense, df, classes, key, text), "links_in_blocks")[0])
+        joined = joined.join(dense, "main", "left_anti")
+    others = joined.select("shingle", *(F.col(c).alias(f"{c}_2") for c in ("a", "component", "size", "place")))
+    pairs = joined.filter("component <> main").join(others, "shingle").filter(
+        _candidate(F.col("component"), F.col("component_2"), F.col("size"), F.col("place"), F.col("size_2"), F.col("place_2"))
+    )
+    found = linked(pairs.select(*_ordered(F.col("a"), F.col("a_2"))).distinct(), "across")
+    links += [] if found is None else [found]
+    return _joined_labels(labels, union(links)) if links else labels
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -403,7 +472,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     scanned, _ = staged(signatures(df, key, text), "signatures")
     docs = scanned.filter("chunk IS NULL").select("doc_id", "n", "class", "ranges")
     sketch = scanned.filter("chunk IS NOT NULL").select("chunk", "counts")
-    labels = small_side(components(links(df, docs, sketch, key, text)), "labels")
+    labels = class_components(df, docs, sketch, key, text)
     member = docs.select("doc_id", "n", "class").join(labels, F.col("class") == F.col("node"), "left")
     member = member.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "class").alias("label"))
     smallest = small_side(member.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("smallest")), "smallest")

@@ -87,6 +87,21 @@ def test_a_large_group_of_near_copies_makes_few_pairs(documents, monkeypatch):
     assert sum(tested) < 150 * 40
 
 
+@pytest.mark.parametrize("seed, block", [(1, 200_000), (2, 2_000)])
+def test_outsiders_of_a_dense_group_are_compared_in_blocks(documents, monkeypatch, seed, block):
+    """Some copies have so many edits that they link with few others or none."""
+    monkeypatch.setattr(ngram_join, "DENSE_PAIRS", 50)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", block)
+    blocks = []
+    compare = ngram_join.verify_blocks
+    monkeypatch.setattr(ngram_join, "verify_blocks", lambda *a: blocks.append(compare(*a)) or blocks[-1])
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(120)]
+    rows = [(i, edited(rng, words, rng.choice([0, 1, 1, 2, 2, 3, 4, 5, 6]))) for i in range(90)]
+    assert found(documents, rows) == plain(rows)
+    assert blocks
+
+
 def test_lists_beyond_the_split_give_the_same(documents, monkeypatch):
     monkeypatch.setattr(ngram_join, "HOT_POSTINGS", 3)
     rows = corpus(3)
