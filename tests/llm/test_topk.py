@@ -63,8 +63,6 @@ def test_pruned_nodes_hold_nothing_better():
     points = np.floor(256 * rng.normal(size=(3000, 6)))
     tree = topk.BallTree(np.arange(3000), points, 32)
     for i in range(0, 3000, 300):
-        best = tree.search(i, points[i], tree.bounds(points[i : i + 1])[0], 4, [])
-        everything = sorted(((int(s), -j) for j, s in enumerate(points @ points[i]) if j != i), reverse=True)
         # Rows are reordered by the tree, so the query is found again by its id.
         at = int(np.flatnonzero(tree.ids == i)[0])
         best = tree.search(i, tree.points[at], tree.bounds(tree.points[at : at + 1])[0], 4, [])
