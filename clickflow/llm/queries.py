@@ -23,7 +23,7 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode(read_table(spark, sf_dir, "documents"))
+    return pieces.encode(read_table(spark, sf_dir, "documents"), alike="lang")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

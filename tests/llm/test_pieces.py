@@ -50,8 +50,11 @@ def test_ids_are_those_of_the_best_path_and_decode_to_the_text(documents):
 
 def test_many_chunks_give_the_same(documents, monkeypatch):
     monkeypatch.setattr(pieces, "CHUNK_BYTES", 40)
-    rows = [(i, f"some shared words and own{i} ones, {i}") for i in range(30)]
-    assert encoded(documents, rows) == sorted(((i, plain(t), len(plain(t)), True) for i, t in rows), key=str)
+    rows = [(i, f"some shared words and own{i} ones, {i}", "s", (None, "en", "de", f"x{i}")[i % 4]) for i in range(30)]
+    expected = sorted(((i, plain(t), len(plain(t)), True) for i, t, *_ in rows), key=str)
+    assert encoded(documents, rows) == expected
+    found = pieces.encode(documents(*rows), alike="lang").collect()
+    assert sorted(((r.doc_id, list(r.ids), r.n_tokens, r.round_trip) for r in found), key=str) == expected
 
 
 def test_words_agree_with_the_library():
