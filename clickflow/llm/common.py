@@ -17,15 +17,23 @@ SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 BROADCAST_BYTES = 8 << 20
 
 
+# Rows of an Arrow batch: documents are large rows, and a batch is held several times on its way.
+BATCH_ROWS = "1000"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_SPARKS_OWN = "10000"
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Sends this package's code to the session's Python workers, once.
 
-    Wherever the driver has found it, executors get it from the driver.
+    Wherever the driver has found it, executors get it from the driver. Unless the session has
+    its own setting, batches for Python are made smaller, see ``BATCH_ROWS``.
     """
     context = spark.sparkContext
+    if spark.conf.get(_BATCH) == _SPARKS_OWN:
+        spark.conf.set(_BATCH, BATCH_ROWS)
     if context.applicationId not in _shipped:
         root = Path(__file__).resolve().parents[2]
         target = f"{tempfile.mkdtemp()}/clickflow"

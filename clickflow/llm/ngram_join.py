@@ -35,7 +35,7 @@ DENSE_PAIRS = 10_000
 BLOCK_SHINGLES = 200_000
 # Parts of the shingle space whose counts bound the overlap of two sets.
 RANGE_BITS = 6
-MOST_WORDS_CACHED = 400_000
+MOST_WORDS_CACHED = 150_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -198,7 +198,7 @@ def postings(df: DataFrame, text: str, shared, buckets: int) -> DataFrame:
                         )
                     )
                     n_held += k
-                    if n_held > 1_000_000:
+                    if n_held > POSTINGS_EACH:
                         yield packed()
                         held, n_held = [], 0
             if held:

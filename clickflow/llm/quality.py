@@ -23,9 +23,8 @@ COMMON_SHARE = 0.001
 # A language needs this share of all words to have a reference: at most 1,000 languages do.
 LANGUAGE_SHARE = 0.001
 MAX_CHAR_DISTANCE = 0.3
-# Short texts scatter more: the limit for words is BASE + SCATTER / sqrt(words).
-WORD_DISTANCE_BASE = 0.25
-WORD_DISTANCE_SCATTER = 1.8
+# How far a text's words may be from its language's, beyond what drawing few words does by itself.
+WORD_DISTANCE = 0.25
 
 CLASSES = ("lower", "upper", "letter", "digit", "space", "symbol", "other")
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, char_distance double, word_distance double, kept boolean"
@@ -100,6 +99,14 @@ def distance(p: np.ndarray, q: np.ndarray) -> float:
     return math.sqrt(max(0.0, (divergence(p) + divergence(q)) / 2))
 
 
+def word_limit(n: int, bins: int) -> float:
+    """The largest accepted word distance of a text of ``n`` words: short texts scatter more.
+
+    The squared distance of a sample of the language itself is about bins / (8 ln 2 n).
+    """
+    return math.sqrt(WORD_DISTANCE**2 + bins / (8 * math.log(2) * n))
+
+
 def _rows(batch, text_col, lang_col):
     texts = batch.column(text_col).cast(pa.binary()).to_pylist()
     langs = batch.column(lang_col).to_pylist()
@@ -202,8 +209,8 @@ def judge(text: bytes, lang: str, reference: dict) -> tuple:
     ref = np.array([*shares.values(), 0.0])
     ref[-1] = max(0.0, 1 - ref.sum())
     word_distance = distance(own / n, ref)
-    limit = WORD_DISTANCE_BASE + WORD_DISTANCE_SCATTER / math.sqrt(n)
-    return (*base, char_distance, word_distance, char_distance <= MAX_CHAR_DISTANCE and word_distance <= limit)
+    near = char_distance <= MAX_CHAR_DISTANCE and word_distance <= word_limit(n, len(shares))
+    return (*base, char_distance, word_distance, near)
 
 
 def quality_measures(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

@@ -63,7 +63,7 @@ def plain_quality(docs):
             return shares(out)
 
         far = distance(shares(Counter(map(char_class, text))), shares(chars[lang])) > quality.MAX_CHAR_DISTANCE
-        limit = quality.WORD_DISTANCE_BASE + quality.WORD_DISTANCE_SCATTER / math.sqrt(n)
+        limit = math.sqrt(quality.WORD_DISTANCE**2 + len(common) / (8 * math.log(2) * n))
         if not far and distance(spread(Counter(own)), spread(words[lang])) <= limit:
             kept.append(d)
     return kept
