@@ -1,10 +1,13 @@
 """Helpers shared by the operators of this subpackage."""
 
+import ctypes
+import gc
 import shutil
 import tempfile
-from functools import reduce
+from functools import reduce, wraps
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,24 @@ _SPARKS_OWN = "10000"
 _shipped: set[str] = set()
 
 
+def tidy(function):
+    """``function`` over batches, giving the worker's free memory back to the system at the end.
+
+    Python workers outlive their task, and what they hold adds to the executor's memory.
+    """
+
+    @wraps(function)
+    def run(batches):
+        yield from function(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package's code to the session's Python workers, once.
 

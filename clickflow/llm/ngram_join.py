@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import components, parts_for, small_side, staged, union
+from clickflow.llm.common import components, parts_for, small_side, staged, tidy, union
 
 WORDS = 5
 # Two sets link if OVER * intersection >= UNDER * union: a similarity of 0.75 or more.
@@ -123,7 +123,7 @@ def signatures(df: DataFrame, key: str, text: str) -> DataFrame:
             counts = pa.array([part.tobytes() for part in parts], pa.binary())
             yield pa.RecordBatch.from_arrays([*none, pa.array(range(n), pa.int32()), counts], names)
 
-    return df.select(F.col(key).cast("long").alias(key), text).mapInArrow(scan, SIGNATURES)
+    return df.select(F.col(key).cast("long").alias(key), text).mapInArrow(tidy(scan), SIGNATURES)
 
 
 def frequency_steps(sketch: DataFrame) -> np.ndarray:
@@ -204,7 +204,7 @@ def postings(df: DataFrame, text: str, shared, buckets: int) -> DataFrame:
             if held:
                 yield packed()
 
-    return df.select(text).mapInArrow(scan, POSTINGS)
+    return df.select(text).mapInArrow(tidy(scan), POSTINGS)
 
 
 def _may_link(size_a, place_a, size_b, place_b):
@@ -301,7 +301,7 @@ def _sets_by_group(routes: DataFrame, df: DataFrame, classes: DataFrame, key: st
             if out:
                 yield packed(out)
 
-    return texts.mapInArrow(send, SENT)
+    return texts.mapInArrow(tidy(send), SENT)
 
 
 def _linked(sent: DataFrame) -> DataFrame:
@@ -475,7 +475,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     labels = class_components(df, docs, sketch, key, text)
     member = docs.select("doc_id", "n", "class").join(labels, F.col("class") == F.col("node"), "left")
     member = member.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "class").alias("label"))
-    smallest = small_side(member.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("smallest")), "smallest")
+    smallest, _ = staged(member.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("smallest")), "smallest")
     named = member.join(smallest, "label", "left")
     own = F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))
     return named.select("doc_id", "n_shingles", own.alias("component_id"))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import parts_for, staged
+from clickflow.llm.common import parts_for, staged, tidy
 
 CAPACITY = 1024
 VOCABULARY = "byte_bpe_50k"
@@ -78,7 +78,7 @@ def pieces(df: DataFrame, buckets: int, key: str = "doc_id", text: str = "text")
             names = [part.split()[0] for part in PIECES.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return df.select(F.col(key).cast("long").alias(key), text).mapInArrow(tokenize, PIECES)
+    return df.select(F.col(key).cast("long").alias(key), text).mapInArrow(tidy(tokenize), PIECES)
 
 
 def best_fill(counts: dict[int, int], room: int) -> dict[int, int]:

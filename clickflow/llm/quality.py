@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import SPACES, staged
+from clickflow.llm.common import SPACES, staged, tidy
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
@@ -157,7 +157,7 @@ def references(df: DataFrame, text: str = "text", lang: str = "lang") -> dict:
                 rows += [(name, "word", w, n) for w, n in counter.items() if n >= COMMON_SHARE / 2 * total]
             yield _counts(rows)
 
-    counted = docs.mapInArrow(candidates, _COUNTS).groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
+    counted = docs.mapInArrow(tidy(candidates), _COUNTS).groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
     counted, _ = staged(counted, "language_counts")
     totals = counted.filter("kind = 'words' AND n > 0").select("lang", F.col("n").alias("total"))
     everything = totals.agg(F.sum("total")).first()[0] or 0
@@ -182,7 +182,7 @@ def references(df: DataFrame, text: str = "text", lang: str = "lang") -> dict:
             rows = [(name, "word", w, c[w]) for name, c in counters.items() for w in wanted[name] if c[w]]
             yield _counts(rows)
 
-    found = docs.mapInArrow(exact, _COUNTS).groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    found = docs.mapInArrow(tidy(exact), _COUNTS).groupBy("lang", "key").agg(F.sum("n").alias("n"))
     shares: dict = defaultdict(dict)
     for row in found.collect():
         if row.n >= COMMON_SHARE * sizes[row.lang]:
@@ -235,7 +235,7 @@ def quality_measures(df: DataFrame, key: str = "doc_id", text: str = "text", lan
 
     for part in MEASURES.split(", "):
         schema = schema.add(*part.split())
-    return df.select(key, text, lang).mapInArrow(measure, schema)
+    return df.select(key, text, lang).mapInArrow(tidy(measure), schema)
 
 
 def quality_filter(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -246,4 +246,4 @@ def quality_filter(df: DataFrame, text: str = "text", lang: str = "lang") -> Dat
         for batch in batches:
             yield batch.filter(pa.array([judge(t, name, reference)[-1] for t, name in _rows(batch, text, lang)], pa.bool_()))
 
-    return df.mapInArrow(passing, df.schema)
+    return df.mapInArrow(tidy(passing), df.schema)
