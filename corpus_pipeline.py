@@ -18,8 +18,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their source's boilerplate lines, their length counted anew."""
-    cleaned = line_dedup.line_dedup(docs)
+    """Documents without their source's boilerplate lines, their length counted anew.
+
+    Exact copies count as one page: the stage for near duplicates, which comes later, keeps one of them.
+    """
+    cleaned = line_dedup.line_dedup(docs, copies_once=True)
     chars = F.when(F.col("__removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", chars).select(*docs.columns)
 

@@ -1,3 +1,4 @@
+import corpus_pipeline
 from clickflow.llm import line_dedup
 
 
@@ -28,3 +29,16 @@ def test_nulls_empty_texts_and_other_columns(documents):
     assert found[0] == ("", 1) and found[8] == (None, 0) and found[9] == ("", 0)
     assert line_dedup.line_dedup(df).columns == [*df.columns, "__removed"]
     assert cleaned(documents()) == {}
+
+
+def test_copies_do_not_make_their_own_lines_boilerplate(spark, documents):
+    text = "copied line one\ncopied line two"
+    copies = [(i, text, "a", "en") for i in range(20)]
+    own = [(100 + i, f"menu\nown {i}", "a", "en") for i in range(40)]
+    df = documents(*copies, *own, (200, None, "a", "en"), (201, "", "a", "en"))
+    found = cleaned(df, copies_once=True)
+    assert all(found[i] == (text, 0) for i in range(20))
+    assert all(found[100 + i] == (f"own {i}", 1) for i in range(40))
+    assert found[200] == (None, 0) and found[201] == ("", 0)
+    staged = corpus_pipeline.dedup_lines(spark, df, "")
+    assert {r.text for r in staged.filter("doc_id < 20").collect()} == {text}
