@@ -89,16 +89,16 @@ def prefix_length(n: int) -> int:
     return n - -(-n * UNDER // OVER) + 1
 
 
-SIGNATURES = "doc_id long, n long, class long, ranges array<smallint>, chunk int, counts binary"
+SIGNATURES = "doc_id long, n long, class long, ranges array<smallint>, chunk int, counts binary, digest long"
 
 
 def signatures(df: DataFrame, key: str, text: str) -> DataFrame:
-    """A row per document with its set's size, class and counts by range, and rows with
+    """A row per document with its set's size, class, counts by range and its text's hash, and rows with
     each task's share of the frequency sketch, in which a task counts a shingle up to 255 times."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int16()), pa.int32(), pa.binary()]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int16()), pa.int32(), pa.binary(), pa.int64()]
         names = [part.split()[0] for part in SIGNATURES.split(", ")]
         for batch in batches:
             sizes, classes, ranges, seen = [], [], [], []
@@ -114,16 +114,17 @@ def signatures(df: DataFrame, key: str, text: str) -> DataFrame:
                 sketch[places] += counts.astype(np.uint32)
             ids = batch.column(key).cast(pa.int64())
             empty = pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())
-            arrays = [ids, *(pa.array(v, t) for v, t in zip((sizes, classes, ranges), types[1:4])), *empty]
+            arrays = [ids, *(pa.array(v, t) for v, t in zip((sizes, classes, ranges), types[1:4])), *empty, batch.column("__digest")]
             yield pa.RecordBatch.from_arrays(arrays, names)
         if sketch.any():
             parts = np.minimum(sketch, 255).astype(np.uint8).reshape(-1, 1 << CHUNK_BITS)
             n = len(parts)
             none = [pa.nulls(n, t) for t in types[:4]]
             counts = pa.array([part.tobytes() for part in parts], pa.binary())
-            yield pa.RecordBatch.from_arrays([*none, pa.array(range(n), pa.int32()), counts], names)
+            yield pa.RecordBatch.from_arrays([*none, pa.array(range(n), pa.int32()), counts, pa.nulls(n, pa.int64())], names)
 
-    return df.select(F.col(key).cast("long").alias(key), text).mapInArrow(tidy(scan), SIGNATURES)
+    rows = df.select(F.col(key).cast("long").alias(key), text, F.xxhash64(text).alias("__digest"))
+    return rows.mapInArrow(tidy(scan), SIGNATURES)
 
 
 def frequency_steps(sketch: DataFrame) -> np.ndarray:
@@ -460,6 +461,23 @@ def class_components(df: DataFrame, docs: DataFrame, sketch: DataFrame, key: str
     return _joined_labels(labels, union(links)) if links else labels
 
 
+def _members(df: DataFrame, key: str, text: str) -> DataFrame:
+    """doc_id, digest, n_shingles, label, component_id for every row; see ``near_duplicates``.
+
+    ``digest`` is a hash of the row's text, ``label`` the smallest class of its component, null without words.
+    """
+    scanned, _ = staged(signatures(df, key, text), "signatures")
+    docs = scanned.filter("chunk IS NULL").select("doc_id", "digest", "n", "class", "ranges")
+    sketch = scanned.filter("chunk IS NOT NULL").select("chunk", "counts")
+    labels = class_components(df, docs, sketch, key, text)
+    member = docs.select("doc_id", "digest", "n", "class").join(labels, F.col("class") == F.col("node"), "left")
+    member = member.select("doc_id", "digest", F.col("n").alias("n_shingles"), F.coalesce("component", "class").alias("label"))
+    smallest, _ = staged(member.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("smallest")), "smallest")
+    named = member.join(smallest, "label", "left")
+    own = F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))
+    return named.select("doc_id", "digest", "n_shingles", "label", own.alias("component_id"))
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for every row.
 
@@ -469,27 +487,26 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     carried along, and without any other id its component is null. Repeated ids are rows of
     their own. An empty table gives an empty table. Shingles and classes are 64-bit hashes.
     """
-    scanned, _ = staged(signatures(df, key, text), "signatures")
-    docs = scanned.filter("chunk IS NULL").select("doc_id", "n", "class", "ranges")
-    sketch = scanned.filter("chunk IS NOT NULL").select("chunk", "counts")
-    labels = class_components(df, docs, sketch, key, text)
-    member = docs.select("doc_id", "n", "class").join(labels, F.col("class") == F.col("node"), "left")
-    member = member.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "class").alias("label"))
-    smallest, _ = staged(member.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("smallest")), "smallest")
-    named = member.join(smallest, "label", "left")
-    own = F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))
-    return named.select("doc_id", "n_shingles", own.alias("component_id"))
+    return _members(df, key, text).select("doc_id", "n_shingles", "component_id")
 
 
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df``, all columns, whose id names their component.
+    """One row of ``df``, all columns, for each component: one whose id names it.
 
-    Rows with a null id and texts without words stay. Of rows that agree in id and text one
-    stays.
+    Rows are told apart by id and text (its 64-bit hash), so rows that share an id but not a
+    component do not share their fate, and of several texts of the naming id in one component
+    the one with the smallest hash stays. Rows with a null id and texts without words stay.
+    Of rows that agree in id and text one stays.
     """
-    found, _ = staged(near_duplicates(df, key, text), "near_duplicates")
-    gone = small_side(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    kept = df.join(gone, F.col(key) == F.col("__gone"), "left_anti")
+    found, _ = staged(_members(df, key, text), "near_duplicates")
+    linked = found.filter("label IS NOT NULL AND doc_id IS NOT NULL")
+    naming = linked.filter("doc_id = component_id")
+    # Only where the naming id has several texts in its component does the hash decide.
+    texts = naming.groupBy("label").agg(F.min("digest").alias("first"), F.max("digest").alias("last")).filter("first <> last")
+    others = naming.join(small_side(texts, "first_texts"), "label").filter("digest <> first")
+    gone = linked.filter("doc_id <> component_id").select("doc_id", "digest").unionByName(others.select("doc_id", "digest"))
+    gone = small_side(gone.select(F.col("doc_id").alias("__gone"), F.col("digest").alias("__gone_text")).distinct(), "gone")
+    kept = df.join(gone, (F.col(key) == F.col("__gone")) & (F.xxhash64(text) == F.col("__gone_text")), "left_anti")
     repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND doc_id IS NOT NULL")
     repeated, _ = staged(repeated.select(F.col("doc_id").alias("__id")), "repeated")
     if repeated.isEmpty():

@@ -127,3 +127,14 @@ def test_one_of_each_keeps_columns_and_clean_rows(documents):
     kept = ngram_join.one_of_each(df)
     assert kept.columns == df.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "4", "5", "None"]
+
+
+def test_one_of_each_tells_rows_of_one_id_apart(documents):
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join([*words[:-1], f"end{i}"]) for i in range(4)]
+    clean = "an unrelated clean text stands here alone today"
+    other = [" ".join(["v" + w for w in words[:-1]] + [f"end{i}"]) for i in range(2)]
+    rows = [(3, near[0]), (5, near[1]), (5, clean), (7, other[0]), (7, other[1]), (7, other[1]), (8, other[1]), (None, near[2])]
+    kept = sorted(((r.doc_id, r.text) for r in ngram_join.one_of_each(documents(*rows)).collect()), key=str)
+    assert [k for k in kept if k[0] != 7] == sorted([(3, near[0]), (5, clean), (None, near[2])], key=str)
+    assert len([k for k in kept if k[0] == 7]) == 1
