@@ -41,9 +41,21 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
+# A private key runs to the next END marker. Every loop is over one ASCII character, so that
+# Java's matcher needs no stack for it, and no other marker stands in between.
+_PEM_BEGIN = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
+_PEM_BODY = r"(?:(?!-----)[\x00-\x7f])*"
+_PEM_END = r"-----END [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
+# Without one it runs over header lines, then over white space (also written as \n) and runs of
+# base64, of 16 characters at least, and a shorter last line. Prose after a marker stays.
+_PEM_LINES = (
+    r"(?:\s{1,9}(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset): [^\r\n]{0,100}){0,5}"
+    r"(?:(?![\s\\](?![\s\\rn]{0,40}[A-Za-z0-9+/]{16}))[A-Za-z0-9+/=\s\\])*"
+    r"""(?:(?<=[A-Za-z0-9+/]{16})(?:\r?\n|(?:\\r)?\\n)[A-Za-z0-9+/]{1,63}={0,2}(?![^\r\n"'\\]))?"""
+)
 # What the method adds: keys and tokens with a fixed prefix.
 MORE_RULES = (
-    Rule("pem", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("pem", _PEM_BEGIN + rf"(?:{_PEM_BODY}{_PEM_END}|{_PEM_LINES})"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
