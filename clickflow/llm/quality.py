@@ -107,6 +107,15 @@ def word_limit(n: int, bins: int) -> float:
     return math.sqrt(WORD_DISTANCE**2 + bins / (8 * math.log(2) * n))
 
 
+def coverage_limit(n: int) -> float:
+    """The largest accepted coverage distance of a text of ``n`` words.
+
+    Common words and all others are two bins, so chance adds little even to 50 words; three
+    standard deviations of it are allowed for.
+    """
+    return math.sqrt(WORD_DISTANCE**2 + 9 / (8 * math.log(2) * n))
+
+
 def _rows(batch, text_col, lang_col):
     texts = batch.column(text_col).cast(pa.binary()).to_pylist()
     langs = batch.column(lang_col).to_pylist()
@@ -210,6 +219,9 @@ def judge(text: bytes, lang: str, reference: dict) -> tuple:
     ref[-1] = max(0.0, 1 - ref.sum())
     word_distance = distance(own / n, ref)
     near = char_distance <= MAX_CHAR_DISTANCE and word_distance <= word_limit(n, len(shares))
+    # A short text scatters over many bins, but hardly in how many of its words are common ones.
+    if own[-1] / n > ref[-1]:
+        near = near and distance(np.array([1 - own[-1] / n, own[-1] / n]), np.array([1 - ref[-1], ref[-1]])) <= coverage_limit(n)
     return (*base, char_distance, word_distance, near)
 
 

@@ -79,3 +79,17 @@ def test_filter_keeps_all_columns_and_repeated_rows(documents):
 
 def test_empty_table(documents):
     assert quality.quality_measures(documents()).count() == 0
+
+
+def test_short_texts_of_another_language_go(documents):
+    def sample(seed, n, mark):
+        """32 % of the words are 80 common ones, the others are rare."""
+        rng = np.random.default_rng(seed)
+        return " ".join(f"{mark}c{chr(97 + rng.integers(80) // 10)}{chr(97 + rng.integers(10))}" if rng.random() < 0.32 else mark + "".join(rng.choice(list("abcdefghij"), 6)) for _ in range(n))
+
+    own = [(i, sample(i, 400, "x"), "s", "en") for i in range(40)] + [(100 + i, sample(100 + i, 400, "y"), "s", "de") for i in range(40)]
+    right = [(1000 + 10 * k + i, sample(300 + 10 * k + i, n, "x"), "s", "en") for k, n in enumerate((50, 80, 120)) for i in range(5)]
+    wrong = [(2000 + 10 * k + i, sample(400 + 10 * k + i, n, "y"), "s", "en") for k, n in enumerate((50, 80, 120)) for i in range(5)]
+    rows = {r.doc_id: r for r in quality.quality_measures(documents(*own, *right, *wrong)).collect()}
+    assert all(rows[i].kept for i, *_ in own + right)
+    assert not any(rows[i].kept or rows[i].base_failed for i, *_ in wrong)
