@@ -4,6 +4,8 @@ A document's histograms of character classes and of its language's common words
 compared with the language's own, summed over all documents, by Jensen-Shannon distance.
 """
 
+import base64
+import json
 import math
 import unicodedata
 from collections import Counter, defaultdict
@@ -13,15 +15,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import SPACES, staged, tidy
+from clickflow.llm.common import SPACES, small_side, staged, tidy
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 # A word is common in a language from this share of the language's words on: at most 1,000 are.
 COMMON_SHARE = 0.001
-# A language needs this share of all words to have a reference: at most 1,000 languages do.
+# A language of fewer words, in a table of any size, is compared with all languages together.
+LANGUAGE_WORDS = 5_000
+# References of languages with this share of all words are kept on the driver: at most 1,000
+# are. Those of the others are a written table, joined to their texts.
 LANGUAGE_SHARE = 0.001
+LANGUAGES_CACHED = 1_000
 MAX_CHAR_DISTANCE = 0.3
 # How far a text's words may be from its language's, beyond what drawing few words does by itself.
 WORD_DISTANCE = 0.25
@@ -145,19 +151,23 @@ def _counts(rows):
 _COUNTS = "lang string, kind string, key binary, n long"
 
 
-def references(df: DataFrame, text: str = "text", lang: str = "lang") -> dict:
-    """Per language: its common words with their shares, and its shares of character classes.
+def _together(counters: dict) -> Counter:
+    every: Counter = Counter()
+    for counter in counters.values():
+        every.update(counter)
+    return every
 
-    Counted over all rows in two passes. A word with the common share of all words has at
-    least that share in some batch, and batches that leave a word out because it has less than half
-    of it there lose less than half of it: so the first pass finds every common word among
-    at most 2 / ``COMMON_SHARE`` candidates per language, and the second counts these exactly.
-    """
+
+def _references(df: DataFrame, text: str, lang: str) -> tuple[dict, DataFrame | None]:
+    """References kept on the driver, by language and under None over all languages, and a
+    table (lang, reference) of the others, if there are any; see ``references``."""
     docs = df.select(text, lang)
 
     def candidates(batches):
         for batch in batches:
             words, chars = _by_language(batch, text, lang)
+            words[None] = _together(words)
+            chars[None] = sum(chars.values(), np.zeros(len(CLASSES), dtype=np.int64))
             rows = []
             for name, counter in words.items():
                 total = counter.total()
@@ -168,38 +178,94 @@ def references(df: DataFrame, text: str = "text", lang: str = "lang") -> dict:
 
     counted = docs.mapInArrow(tidy(candidates), _COUNTS).groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
     counted, _ = staged(counted, "language_counts")
-    totals = counted.filter("kind = 'words' AND n > 0").select("lang", F.col("n").alias("total"))
-    everything = totals.agg(F.sum("total")).first()[0] or 0
-    totals = totals.filter(F.col("total") >= LANGUAGE_SHARE * everything)
-    sizes = {row.lang: row.total for row in totals.collect()}
-    near = counted.join(F.broadcast(totals), "lang").filter("kind = 'class'" f" OR kind = 'word' AND n >= {COMMON_SHARE / 2} * total")
-    wanted: dict = defaultdict(set)
+    totals = counted.filter(f"kind = 'words' AND n > 0 AND (lang IS NULL OR n >= {LANGUAGE_WORDS})").select("lang", F.col("n").alias("total"))
+    everything = totals.filter("lang IS NULL").agg(F.sum("total")).first()[0] or 0
+    sizes = {row.lang: row.total for row in totals.filter(F.col("total") >= LANGUAGE_SHARE * everything).collect()}
+    large = F.broadcast(totals.filter(F.col("total") >= LANGUAGE_SHARE * everything).withColumnRenamed("lang", "name"))
+    others = totals.filter(F.col("total") < LANGUAGE_SHARE * everything)
+    near = counted.join(large, F.col("lang").eqNullSafe(F.col("name")))
+    near = near.filter(f"kind = 'class' OR kind = 'word' AND n >= {COMMON_SHARE / 2} * total")
+    wanted: dict = {name: set() for name in sizes}
     classes = {name: np.zeros(len(CLASSES)) for name in sizes}
     for row in near.collect():
         if row.kind == "class":
             classes[row.lang][int(bytes(row.key))] = row.n
         else:
             wanted[row.lang].add(bytes(row.key))
-    wanted = dict(wanted)
 
     def exact(batches):
         for batch in batches:
             counters: dict = defaultdict(Counter)
-            for words, name in ((t.split(), name) for t, name in _rows(batch, text, lang)):
-                if name in wanted:
-                    counters[name].update(words)
-            rows = [(name, "word", w, c[w]) for name, c in counters.items() for w in wanted[name] if c[w]]
+            for t, name in _rows(batch, text, lang):
+                counters[name].update(t.split())
+            counters[None] = _together(counters)
+            # Words of languages that are not kept on the driver are all counted.
+            rows = [(name, "word", w, c[w]) for name, c in counters.items() for w in wanted.get(name, c) if c[w]]
             yield _counts(rows)
 
     found = docs.mapInArrow(tidy(exact), _COUNTS).groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    found, _ = staged(found, "word_counts")
+    common = F.col("n") >= COMMON_SHARE * F.col("total")
     shares: dict = defaultdict(dict)
-    for row in found.collect():
-        if row.n >= COMMON_SHARE * sizes[row.lang]:
-            shares[row.lang][bytes(row.key)] = row.n / sizes[row.lang]
-    return {
+    for row in found.join(large, F.col("lang").eqNullSafe(F.col("name"))).filter(common).collect():
+        shares[row.lang][bytes(row.key)] = row.n / sizes[row.lang]
+    held = {
         name: (dict(sorted(shares[name].items())), tuple(classes[name] / max(1, classes[name].sum())))
         for name in sizes
     }
+    if others.isEmpty():
+        return held, None
+    pairs = F.collect_list(F.struct("key", "n"))
+    words = found.join(others, "lang").filter(common).groupBy("lang").agg(pairs.alias("words"))
+    spread = counted.filter("kind = 'class'").join(others, "lang").groupBy("lang").agg(pairs.alias("classes"))
+    more = others.join(spread, "lang").join(words, "lang", "left")
+    more = more.select("lang", F.to_json(F.struct("total", "words", "classes")).alias("reference"))
+    return held, small_side(more, "language_references")
+
+
+def references(df: DataFrame, text: str = "text", lang: str = "lang") -> dict:
+    """Per language: its common words with their shares, and its shares of character classes.
+
+    Counted over all rows in two passes. A word with the common share of all words has at
+    least that share in some batch, and batches that leave a word out because it has less than half
+    of it there lose less than half of it: so the first pass finds every common word among
+    at most 2 / ``COMMON_SHARE`` candidates per language, and the second counts these exactly.
+    None stands for all languages together. Languages below ``LANGUAGE_SHARE`` are left out here.
+    """
+    return _references(df, text, lang)[0]
+
+
+def _reference_of(data: str) -> tuple:
+    """A reference out of the table of them."""
+    row = json.loads(data)
+    shares = {base64.b64decode(w["key"]): w["n"] / row["total"] for w in row.get("words", ())}
+    classes = np.zeros(len(CLASSES))
+    for c in row["classes"]:
+        classes[int(base64.b64decode(c["key"]))] = c["n"]
+    return dict(sorted(shares.items())), tuple(classes / max(1, classes.sum()))
+
+
+def _with_references(df: DataFrame, more: DataFrame | None, lang: str) -> DataFrame:
+    """``df`` with ``__reference``, null where the driver keeps the language's or there is none."""
+    if more is None:
+        return df.withColumn("__reference", F.lit(None).cast("string"))
+    side = more.select(F.col("lang").alias("__name"), F.col("reference").alias("__reference"))
+    return df.join(side, F.coalesce(F.col(lang), F.lit("")) == F.col("__name"), "left").drop("__name")
+
+
+def _judged(batch, text: str, lang: str, held: dict, cached: dict) -> list:
+    rows = []
+    more = batch.column("__reference")
+    for i, (data, name) in enumerate(_rows(batch, text, lang)):
+        reference = held
+        if more[i].is_valid:
+            if name not in cached:
+                if len(cached) >= LANGUAGES_CACHED:
+                    cached.clear()
+                cached[name] = _reference_of(more[i].as_py())
+            reference = cached
+        rows.append(judge(data, name, reference))
+    return rows
 
 
 def judge(text: bytes, lang: str, reference: dict) -> tuple:
@@ -207,9 +273,9 @@ def judge(text: bytes, lang: str, reference: dict) -> tuple:
     words = text.split()
     base = base_measures(text, words)
     n, failed = base[0], base[-1]
-    if failed or lang not in reference:
+    if failed or not reference:
         return (*base, None, None, not failed)
-    shares, classes = reference[lang]
+    shares, classes = reference[lang if lang in reference else None]
     seen = char_classes(text)
     char_distance = distance(seen / seen.sum(), np.array(classes))
     counter = Counter(words)
@@ -217,11 +283,15 @@ def judge(text: bytes, lang: str, reference: dict) -> tuple:
     own[-1] = n - own.sum()
     ref = np.array([*shares.values(), 0.0])
     ref[-1] = max(0.0, 1 - ref.sum())
-    word_distance = distance(own / n, ref)
-    near = char_distance <= MAX_CHAR_DISTANCE and word_distance <= word_limit(n, len(shares))
     # A short text scatters over many bins, but hardly in how many of its words are common ones.
-    if own[-1] / n > ref[-1]:
-        near = near and distance(np.array([1 - own[-1] / n, own[-1] / n]), np.array([1 - ref[-1], ref[-1]])) <= coverage_limit(n)
+    rest, ref_rest = own[-1] / n, ref[-1]
+    coverage = distance(np.array([1 - rest, rest]), np.array([1 - ref_rest, ref_rest]))
+    near = char_distance <= MAX_CHAR_DISTANCE and (rest <= ref_rest or coverage <= coverage_limit(n))
+    if lang not in reference:
+        # Which of all languages' common words a text has depends on its language.
+        return (*base, char_distance, coverage, near)
+    word_distance = distance(own / n, ref)
+    near = near and word_distance <= word_limit(n, len(shares))
     return (*base, char_distance, word_distance, near)
 
 
@@ -229,16 +299,19 @@ def quality_measures(df: DataFrame, key: str = "doc_id", text: str = "text", lan
     """One row per input row: ``key`` and ``MEASURES``.
 
     Null text counts as empty, which fails the base rule; a null language is the language
-    ''. Documents that fail the base rule, or whose language has no reference, have null
-    distances, and the base rule alone decides. Repeated rows are each judged. Words are runs of anything but
+    ''. Documents that fail the base rule have null
+    distances. Languages of fewer than ``LANGUAGE_WORDS`` words are compared with all languages
+    together, in character classes and in their share of common words, which is then
+    ``word_distance``. Repeated rows are each judged. Words are runs of anything but
     ASCII white space; bytes that are not UTF-8 count as one replacement character each run.
     """
-    reference = references(df, text, lang)
+    held, more = _references(df, text, lang)
+    cached: dict = {}
     schema = df.select(key).schema
 
     def measure(batches):
         for batch in batches:
-            rows = [judge(t, name, reference) for t, name in _rows(batch, text, lang)]
+            rows = _judged(batch, text, lang, held, cached)
             columns = list(zip(*rows)) if rows else [()] * 9
             kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
             names = [key, *(part.split()[0] for part in MEASURES.split(", "))]
@@ -247,15 +320,19 @@ def quality_measures(df: DataFrame, key: str = "doc_id", text: str = "text", lan
 
     for part in MEASURES.split(", "):
         schema = schema.add(*part.split())
-    return df.select(key, text, lang).mapInArrow(tidy(measure), schema)
+    return _with_references(df.select(key, text, lang), more, lang).mapInArrow(tidy(measure), schema)
 
 
 def quality_filter(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows of ``df``, all columns, that ``quality_measures`` keeps."""
-    reference = references(df, text, lang)
+    held, more = _references(df, text, lang)
+    cached: dict = {}
+
+    names = df.columns
 
     def passing(batches):
         for batch in batches:
-            yield batch.filter(pa.array([judge(t, name, reference)[-1] for t, name in _rows(batch, text, lang)], pa.bool_()))
+            kept = pa.array([row[-1] for row in _judged(batch, text, lang, held, cached)], pa.bool_())
+            yield batch.select(names).filter(kept)
 
-    return df.mapInArrow(tidy(passing), df.schema)
+    return _with_references(df, more, lang).mapInArrow(tidy(passing), df.schema)

@@ -93,3 +93,22 @@ def test_short_texts_of_another_language_go(documents):
     rows = {r.doc_id: r for r in quality.quality_measures(documents(*own, *right, *wrong)).collect()}
     assert all(rows[i].kept for i, *_ in own + right)
     assert not any(rows[i].kept or rows[i].base_failed for i, *_ in wrong)
+
+
+def test_small_languages_are_judged(documents, monkeypatch):
+    """Rare ones by a reference of their own, too rare ones by all languages together."""
+    digits = " ".join(str(i * 7919) for i in range(100))
+    gibberish = " ".join("".join(np.random.default_rng(i).choice(list("qxzjk"), 9)) for i in range(200))
+    good = [(i, prose(i), "s", "en") for i in range(60)]
+    rare = [(100 + i, prose(100 + i, 400).translate(str.maketrans("wordtheof", "sabclmnpq")), "s", "xx") for i in range(20)]
+    odd = [(200, digits, "s", "xx"), (201, gibberish, "s", "xx"), (202, digits, "s", None), (203, gibberish, "s", "typo")]
+    df = documents(*good, *rare, *odd, (300, prose(300), "s", "typo"))
+    # With this share "xx" has its reference in the table.
+    monkeypatch.setattr(quality, "LANGUAGE_SHARE", 0.45)
+    assert set(quality.references(df)) == {None, "en"}
+    rows = {r.doc_id: r for r in quality.quality_measures(df).collect()}
+    assert sorted(i for i, r in rows.items() if not r.kept) == [200, 201, 202, 203]
+    assert not any(r.base_failed for r in rows.values())
+    assert sorted(r.doc_id for r in quality.quality_filter(df).collect()) == sorted(i for i, r in rows.items() if r.kept)
+    monkeypatch.setattr(quality, "LANGUAGE_SHARE", 0.001)
+    assert {r.doc_id: r for r in quality.quality_measures(df).collect()} == rows
