@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from conftest import at
 
 from clickflow.operators import filters
 from clickflow.operators.sessions import (
@@ -166,7 +165,7 @@ def test_actions_of_keeps_the_action_side(actions):
 
 def test_start_time_is_the_earliest(actions):
     row = session_measures(actions(*ACTIONS)).filter("session_id = 's1'").first()
-    assert (row.start_time, row.visit_length, row.step_length) == (at("2019-01-20 08:00:00"), 5, 2)
+    assert (row.start_time, row.visit_length, row.step_length) == (dt.datetime(2019, 1, 20, 8), 5, 2)
 
 
 def skewed(spark, count=20_000):
