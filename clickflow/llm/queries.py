@@ -35,7 +35,7 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.secret_spans(documents).select("doc_id", "__spans")
     base = F.filter("__spans", lambda s: s["rule"] < len(secret_scan.BASE_RULES))
     counts = [
-        F.size(F.filter("__spans", lambda s, i=i: s["rule"] == i)).cast("long").alias(f"n_{rule.kind}")
+        secret_scan.span_count(F.col("__spans"), i).alias(f"n_{rule.kind}")
         for i, rule in enumerate(secret_scan.BASE_RULES)
     ]
     return found.select(

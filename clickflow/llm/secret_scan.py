@@ -257,6 +257,11 @@ def span_text(spans: Column, rules=RULES) -> Column:
     return F.array_join(shown, ",")
 
 
+def span_count(spans: Column, order: int) -> Column:
+    """How many spans are of the rule at place ``order`` of the rules."""
+    return F.size(F.filter(spans, lambda s: s["rule"] == order)).cast("long")
+
+
 def redact(df: DataFrame, key: str = "doc_id", text: str = "text", rules=RULES, mask: str = "[secret]") -> DataFrame:
     """``df`` with every secret in ``text`` replaced by ``mask``; overlapping spans make one.
 

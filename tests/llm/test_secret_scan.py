@@ -1,3 +1,5 @@
+import hashlib
+import itertools
 import re
 import string
 
@@ -5,7 +7,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from clickflow.llm import secret_scan
+from clickflow.llm import queries, secret_scan
+from clickflow.llm.common import read_table
 from clickflow.llm.secret_scan import RULES, Rule, trigram_query
 
 
@@ -117,3 +120,42 @@ def test_private_keys_are_masked_with_their_body(documents):
     rows = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
     assert rows == {i: masked for i, (_, masked) in texts.items()}
     assert found_in(df) == sorted((str(i), plain(text)) for i, (text, _) in texts.items())
+
+
+# The three base patterns once more, with the group whose length counts and its least.
+CONTRACT = {
+    "assign": (r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    "access": (r"AKIA[A-Z0-9]+", 0, 20),
+    "hex": (r"[0-9a-f]+", 0, 24),
+}
+
+
+def contract_row(doc, text):
+    """The contract's columns but ``spans``, from its own patterns."""
+    spans = []
+    for order, (pattern, group, least) in enumerate(CONTRACT.values()):
+        spans += [(m.start(), order, m.end()) for m in re.finditer(pattern, text or "", re.ASCII) if len(m[group]) >= least]
+    counts = tuple(sum(s[1] == order for s in spans) for order in range(3))
+    shown = ",".join(f"{list(CONTRACT)[o]}:{a}:{b}" for a, o, b in sorted(spans))
+    return (doc, *counts, hashlib.sha256(shown.encode()).hexdigest())
+
+
+def digests(df):
+    return sorted((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in df.collect())
+
+
+def test_registered_query_on_kinds_in_every_order(spark, tmp_path):
+    parts = ("token=abcdef", "AKIA" + "A" * 16, "x" + "ab0" * 9, "ghp_" + "Z" * 36)
+    texts = [" ".join(order) for n in range(5) for order in itertools.product(parts, repeat=n)]
+    rows = [*enumerate(texts), (-1, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op4_secret_scan(spark, str(tmp_path))
+    assert digests(found) == sorted(contract_row(*row) for row in rows)
+
+
+def test_registered_query_on_the_whole_table(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    rows = read_table(spark, sf_dir, "documents").select("doc_id", "text").collect()
+    found = digests(queries.op4_secret_scan(spark, sf_dir))
+    assert found == sorted(contract_row(*row) for row in rows)
+    assert sum(map(sum, (row[1:4] for row in found))) > 0
