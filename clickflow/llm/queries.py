@@ -9,6 +9,7 @@ from clickflow.llm import (
     ngram_join,
     packing,
     pieces,
+    pii,
     quality,
     secret_scan,
     suffix_dedup,
@@ -85,6 +86,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pii_spans(read_table(spark, sf_dir, "documents"))
+    base = F.filter("__spans", lambda s: s["rule"] < len(pii.BASE_RULES))
+    counts = [pii.span_count(F.col("__spans"), i).alias(f"n_{rule.kind}") for i, rule in enumerate(pii.BASE_RULES)]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.span_text(base), 256).alias("base_sha256"),
+        pii.span_text(F.col("__spans")).alias("spans"),
+        F.array_join(F.transform("__spans", lambda s: F.format_number(s["score"], 2)), ",").alias("scores"),
+    )
+
+
 def _shipping(function):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -105,5 +119,6 @@ def queries() -> dict:
         op8_url_filter,
         op9_quality_rules,
         op10_suffix_dedup,
+        op12_pii,
     )
     return {function.__name__: _shipping(function) for function in named}
