@@ -15,6 +15,7 @@ from clickflow.llm import (
     suffix_dedup,
     topk,
     url_filters,
+    whitening,
 )
 from clickflow.llm.common import read_table, ship
 
@@ -99,6 +100,11 @@ def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def _shipping(function):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -120,5 +126,6 @@ def queries() -> dict:
         op9_quality_rules,
         op10_suffix_dedup,
         op12_pii,
+        op13_whitening,
     )
     return {function.__name__: _shipping(function) for function in named}
