@@ -286,7 +286,9 @@ def whitening_model(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[Data
     are its eigenvectors, row by row. Their signs make the largest entry positive.
     """
     shards, most = _shards(rows, shard_rows)
-    states = _folded(shards.mapInPandas(tidy(shard_spectra), STATE), most, _merged, STATE, "spectra")
+    # Shards take far more time than their bytes tell: they are dealt to all cores in turn.
+    dealt = shards.repartition(min(most, 8 * rows.sparkSession.sparkContext.defaultParallelism))
+    states = _folded(dealt.mapInPandas(tidy(shard_spectra), STATE), most, _merged, STATE, "spectra")
     model, _ = staged(states.mapInPandas(tidy(first_model), MODEL), "whitening_model")
     for _ in range(PASSES):
         side = small_side(model.select("dim", F.col("n").alias("total"), "sums", "vectors"), "model_side")
