@@ -1,5 +1,7 @@
 """The registered queries of this subpackage, each an operator over its whole table."""
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from clickflow.llm import (
     line_dedup,
     ngram_join,
     packing,
+    periodic_runs,
     pieces,
     pii,
     quality,
@@ -87,6 +90,37 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def planted(doc_id, words: list) -> list:
+    """A tenth of the documents, by the checksum of their id, get a periodic end; a null id is left alone."""
+    mark = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if mark % 10 or not words:
+        return words
+    start = mark // 10 % len(words)
+    period = 1 + (len(words) - start) // (3 + mark // 10 % 8)
+    return [word if i < start else words[start + (i - start) % period] for i, word in enumerate(words)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(read_table(spark, sf_dir, "documents"), arrange=planted)
+    # Of runs sorted by start and period the first one that no later one exceeds.
+    best = F.aggregate(
+        "runs",
+        F.get("runs", F.lit(0)),
+        lambda top, run: F.when(run["length"] * top["period"] > top["length"] * run["period"], run).otherwise(top),
+    )
+    shown = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(shown, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pii_spans(read_table(spark, sf_dir, "documents"))
     base = F.filter("__spans", lambda s: s["rule"] < len(pii.BASE_RULES))
@@ -125,6 +159,7 @@ def queries() -> dict:
         op8_url_filter,
         op9_quality_rules,
         op10_suffix_dedup,
+        op11_periodic_runs,
         op12_pii,
         op13_whitening,
     )
