@@ -31,6 +31,8 @@ def parse_args(argv=None):
     parser.add_argument("--hive", action="store_true", help="use the Hive metastore")
     parser.add_argument("--sample-size", type=int, default=100)
     parser.add_argument("--seed", type=int, default=0)
+    parser.add_argument("--resume", action="store_true", help="go on from the staged tables of an interrupted run")
+    parser.add_argument("--input-version", help="name of the inputs' state for --resume; default: their files")
     return parser.parse_args(argv)
 
 
@@ -56,6 +58,8 @@ def main(argv=None):
         args.target,
         tiebreak=args.tiebreak,
         database=args.database,
+        resume=args.resume,
+        input_version=args.input_version,
         sample_size=args.sample_size,
         seed=args.seed,
         top=args.top,

@@ -7,9 +7,10 @@ from clickflow import schemas
 from clickflow.operators import bands, categories, pageflow, sampling
 from clickflow.operators.filters import date_range
 from clickflow.operators.sessions import actions_of, kept_sessions
-from clickflow.operators.staging import run_folder, stage
+from clickflow.operators.staging import run_folder, run_key, stage
 from clickflow.params import TaskParams, task_id_from_args, task_params
-from clickflow.sinks.results import write_result, write_result_table
+from clickflow.sinks import versions
+from clickflow.sinks.results import write_result_table
 
 # Result table: its task column.
 TASK_KEYS = {
@@ -98,12 +99,19 @@ def run_task(
     target: str = None,
     tiebreak: str = None,
     database: str = None,
+    resume: bool = False,
+    input_version: str = None,
     **options,
 ) -> dict:
-    """Run the task named by ``args`` and write each result table.
+    """Run the task named by ``args`` and write all of its result tables.
 
-    Tables go to folders under ``target`` or, with ``database``, to that catalog database.
-    Returns each table's path or name. Staged tables are deleted at the end.
+    Under ``target`` all tables of the task appear at once, as its next version, see ``versions``;
+    until then readers see the version before. In the catalog database ``database`` tables are
+    replaced one by one, after all of them have been computed. Returns each table's path or name.
+
+    Staged tables are deleted at the end. With ``resume`` those of a run that failed or lost
+    its driver stay, and running the same task on the same inputs goes on from there; see ``run_key``
+    for what counts as the same. Only one such run of a task may be under way.
     """
     if (target is None) == (database is None):
         raise ValueError("name either a target folder or a database")
@@ -111,16 +119,24 @@ def run_task(
     if task_id is None:
         raise ValueError("the first argument must be a task id")
     params = task_params(tasks, task_id)
-    paths = {}
-    with run_folder(spark):
+    key = None
+    if resume:
+        settings = {"task": task_id, "params": vars(params), "tiebreak": tiebreak, "place": target or database, **options}
+        key = run_key([actions, users], settings, input_version)
+    with run_folder(spark, key):
         results = session_analysis(actions, users, params, task_id, **options)
         if params.page_flow is not None:
             results["page_conversion"] = page_conversion_analysis(actions, params, task_id, tiebreak)
-        for name, df in results.items():
-            if database is None:
-                paths[name] = f"{target.rstrip('/')}/{name}"
-                write_result(df, paths[name], task_id, TASK_KEYS[name])
-            else:
-                paths[name] = f"{database}.{name}"
-                write_result_table(df, paths[name], task_id, TASK_KEYS[name])
-    return paths
+        if database is not None:
+            return _replace_tables(results, task_id, database)
+        version = versions.new_version(spark, target, task_id, key)
+        written = {name: versions.write_table(df, target, name, task_id, version) for name, df in results.items()}
+        return versions.commit(spark, target, task_id, version, written).paths(target)
+
+
+def _replace_tables(results: dict, task_id: int, database: str) -> dict:
+    """The task's partition of every table in ``database`` replaced; results are complete before the first is."""
+    results = {name: stage(df, name) for name, df in results.items()}
+    for name, df in results.items():
+        write_result_table(df, f"{database}.{name}", task_id, TASK_KEYS[name])
+    return {name: f"{database}.{name}" for name in results}
