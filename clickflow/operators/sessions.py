@@ -1,5 +1,8 @@
 """Actions rolled up to one row per session, and sessions joined with their users."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +12,11 @@ from clickflow.params import TaskParams
 
 USER_COLUMNS = ("age", "professional", "city", "sex")
 
+# Lists of up to this many sessions are named in the scan's filter; longer ones only meet in the join.
+PUSHED_SESSIONS = 1_000
+# Parquet's filter tests values one by one up to this many, and only their range beyond.
+PUSHED_AT_ONCE = 10
+
 
 def _measured(rolled: DataFrame, *extra) -> DataFrame:
     return rolled.select(
@@ -104,6 +112,23 @@ def actions_of(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     return actions.join(sessions.select("session_id"), "session_id", "left_semi")
 
 
+def push_sessions(actions: DataFrame, sessions: DataFrame, most: int = PUSHED_SESSIONS) -> DataFrame:
+    """``actions`` with the ids of a short list of sessions as a filter that reaches the scan.
+
+    For use before ``actions_of``, which decides what is kept. On a table that ``write_actions`` has
+    laid out the scan then skips files and pages without these sessions. ``sessions`` is read
+    once, so it should be staged; no more than ``most`` ids, and one, come to the driver.
+    """
+    ids = [row.session_id for row in sessions.select("session_id").distinct().limit(most + 1).collect()]
+    ids = sorted(i for i in ids if i is not None)
+    if len(ids) > most:
+        return actions
+    groups = [F.col("session_id").isin(ids[at : at + PUSHED_AT_ONCE]) for at in range(0, len(ids), PUSHED_AT_ONCE)]
+    while len(groups) > 1:  # paired, so that the condition is not as deep as it is long
+        groups = [reduce(or_, groups[at : at + 2]) for at in range(0, len(groups), 2)]
+    return actions.filter(groups[0] if groups else F.lit(False))
+
+
 def kept_rollup(actions: DataFrame, kept: DataFrame) -> DataFrame:
     """The full rows, lists and users included, of kept sessions.
 

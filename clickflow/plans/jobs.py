@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from clickflow import schemas
 from clickflow.operators import bands, categories, pageflow, sampling
 from clickflow.operators.filters import date_range
-from clickflow.operators.sessions import actions_of, kept_sessions
+from clickflow.operators.sessions import actions_of, kept_sessions, push_sessions
 from clickflow.operators.staging import run_folder, run_key, stage
 from clickflow.params import TaskParams, task_id_from_args, task_params
 from clickflow.sinks import versions
@@ -71,7 +71,7 @@ def session_analysis(
     # Staged, so that its real size decides how it meets the actions.
     chosen = sample.select("session_id").unionByName(active.select("session_id"))
     chosen = stage(chosen.distinct(), "chosen_sessions")
-    detail = stage(actions_of(actions, chosen), "detail")
+    detail = stage(actions_of(push_sessions(actions, chosen), chosen), "detail")
     sampled = actions_of(detail, sample)
     return {
         "session_aggr_stat": band_statistics(kept, task_id),

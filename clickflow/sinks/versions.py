@@ -152,3 +152,27 @@ def drop_old_versions(spark: SparkSession, target: str, task_id: int, keep: int
                 files.delete(status.getPath(), True)
                 gone.append(folder)
     return gone
+
+
+# A folder of one table that belongs to no task is versioned under these.
+ALONE, ROWS = 0, "rows"
+
+
+def is_versioned(spark: SparkSession, path: str) -> bool:
+    return bool(_numbers(spark, path, ALONE))
+
+
+def read_folder(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The current rows of a folder that ``replace_folder`` writes."""
+    return read_table(spark, path, ROWS, schema, [ALONE])
+
+
+def replace_folder(df: DataFrame, path: str, keep: int = 2) -> None:
+    """``df`` becomes the folder's content at once; the ``keep`` newest versions stay for readers under way.
+
+    ``df`` may read the folder itself.
+    """
+    spark = df.sparkSession
+    version = new_version(spark, path, ALONE)
+    commit(spark, path, ALONE, version, {ROWS: write_table(df, path, ROWS, ALONE, version)})
+    drop_old_versions(spark, path, ALONE, keep)

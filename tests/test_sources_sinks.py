@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from clickflow import schemas
 from clickflow.operators import staging
 from clickflow.operators.filters import date_range
-from clickflow.operators.sessions import session_measures
+from clickflow.operators.sessions import actions_of, push_sessions, session_measures
+from clickflow.operators.staging import stage
 from clickflow.params import TaskParams
 from clickflow.sinks import results
 from clickflow.sources import catalog, jdbc
@@ -106,6 +107,107 @@ def test_bucketed_writes_make_one_file_per_day_and_bucket(spark, actions):
     assert len(spark.table("few_files").inputFiles()) <= 3 * 4
 
 
+def days(spark, path):
+    rows = results.read_result(spark, path, schemas.USER_VISIT_ACTION).collect()
+    return sorted((str(r.date), r.session_id) for r in rows)
+
+
+def test_action_writes_replace_their_days(spark, actions, tmp_path):
+    path = str(tmp_path / "actions")
+
+    def day(number, *names):
+        return actions(*(dict(session_id=n, time=f"2019-01-{number} 08:00:00") for n in names))
+
+    results.write_actions(day(20, "a", "b").union(day(21, "c")), path)
+    results.write_actions(day(20, "a", "b").union(day(21, "c")), path)
+    assert days(spark, path) == [("2019-01-20", "a"), ("2019-01-20", "b"), ("2019-01-21", "c")]
+    results.write_actions(day(21, "d").union(day(22, "e", "e")), path)
+    assert days(spark, path) == [
+        ("2019-01-20", "a"), ("2019-01-20", "b"), ("2019-01-21", "d"), ("2019-01-22", "e"), ("2019-01-22", "e"),
+    ]
+    results.write_actions(actions(), path)
+    assert len(days(spark, path)) == 5
+
+
+def test_bucketed_writes_replace_their_days(spark, actions):
+    def write(*rows):
+        results.write_bucketed_actions(actions(*(dict(session_id=n, time=f"2019-01-{d} 08:00:00") for d, n in rows)), "again", 2)
+
+    write((20, "a"), (21, "b"))
+    write((20, "a"), (21, "b"))
+    write((21, "c"), (22, "d"))
+    assert sorted((r.date.day, r.session_id) for r in spark.table("again").collect()) == [(20, "a"), (21, "c"), (22, "d")]
+    rolled = session_measures(spark.table("again"))
+    assert "Exchange" not in plan(rolled) and rolled.count() == 3
+
+
+def test_user_writes_merge_by_id(spark, users, tmp_path):
+    path = str(tmp_path / "users")
+
+    def write(*rows):
+        results.write_users(users(*(dict(user_id=i, city=c) for i, c in rows)), path)
+
+    def there():
+        return sorted((str(r.user_id), r.city) for r in results.read_result(spark, path, schemas.USER_INFO).collect())
+
+    write((1, "a"), (2, "b"), (None, "n"))
+    write((1, "a"), (2, "b"), (None, "n"))
+    assert there() == [("1", "a"), ("2", "b"), ("None", "n")]
+    write((2, "c"), (3, "d"), (3, "e"), (None, "m"))
+    assert there() == [("1", "a"), ("2", "c"), ("3", "d"), ("3", "e"), ("None", "m")]
+    write()
+    assert len(there()) == 5
+
+
+def scanned(df):
+    """(rows, rows that the scan gave out)."""
+    spark = df.sparkSession
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        execution = df._jdf.queryExecution()
+        execution.executedPlan().executeCollect()
+        leaves = execution.executedPlan().collectLeaves()
+        found = [leaves.apply(i) for i in range(leaves.size())]
+        scans = [leaf for leaf in found if "FileSourceScan" in leaf.getClass().getName()]
+        return sum(scan.metrics().apply("numOutputRows").value() for scan in scans)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_few_sessions_are_looked_up_without_a_full_scan(spark, tmp_path):
+    """A hundred of 100,000 sessions, one of which holds a third of all rows."""
+    rows = spark.range(600_000).selectExpr(
+        "DATE'2019-01-20' + CAST(id % 3 AS INT) AS date",
+        "id % 100 AS user_id",
+        "if(id % 3 = 0, 's0', concat('s', md5(string(id % 100000)))) AS session_id",
+        "id % 10 AS page_id",
+    )
+    names = {field.name: field.dataType for field in schemas.USER_VISIT_ACTION}
+    full = rows.select(*(F.col(n) if n in rows.columns else F.lit(None).cast(t).alias(n) for n, t in names.items()))
+    path = str(tmp_path / "actions")
+    results.write_actions(full, path, page_rows=200)
+    stored = spark.read.schema(schemas.USER_VISIT_ACTION).parquet(path)
+    few = stage(stored.filter("session_id <> 's0'").select("session_id").distinct().orderBy(F.md5("session_id")).limit(100), "few")
+    wanted = actions_of(stored, few)
+    found = actions_of(push_sessions(stored, few), few)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect())) != []
+    all_rows, read = scanned(stored), scanned(push_sessions(stored, few))
+    assert all_rows == 600_000 and read < 0.1 * all_rows
+    # The one hot session is found too, in its own files.
+    hot = stage(spark.createDataFrame([("s0",), (None,)], "session_id string"), "hot")
+    assert actions_of(push_sessions(stored, hot), hot).count() == 200_000
+
+
+def test_lists_are_pushed_up_to_a_bound(spark):
+    actions = spark.range(100).selectExpr("string(id) AS session_id")
+    for count, pushed in ((0, True), (1, True), (25, True), (26, False)):
+        few = stage(spark.range(count).selectExpr("string(id) AS session_id"), "few")
+        narrowed = push_sessions(actions, few, most=25)
+        assert narrowed.count() == (count if pushed else 100)
+        assert actions_of(narrowed, few).count() == count
+
+
 def test_text_dates_reach_the_scan(spark, actions, tmp_path):
     rows = [dict(session_id=f"s{i}", time=f"2019-01-{10 + i:02d} 08:00:00") for i in range(20)]
     table = actions(*rows)
