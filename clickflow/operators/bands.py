@@ -1,9 +1,10 @@
 """Visit-length and step-length distributions."""
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Optional
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickflow.functions.numbers import ratio
@@ -71,7 +72,63 @@ def counters(sessions: DataFrame, visits=VISIT_BANDS, steps=STEP_BANDS) -> DataF
         *_counts(visits, "visit_length", ""),
         *_counts(steps, "step_length", ""),
     )
-    return _rows(wide, ["session_count", *(band.label for band in (*visits, *steps))], "counter, value")
+    return _rows(wide, counter_names(visits, steps), "counter, value")
+
+
+def counter_names(visits=VISIT_BANDS, steps=STEP_BANDS) -> list:
+    return ["session_count", *(band.label for band in (*visits, *steps))]
+
+
+def counter_states(sessions: DataFrame, visits=VISIT_BANDS, steps=STEP_BANDS) -> DataFrame:
+    """(date, counter, value): ``counters`` of the sessions that start on each day, null for an unknown start.
+
+    A state that can be stored and merged with others, see ``merge_counters``.
+    """
+    wide = sessions.groupBy(F.to_date("start_time").alias("date")).agg(
+        F.count(F.lit(1)).alias("session_count"),
+        *_counts(visits, "visit_length", ""),
+        *_counts(steps, "step_length", ""),
+    )
+    names = counter_names(visits, steps)
+    pairs = ", ".join(f"'{name}', `{name}`" for name in names)
+    return wide.selectExpr("date", f"stack({len(names)}, {pairs}) AS (counter, value)")
+
+
+def write_counter_states(states: DataFrame, path: str) -> None:
+    """Replaces the days that ``states`` holds, others stay."""
+    days = states.coalesce(1)  # sixteen rows a day
+    days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+
+
+def read_counter_states(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("date date, counter string, value bigint").parquet(path)
+
+
+def merge_counters(*states: DataFrame, names=None) -> DataFrame:
+    """(counter, value): the sum of any number of states by counter, as one state again.
+
+    A state has a counter and a value column, may hold a counter any number of times or not at all, and may
+    be empty: then the result is that of the others. Names that are not among ``names`` and null
+    values change nothing. Every name has a row.
+    """
+    names = list(names or counter_names())
+    parts = [state.select("counter", "value") for state in states]
+    known = F.col("counter").isin(names)
+    summed = reduce(DataFrame.unionByName, parts).filter(known).agg(
+        *(F.coalesce(F.sum(F.when(F.col("counter") == name, F.col("value"))), F.lit(0)).alias(name) for name in names)
+    )
+    return _rows(summed, names, "counter, value")
+
+
+def stat_of_counters(state: DataFrame, task_id: int, visits=VISIT_BANDS, steps=STEP_BANDS) -> DataFrame:
+    """``aggr_stat`` from a state instead of sessions."""
+    value = {name: F.coalesce(F.sum(F.when(F.col("counter") == name, F.col("value"))), F.lit(0)) for name in counter_names(visits, steps)}
+    counted = state.agg(
+        value["session_count"].alias("session_count"),
+        *(value[band.label].alias(f"visit_length_{band.label}") for band in visits),
+        *(value[band.label].alias(f"step_length_{band.label}") for band in steps),
+    )
+    return _shares(counted, task_id, visits, steps)
 
 
 def aggr_stat(sessions: DataFrame, task_id: int, visits=VISIT_BANDS, steps=STEP_BANDS) -> DataFrame:
@@ -81,6 +138,10 @@ def aggr_stat(sessions: DataFrame, task_id: int, visits=VISIT_BANDS, steps=STEP_
         *_counts(visits, "visit_length", "visit_length_"),
         *_counts(steps, "step_length", "step_length_"),
     )
+    return _shares(counted, task_id, visits, steps)
+
+
+def _shares(counted, task_id, visits, steps):
     names = [f"visit_length_{b.label}" for b in visits] + [f"step_length_{b.label}" for b in steps]
     return counted.select(
         F.lit(task_id).cast("bigint").alias("taskid"),

@@ -49,9 +49,14 @@ def searched_any(params: TaskParams) -> Column:
     return any_of(F.col("search_keyword"), params.keywords)
 
 
+def category_ids(params: TaskParams) -> list:
+    """The task's categories that are numbers; no other text equals a category's id."""
+    return [int(text) for text in params.category_ids if re.fullmatch("0|-?[1-9][0-9]*", text)]
+
+
 def clicked_any(params: TaskParams) -> Column:
     """Action-level test: this action clicked one of the task's categories."""
-    ids = [int(text) for text in params.category_ids if re.fullmatch("0|-?[1-9][0-9]*", text)]
+    ids = category_ids(params)
     return F.col("click_category_id").isin(ids) if ids else F.lit(False)
 
 

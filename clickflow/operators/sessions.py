@@ -18,7 +18,7 @@ PUSHED_SESSIONS = 1_000
 PUSHED_AT_ONCE = 10
 
 
-def _measured(rolled: DataFrame, *extra) -> DataFrame:
+def measured(rolled: DataFrame, *extra) -> DataFrame:
     return rolled.select(
         "session_id",
         "user_id",
@@ -49,8 +49,13 @@ def session_rollup(actions: DataFrame) -> DataFrame:
         F.collect_set(keyword).alias("keywords"),
         F.collect_set("click_category_id").alias("categories"),
     )
+    return listed(rolled)
+
+
+def listed(rolled: DataFrame) -> DataFrame:
+    """Sessions with their arrays of keywords and categories as sorted lists."""
     categories = F.array_sort("categories").cast("array<string>")
-    return _measured(
+    return measured(
         rolled,
         F.array_join(F.array_sort("keywords"), ",").alias("search_keywords"),
         F.array_join(categories, ",").alias("click_category_ids"),
@@ -76,7 +81,7 @@ def session_measures(actions: DataFrame, params: TaskParams = TaskParams()) -> D
     if params.category_ids is not None:
         aggregates.append(F.max(clicked_any(params)).alias("clicked"))
         flags.append(F.col("clicked"))
-    return _measured(keep(in_sessions(actions).groupBy("session_id").agg(*aggregates), flags))
+    return measured(keep(in_sessions(actions).groupBy("session_id").agg(*aggregates), flags))
 
 
 def attach_users(sessions: DataFrame, users: DataFrame) -> DataFrame:

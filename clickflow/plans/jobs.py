@@ -7,6 +7,7 @@ from clickflow import schemas
 from clickflow.operators import bands, categories, pageflow, sampling
 from clickflow.operators.filters import date_range
 from clickflow.operators.sessions import actions_of, kept_sessions, push_sessions
+from clickflow.operators.states import kept_from_states
 from clickflow.operators.staging import run_folder, run_key, stage
 from clickflow.params import TaskParams, task_id_from_args, task_params
 from clickflow.sinks import versions
@@ -56,14 +57,20 @@ def session_analysis(
     seed: int = sampling.DEFAULT_SEED,
     top: int = categories.DEFAULT_TOP,
     top_sessions: int = categories.DEFAULT_TOP,
+    states: DataFrame = None,
 ) -> dict:
     """All result tables of a task by name.
 
     The action table is scanned three times: for the sessions, for the category counts and
-    for the details of the sampled and the most active sessions together.
+    for the details of the sampled and the most active sessions together. With stored ``states``
+    of the same actions, see ``operators.states``, sessions come from these without a scan.
     """
     actions = date_range(actions, params)
-    kept = stage(kept_sessions(actions, users, params), "kept_sessions")
+    if states is None:
+        kept = kept_sessions(actions, users, params)
+    else:
+        kept = kept_from_states(date_range(states, params), users, params)
+    kept = stage(kept, "kept_sessions")
     sample = stage(sampling.sample_sessions(kept, sample_size, seed), "sample")
     popular, active = ranked_sessions(actions, kept, top, top_sessions)
     active = stage(active, "top_sessions")
@@ -122,7 +129,8 @@ def run_task(
     key = None
     if resume:
         settings = {"task": task_id, "params": vars(params), "tiebreak": tiebreak, "place": target or database, **options}
-        key = run_key([actions, users], settings, input_version)
+        states = settings.pop("states", None)
+        key = run_key([actions, users, *([] if states is None else [states])], settings, input_version)
     with run_folder(spark, key):
         results = session_analysis(actions, users, params, task_id, **options)
         if params.page_flow is not None:

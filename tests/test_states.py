@@ -1,0 +1,126 @@
+"""States by day give what the actions themselves give."""
+
+import datetime as dt
+import random
+
+import pytest
+from test_jobs import PARAMS, world  # noqa: F401
+
+from clickflow.operators import bands
+from clickflow.operators.sessions import kept_sessions, session_measures, session_rollup
+from clickflow.operators.states import (
+    kept_from_states,
+    measures_from_states,
+    read_states,
+    rollup_from_states,
+    session_states,
+    write_states,
+)
+from clickflow.params import TaskParams
+from clickflow.plans import jobs
+
+
+def same(found, wanted):
+    assert found.columns == wanted.columns and found.dtypes == wanted.dtypes
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect()))
+
+
+@pytest.fixture
+def nights(actions):
+    """Sessions over several midnights, with gaps; one holds a third of all actions."""
+    random.seed(5)
+    rows = []
+    for i in range(600):
+        number = 0 if i % 3 == 0 else random.randint(1, 40)
+        time = dt.datetime(2019, 1, 5, 22) + dt.timedelta(minutes=number * 7 + random.randint(0, 60 * 60))
+        row = dict(session_id=f"s{number}", user_id=number % 9, time=str(time), page_id=1)
+        if i % 4 == 0:
+            row["search_keyword"] = random.choice(["", "a", "b", "c", "d,e"])
+        elif i % 4 == 1:
+            row["click_category_id"] = random.randint(0, 6)
+        if i % 50 == 0:
+            row["session_id"] = None
+        rows.append(row)
+    return actions(*rows)
+
+
+def test_a_merged_session_is_whole_again(nights):
+    states = session_states(nights)
+    assert states.count() > session_rollup(nights).count()
+    same(rollup_from_states(states), session_rollup(nights))
+
+
+@pytest.mark.parametrize("params", [
+    TaskParams(),
+    TaskParams(keywords=("a", "e")),
+    TaskParams(category_ids=("3", "x", "5")),
+    TaskParams(category_ids=("x",)),
+    TaskParams(keywords=("c",), category_ids=("1",)),
+])
+def test_conditions_hold_on_states(nights, params):
+    same(measures_from_states(session_states(nights), params), session_measures(nights, params))
+
+
+def test_kept_sessions_of_a_task(world):  # noqa: F811
+    _, _, actions, users = world
+    wanted = kept_sessions(actions, users, PARAMS)
+    same(kept_from_states(session_states(actions), users, PARAMS), wanted)
+
+
+def test_the_whole_analysis_from_states(world, spark, tmp_path):  # noqa: F811
+    _, _, actions, users = world
+    path = str(tmp_path / "states")
+    write_states(session_states(actions), path)
+    plain = jobs.session_analysis(actions, users, PARAMS, 7, sample_size=60)
+    found = jobs.session_analysis(actions, users, PARAMS, 7, sample_size=60, states=read_states(spark, path))
+    for name, df in found.items():
+        same(df, plain[name])
+
+
+def test_days_are_written_one_by_one(nights, spark, tmp_path):
+    path = str(tmp_path / "states")
+    days = [row.date for row in nights.select("date").distinct().collect()]
+    for day in sorted(days) + days[:2]:
+        write_states(session_states(nights.filter(nights["date"] == day)), path)
+    same(rollup_from_states(read_states(spark, path)), session_rollup(nights))
+    some = TaskParams(start_date=min(days) + dt.timedelta(1), end_date=max(days) - dt.timedelta(1))
+    in_range = nights.filter(nights["date"].between(some.start_date, some.end_date))
+    states = read_states(spark, path, some)
+    same(rollup_from_states(states), session_rollup(in_range))
+    assert "PartitionFilters: [isnotnull(date" in states._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_actions(actions, spark, tmp_path):
+    empty = session_states(actions())
+    assert rollup_from_states(empty).collect() == [] and measures_from_states(empty, PARAMS).collect() == []
+
+
+def as_dict(state):
+    return {r.counter: r.value for r in state.collect()}
+
+
+def test_counter_states_of_halves_equal_the_whole(nights, spark, tmp_path):
+    sessions = session_measures(nights)
+    whole = as_dict(bands.counters(sessions))
+    halves = [bands.counters(sessions.filter(f"pmod(hash(session_id), 2) = {i}")) for i in range(2)]
+    assert as_dict(bands.merge_counters(*halves)) == whole
+    states = bands.counter_states(sessions)
+    assert as_dict(bands.merge_counters(states)) == whole and states.select("date").distinct().count() > 1
+    path = str(tmp_path / "counters")
+    for part in (sessions, sessions.filter("day(start_time) = 6"), sessions.filter("false")):
+        bands.write_counter_states(bands.counter_states(part), path)
+    stored = bands.read_counter_states(spark, path)
+    assert as_dict(bands.merge_counters(stored)) == whole
+    same(bands.stat_of_counters(bands.merge_counters(stored), 3), bands.aggr_stat(sessions, 3))
+
+
+def test_merging_unknown_names_and_empty_states(spark):
+    kinds = "counter string, value bigint"
+    empty = spark.createDataFrame([], kinds)
+    odd = spark.createDataFrame([("1s_3s", 2), ("1s_3s", 3), ("no such band", 9), (None, 1), ("30m", None)], kinds)
+    found = as_dict(bands.merge_counters(empty, odd))
+    assert found == {**dict.fromkeys(bands.counter_names(), 0), "1s_3s": 5}
+    assert as_dict(bands.merge_counters(empty)) == dict.fromkeys(bands.counter_names(), 0)
+    assert as_dict(bands.merge_counters(bands.merge_counters(odd), bands.merge_counters(empty, odd)))["1s_3s"] == 10
+    zero = bands.stat_of_counters(empty, 1).first()
+    assert zero.session_count == 0 and zero["visit_length_1s_3s_ratio"] == 0.0
