@@ -16,7 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle_queries  # noqa: E402
 from clickflow import schemas  # noqa: E402
 from clickflow.functions import jsons, numbers, text, times  # noqa: E402
-from clickflow.operators import bands, categories, pageflow, sampling, sessions  # noqa: E402
+from clickflow.operators import bands, categories, pageflow, sampling, sessions, states  # noqa: E402
 from clickflow.operators.filters import (  # noqa: E402
     clicks,
     date_range,
@@ -26,7 +26,7 @@ from clickflow.operators.filters import (  # noqa: E402
 from clickflow.operators.staging import fresh_path, stage  # noqa: E402
 from clickflow.params import TaskParams, task_id_from_args, task_params  # noqa: E402
 from clickflow.plans import jobs  # noqa: E402
-from clickflow.sinks import results  # noqa: E402
+from clickflow.sinks import results, versions  # noqa: E402
 from clickflow.sources import events  # noqa: E402
 from clickflow.sources.catalog import actions_table, register_view  # noqa: E402
 
@@ -117,7 +117,7 @@ def task_filter(spark, sf_dir):
     return _kept(spark, sf_dir, params).select("session_id")
 
 
-def _job(spark, sf_dir):
+def _job(spark, sf_dir, target=None):
     """The whole job, from the task's JSON to the paths of the written tables."""
     names = ("startDate", "endDate", "startAge", "endAge", "professionals", "sex")
     param = {name: TASK_JSON[name] for name in names}
@@ -128,7 +128,7 @@ def _job(spark, sf_dir):
         _tasks(spark, param),
         events.load_actions(spark, sf_dir),
         events.load_users(spark, sf_dir),
-        fresh_path(spark, "results"),
+        target or fresh_path(spark, "results"),
         tiebreak="event_id",
         sample_size=SAMPLE_SIZE,
     )
@@ -151,8 +151,65 @@ JOB_TABLES = {
 
 
 def _job_table(name):
-    """One table that the whole job has written, read back."""
-    return lambda spark, sf_dir: results.read_result(spark, _job(spark, sf_dir)[name], JOB_TABLES[name])
+    """One table of the version that the whole job has committed."""
+
+    def run(spark, sf_dir):
+        target = fresh_path(spark, "results")
+        _job(spark, sf_dir, target)
+        return versions.read_table(spark, target, name, JOB_TABLES[name])
+
+    return run
+
+
+def _stored_states(spark, actions):
+    path = fresh_path(spark, "session_states")
+    states.write_states(states.session_states(actions), path)
+    return path
+
+
+def rollup_from_states(spark, sf_dir):
+    path = _stored_states(spark, _actions(spark, sf_dir))
+    return sessions.with_time_text(states.rollup_from_states(states.read_states(spark, path)))
+
+
+def weekly_rollup_from_states(spark, sf_dir):
+    """Sessions of a user's week: each is merged from several days."""
+    week = F.concat("user_id", F.lit("_w"), F.weekofyear("date"))
+    path = _stored_states(spark, _actions(spark, sf_dir).withColumn("session_id", week))
+    return sessions.with_time_text(states.rollup_from_states(states.read_states(spark, path)))
+
+
+def filter_from_states(spark, sf_dir):
+    """All of the task's conditions on states stored for every day."""
+    path = _stored_states(spark, _actions(spark, sf_dir))
+    return states.kept_from_states(states.read_states(spark, path, ALL), events.load_users(spark, sf_dir), ALL).select("session_id")
+
+
+def _stored_counters(spark, sf_dir):
+    """Counters by day, written in two goes of which the second repeats some days."""
+    path = fresh_path(spark, "counter_states")
+    found = stage(bands.counter_states(_kept(spark, sf_dir, WIDE)), "counters")
+    bands.write_counter_states(found, path)
+    bands.write_counter_states(found.filter("day(date) % 2 = 0"), path)
+    return bands.read_counter_states(spark, path)
+
+
+def merged_counters(spark, sf_dir):
+    return bands.merge_counters(_stored_counters(spark, sf_dir))
+
+
+def stat_from_counters(spark, sf_dir):
+    return bands.stat_of_counters(_stored_counters(spark, sf_dir), TASK_ID)
+
+
+def few_session_actions(spark, sf_dir):
+    """The actions of a hundred sessions, looked up in an action table laid out for that."""
+    path = fresh_path(spark, "user_visit_action")
+    results.write_actions(_actions(spark, sf_dir).select(*schemas.USER_VISIT_ACTION.names), path)
+    stored = results.read_result(spark, path, schemas.USER_VISIT_ACTION)
+    few = results.preview(sessions.session_measures(stored).select("session_id"), 100, F.md5("session_id"), "session_id")
+    few = stage(few, "few_sessions")
+    return _plain(sessions.actions_of(sessions.push_sessions(stored, few), few))
 
 
 def visit_bands(spark, sf_dir):
@@ -181,7 +238,7 @@ def sample_quota(spark, sf_dir):
 
 def _sample_actions(spark, sf_dir):
     kept = stage(_kept(spark, sf_dir, TaskParams()), "kept_sessions")
-    sample = stage(sampling.sample_sessions(kept, SAMPLE_SIZE), "sample")
+    sample = sampling.sample_sessions(kept, SAMPLE_SIZE)
     return sessions.actions_of(_actions(spark, sf_dir), sample)
 
 
@@ -460,6 +517,24 @@ def sink_users_roundtrip(spark, sf_dir):
     return results.read_result(spark, path, schemas.USER_INFO)
 
 
+def sink_users_merged(spark, sf_dir):
+    """All users, then those of one sex once more under new names."""
+    path = fresh_path(spark, "user_info")
+    users = events.load_users(spark, sf_dir)
+    results.write_users(users, path)
+    results.write_users(users.filter("sex = 'female'").withColumn("name", F.concat(F.lit("new "), "name")), path)
+    return results.read_result(spark, path, schemas.USER_INFO)
+
+
+def sink_actions_rewritten(spark, sf_dir):
+    """All days, then every second one once more with its clicks only."""
+    path = fresh_path(spark, "user_visit_action")
+    actions = _actions(spark, sf_dir).select(*schemas.USER_VISIT_ACTION.names)
+    results.write_actions(actions, path)
+    results.write_actions(clicks(actions).filter("day(date) % 2 = 0"), path)
+    return _plain(results.read_result(spark, path, schemas.USER_VISIT_ACTION))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Band statistics of the kept sessions."""
     return session_aggr_stat(spark, SMOKE_DIR)
@@ -514,6 +589,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         sink_actions_roundtrip,
         sink_bucketed_roundtrip,
         sink_users_roundtrip,
+        sink_users_merged,
+        sink_actions_rewritten,
+        rollup_from_states,
+        weekly_rollup_from_states,
+        filter_from_states,
+        merged_counters,
+        stat_from_counters,
+        few_session_actions,
         session_analysis,
     ]
     found = {function.__name__: function for function in named}

@@ -11,8 +11,9 @@ from clickflow.operators.staging import stage
 
 DEFAULT_SIZE = 100
 DEFAULT_SEED = 0
-# Hex digits of the random key that form a cell: an hour's sessions spread over 16^3 cells.
-CELL_DIGITS = 3
+# How far above an hour's quota hashes are looked at, in standard deviations, and the bound's hex digits.
+SPREAD = 6.0
+CUT_DIGITS = 12
 
 
 def _started(sessions: DataFrame) -> DataFrame:
@@ -35,16 +36,17 @@ def _with_quota(counted: DataFrame, count: str, size: int) -> DataFrame:
 
     Each day gets an equal share of ``size``, split over its hours by their sessions.
     """
-    days = counted.select(F.count_distinct("date")).scalar()
-    per_day = F.call_function("div", F.lit(size).cast("bigint"), days)
+    # One task sees all rows here, one for each hour, so that what was counted is not counted again.
+    days = F.size(F.collect_set("date").over(W.partitionBy(F.lit(0))))
+    per_day = F.call_function("div", F.lit(size).cast("bigint"), F.col("days").cast("bigint"))
     in_day = F.sum(count).over(W.partitionBy("date"))
     in_hour = F.sum(count).over(W.partitionBy("date", "hour"))
     share = F.col("sessions").cast("double") / F.col("in_day").cast("double") * per_day
     return (
-        counted.withColumn("in_day", in_day)
-        .withColumn("sessions", in_hour)
+        counted.withColumns({"in_day": in_day, "sessions": in_hour})
+        .withColumn("days", days)
         .withColumn("quota", F.least(F.floor(share), F.col("sessions")))
-        .drop("in_day")
+        .drop("in_day", "days")
     )
 
 
@@ -54,36 +56,40 @@ def sample_quota(sessions: DataFrame, size: int = DEFAULT_SIZE) -> DataFrame:
     return _with_quota(hours, "members", size).drop("members")
 
 
-def sample_sessions(sessions: DataFrame, size: int = DEFAULT_SIZE, seed: int = DEFAULT_SEED) -> DataFrame:
-    """``quota`` sessions of every (date, hour), uniformly and without replacement.
+def _cut(share):
+    """The hash below which ``share`` of all hashes lie, as text of as many digits as a double can tell apart."""
+    digits = F.lpad(F.lower(F.hex((share * 16.0**CUT_DIGITS).cast("bigint"))), CUT_DIGITS, "0")
+    # All hashes are below "g".
+    return F.when(share >= 1, "g").otherwise(digits)
 
-    Sessions of an hour are taken in the order of a seeded hash. Instead of ranking a whole
-    hour in one task, hashes are counted per prefix cell: cells below the quota are taken
-    whole, cells above it not at all, and only the one across the quota is ranked.
-    ``sessions`` is read twice and should be staged.
+
+def sample_sessions(sessions: DataFrame, size: int = DEFAULT_SIZE, seed: int = DEFAULT_SEED, spread: float = SPREAD) -> DataFrame:
+    """``quota`` sessions of every (date, hour), uniformly and without replacement, as a staged table.
+
+    Sessions of an hour are taken in the order of a seeded hash. How many an hour has tells closely
+    below which hash its quota lies: sessions well above that, by ``spread`` standard deviations, are
+    left out as they are read, and no more than the quota and a few times its root are shuffled
+    and ranked. Too few candidates in any hour show as rows that are missing in the end; then
+    all bounds are raised, up to whole hours.
+
+    ``sessions`` is read once for the counts and once for the candidates, and should be staged.
     """
+    started = _started(sessions).filter(F.col("session_id").isNotNull())
+    hours = started.groupBy(*_hour_keys()).agg(F.count(F.lit(1)).alias("members"))
+    hours = stage(_with_quota(hours, "members", size).filter(F.col("quota") > 0), "sample_hours")
+    wanted = hours.agg(F.sum("quota")).first()[0] or 0
     key = F.md5(F.concat(F.col("session_id"), F.lit(str(seed))))
-    keyed = _started(sessions).select("*", *_hour_keys(), key.alias("key"))
-    keyed = keyed.withColumn("cell", F.substring("key", 1, CELL_DIGITS))
-    cells = keyed.groupBy("date", "hour", "cell").agg(F.count(F.lit(1)).alias("members"))
-    cells = stage(cells, "sample_cells")
-    up_to = W.partitionBy("date", "hour").orderBy("cell")
-    before = F.sum("members").over(up_to) - F.col("members")
-    needed = (
-        _with_quota(cells, "members", size)
-        .withColumn("open", F.col("quota") - before)
-        .filter(F.col("open") > 0)
-        .select("date", "hour", "cell", "open")
-    )
-    # Every needed cell yields a session, so there are at most ``size`` of them.
-    needed = stage(needed, "sample_open_cells")
-    in_cell = W.partitionBy("date", "hour", "cell").orderBy("key", "session_id")
-    return (
-        keyed.join(needed, ["date", "hour", "cell"])
-        .withColumn("rank", F.row_number().over(in_cell))
-        .filter(F.col("rank") <= F.col("open"))
-        .select(*sessions.columns)
-    )
+    keyed = started.select("*", *_hour_keys(), key.alias("key"))
+    in_hour = W.partitionBy("date", "hour").orderBy("key", "session_id")
+    while True:
+        reach = F.col("quota") + F.lit(float(spread)) * (F.sqrt("quota") + 3)
+        bounds = hours.select("date", "hour", "quota", _cut(reach / F.col("sessions")).alias("high"))
+        candidates = keyed.join(bounds, ["date", "hour"]).filter(F.col("key") < F.col("high"))
+        ranked = candidates.withColumn("rank", F.row_number().over(in_hour)).filter(F.col("rank") <= F.col("quota"))
+        drawn = stage(ranked.select(*sessions.columns), "sample")
+        if drawn.count() == wanted:
+            return drawn
+        spread = 4 * spread
 
 
 def detail_records(actions: DataFrame, task_id: int) -> DataFrame:

@@ -71,7 +71,7 @@ def session_analysis(
     else:
         kept = kept_from_states(date_range(states, params), users, params)
     kept = stage(kept, "kept_sessions")
-    sample = stage(sampling.sample_sessions(kept, sample_size, seed), "sample")
+    sample = sampling.sample_sessions(kept, sample_size, seed)
     popular, active = ranked_sessions(actions, kept, top, top_sessions)
     active = stage(active, "top_sessions")
 

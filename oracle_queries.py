@@ -234,6 +234,15 @@ SELECT slice, CAST(n AS BIGINT) AS n, {_ratio("n", "base")} AS rate FROM based""
     sampled_detail = query(chosen + detail)
     text = "SELECT session_id, {} FROM known"
 
+    counted = query(
+        "SELECT 'session_count' AS counter, CAST(count(*) AS BIGINT) AS value FROM kept\nUNION ALL "
+        + _bands(VISIT_LABELS, VISIT_EDGES, "visit_length", "kept", "counter", "value")
+        + "\nUNION ALL "
+        + _bands(STEP_LABELS, STEP_EDGES, "step_length", "kept", "counter", "value"),
+        dates,
+        wide,
+    )
+
     return {
         "actions_date_range": query(f"SELECT {ACTION_COLUMNS} FROM acts", dates),
         "session_rollup": query(f"SELECT {SESSION_COLUMNS} FROM rolled"),
@@ -261,14 +270,7 @@ UNION ALL SELECT 'page_conversion', count(*) FROM hops""",
         ),
         "visit_bands": query(_bands(VISIT_LABELS, VISIT_EDGES, "visit_length")),
         "step_bands": query(_bands(STEP_LABELS, STEP_EDGES, "step_length")),
-        "band_counters": query(
-            "SELECT 'session_count' AS counter, CAST(count(*) AS BIGINT) AS value FROM kept\nUNION ALL "
-            + _bands(VISIT_LABELS, VISIT_EDGES, "visit_length", "kept", "counter", "value")
-            + "\nUNION ALL "
-            + _bands(STEP_LABELS, STEP_EDGES, "step_length", "kept", "counter", "value"),
-            dates,
-            wide,
-        ),
+        "band_counters": counted,
         "session_aggr_stat": stat,
         "sink_roundtrip": stat,
         "sessions_per_hour": query(
@@ -365,4 +367,24 @@ FROM (SELECT event_id, abs(value) / 8 AS a, abs(value) / 1000 AS b FROM events)"
         "view_roundtrip": query(f"SELECT {ACTION_COLUMNS} FROM acts"),
         "sink_actions_roundtrip": query(f"SELECT {ACTION_COLUMNS} FROM acts"),
         "sink_users_roundtrip": query("SELECT * FROM ui"),
+        "sink_users_merged": query(
+            "SELECT * REPLACE (CASE WHEN sex = 'female' THEN 'new ' || name ELSE name END AS name) FROM ui"
+        ),
+        "sink_actions_rewritten": query(
+            f"""SELECT {ACTION_COLUMNS} FROM acts
+WHERE click_category_id IS NOT NULL OR day(day) % 2 = 1
+  OR day NOT IN (SELECT day FROM acts WHERE click_category_id IS NOT NULL)"""
+        ),
+        "rollup_from_states": query(f"SELECT {SESSION_COLUMNS} FROM rolled"),
+        "weekly_rollup_from_states": query(
+            f"SELECT {SESSION_COLUMNS} FROM rolled",
+            source="(SELECT * REPLACE (user_id || '_w' || weekofyear(day) AS session_id) FROM uva)",
+        ),
+        "filter_from_states": ids(f"{wide} AND {city} AND {keywords} AND {category}"),
+        "merged_counters": counted,
+        "stat_from_counters": stat,
+        "few_session_actions": query(
+            f"""SELECT {ACTION_COLUMNS} FROM acts WHERE session_id IN (
+  SELECT session_id FROM rolled ORDER BY md5(session_id), session_id LIMIT 100)"""
+        ),
     }

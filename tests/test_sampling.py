@@ -3,6 +3,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickflow import schemas
 from clickflow.operators import sampling
@@ -69,6 +70,29 @@ def test_sample_matches_brute_force(sessions, size, seed):
     assert set(found) == brute_force(STRATA, size, seed)
 
 
+@pytest.mark.parametrize("spread", [0.001, 0.2, 1.0, 50.0])
+def test_bands_that_miss_the_quota_are_made_wider(sessions, spread):
+    for size in (30, 300, 3000):
+        found = [r.session_id for r in sampling.sample_sessions(sessions(STRATA), size, 2, spread).collect()]
+        assert len(found) == len(set(found)) and set(found) == brute_force(STRATA, size, 2)
+
+
+def test_only_candidates_of_a_large_hour_are_ranked(spark):
+    rows = spark.range(60_000).selectExpr("string(id) AS session_id", "TIMESTAMP_NTZ'2024-01-01 08:00:00' AS start_time")
+    drawn = {r.session_id for r in sampling.sample_sessions(rows, 10_000).collect()}
+    order = sorted(range(60_000), key=lambda i: hashlib.md5(f"{i}0".encode()).hexdigest())
+    assert drawn == {str(i) for i in order[:10_000]}
+    # The hash that the bound of such an hour stands for.
+    bound = spark.range(1).select(sampling._cut(F.lit((10_000 + 6 * 103) / 60_000))).first()[0]
+    below = sum(hashlib.md5(f"{i}0".encode()).hexdigest() < bound for i in range(60_000))
+    assert 10_000 < below < 11_500
+
+
+def test_sessions_without_an_id_take_no_part(spark, sessions):
+    table = sessions(STRATA).unionByName(spark.createDataFrame([(None, dt.datetime(2024, 1, 1, 8))] * 50, SCHEMA))
+    assert {r.session_id for r in sampling.sample_sessions(table, 300).collect()} == brute_force(STRATA, 300, 0)
+
+
 def test_sessions_without_a_start_take_no_part(spark, sessions):
     table = sessions(STRATA).unionByName(spark.createDataFrame([(f"none{i}", None) for i in range(200)], SCHEMA))
     assert sampling.sample_quota(table, 300).count() == len(STRATA)
