@@ -7,9 +7,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickflow.functions.numbers import ratio
-from clickflow.operators.hotkeys import HOT_ROWS, hot_keys
+from clickflow.operators.hotkeys import HOT_ROWS, likely_hot_keys
 from clickflow.operators.sessions import in_sessions
-from clickflow.operators.staging import is_empty, stage
+from clickflow.operators.staging import stage
 from clickflow.params import page_hops
 
 # Longest run of consecutive tiebreak values in one piece of a hot session.
@@ -23,15 +23,15 @@ def page_steps(actions: DataFrame, tiebreak: str = None, hot_rows: int = HOT_ROW
     where there is none; nulls come first. The last action of a session has no next page and
     counts under null, as does an action outside any session.
 
-    Actions are scanned twice: for sessions with more than ``hot_rows`` actions, and to pair
-    pages. Only the actions of hot sessions are cut into pieces, see ``_steps_in_pieces``.
+    Actions are scanned twice: for sessions that may have more than ``hot_rows`` actions, and to pair
+    pages, where alone they are shuffled. Only the actions of hot sessions are cut into pieces, see ``_steps_in_pieces``.
     """
-    hot = stage(hot_keys(in_sessions(actions), "session_id", hot_rows), "hot_sessions")
+    hot = likely_hot_keys(in_sessions(actions), "session_id", hot_rows)
     columns = ["session_id", "action_time", "page_id", *([tiebreak] if tiebreak else [])]
     actions = actions.select(*columns)
     # An action outside any session is a group of its own.
     lone = F.when(F.col("session_id").isNull(), F.monotonically_increasing_id()).alias("lone")
-    if is_empty(hot):
+    if hot is None:
         order = W.partitionBy("session_id", "lone").orderBy("action_time", tiebreak or "page_id")
         next_page = F.lead("page_id").over(order).alias("next_page_id")
         steps = actions.select("*", lone).select("page_id", next_page, F.lit(1).alias("n"))

@@ -4,8 +4,8 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from clickflow.operators import pageflow
-from clickflow.operators.hotkeys import hot_keys
+from clickflow.operators import hotkeys, pageflow
+from clickflow.operators.hotkeys import hot_keys, likely_hot_keys
 
 SCHEMA = "session_id string, page_id bigint, action_time timestamp_ntz, event_id bigint"
 
@@ -133,7 +133,7 @@ def test_a_hot_session_adds_one_scan_and_no_shuffle_of_the_others(spark):
         with pytest.MonkeyPatch.context() as patch:
             patch.setattr(pageflow, "stage", lambda df, name: paired.append(df) or stage(df, name))
             steps = pageflow.page_steps(table, hot_rows=hot_rows)
-        frame = paired[-1] if len(paired) > 1 else steps
+        frame = paired[-1] if paired else steps
         return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
     assert exchanges(50) == exchanges(10**9) == 2
@@ -145,6 +145,40 @@ def test_hot_keys_are_all_above_the_limit(spark):
     assert hot_keys(table, "k", rows=4).collect() == []
 
 
+@pytest.mark.parametrize("tracked", [2, 64, 4_096])
+def test_likely_hot_keys_miss_none(spark, tracked):
+    """With few tracked keys they are counted, with many they come from the sketch."""
+    random.seed(tracked)
+    keys = [f"k{min(int(random.expovariate(0.02)), 900)}" for _ in range(5_000)] + ["big"] * 2_500 + [None] * 3_000
+    table = spark.createDataFrame([(k,) for k in keys], "k string").repartition(7)
+    for rows in (2_400, 60, 30):
+        wanted = {k for k, n in Counter(keys).items() if n > rows and k is not None}
+        found = likely_hot_keys(table, "k", rows, tracked)
+        names = [r.k for r in found.collect()]
+        assert len(names) == len(set(names)) and set(names) >= wanted and None not in names
+    assert likely_hot_keys(table, "k", 10**9) is None
+    assert likely_hot_keys(table.filter("k IS NULL"), "k", 0) is None
+
+
+def test_a_sketch_shuffles_no_keys(spark, monkeypatch):
+    staged = {}
+    real = hotkeys.stage
+    monkeypatch.setattr(hotkeys, "stage", lambda df, name: staged.setdefault(name, df) and real(df, name))
+    table = spark.range(1000).selectExpr("string(id % 50) AS k")
+    assert likely_hot_keys(table, "k", 100) is None
+    plan = staged["hot_keys"]._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" not in plan and list(staged) == ["hot_keys"]
+
+
+@pytest.mark.parametrize("tiebreak, key", [("event_id", by_event), (None, by_page)])
+def test_sessions_taken_for_hot_give_the_same_steps(spark, monkeypatch, tiebreak, key):
+    rows = random_rows(8)
+    names = [(f"s{i}",) for i in range(0, 60, 2)] + [("nobody",)]
+    wrong = spark.createDataFrame(names, "session_id string")
+    monkeypatch.setattr(pageflow, "likely_hot_keys", lambda *_: wrong)
+    assert steps_of(spark, rows, tiebreak=tiebreak, piece=20) == brute_force(rows, key)
+
+
 def test_worked_sample_order(spark):
     def at(text):
         return dt.datetime.strptime("2019-01-20 " + text, "%Y-%m-%d %H:%M:%S")
