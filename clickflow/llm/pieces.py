@@ -93,15 +93,21 @@ def _cut(word: str, segments: re.Pattern) -> list[str]:
 def lattice(segments: DataFrame, pieces: DataFrame, most: int, unknown_score: float) -> DataFrame:
     """Every edge of every segment: ``segment``, its columns, start, end, id, score.
 
-    Substrings of at most ``most`` characters meet the pieces in an equi-join. A character
-    without a piece of its own gets an edge without an id.
+    Substrings of at most ``most`` characters meet the pieces in an equi-join on a 64-bit hash, a far
+    quicker key than text, and then have to be equal; the pieces' own hashes all differ. A
+    character without a piece of its own gets an edge without an id.
     """
+    # Edges meet again by their segment's number first: they are in its order as they are made.
+    segments = segments.withColumn("number", F.monotonically_increasing_id())
     starts = segments.withColumn("size", F.length("segment")).withColumn("start", F.explode(F.sequence(F.lit(0), F.col("size") - 1)))
     spans = starts.withColumn("span", F.explode(F.sequence(F.lit(1), F.least(F.lit(most), F.col("size") - F.col("start")))))
-    named = spans.withColumn("piece", F.substring("segment", F.col("start") + 1, F.col("span")))
-    edges = named.join(pieces, "piece", "left").filter("id IS NOT NULL OR span = 1")
-    score = F.coalesce("score", F.lit(unknown_score))
-    return edges.withColumn("end", F.col("start") + F.col("span")).withColumn("score", score).drop("piece", "span", "size")
+    named = spans.withColumn("part", F.substring("segment", F.col("start") + 1, F.col("span")))
+    hashed = pieces.select("piece", F.xxhash64("piece").alias("hash"), F.col("id").alias("piece_id"), F.col("score").alias("piece_score"))
+    met = named.withColumn("hash", F.xxhash64("part")).join(hashed, "hash", "left")
+    same = F.col("part") == F.col("piece")
+    met = met.withColumns({"id": F.when(same, F.col("piece_id")), "score": F.when(same, F.col("piece_score")).otherwise(unknown_score)})
+    edges = met.filter("id IS NOT NULL OR span = 1").withColumn("end", F.col("start") + F.col("span"))
+    return edges.drop("part", "hash", "piece", "piece_id", "piece_score", "span", "size")
 
 
 def best_paths(edges: DataFrame, carried: str) -> DataFrame:
@@ -111,7 +117,7 @@ def best_paths(edges: DataFrame, carried: str) -> DataFrame:
     longer last piece wins. ``carried`` stands on one edge of each segment.
     """
     edge = F.struct("end", "start", "score", "id")
-    grouped = edges.groupBy("segment").agg(F.sort_array(F.collect_list(edge)).alias("edges"), F.first(carried, ignorenulls=True).alias(carried))
+    grouped = edges.groupBy("number", "segment").agg(F.sort_array(F.collect_list(edge)).alias("edges"), F.first(carried, ignorenulls=True).alias(carried))
     # The best way to a place: its score, minus its last edge's start, and that edge's id. Of
     # two ways the greater one is better.
     kind = "struct<score:double,back:int,id:int>"
@@ -171,7 +177,7 @@ PACKED = "chunk int, docs binary"
 
 
 def _packed(df: DataFrame, ranges: dict, rest: tuple[int, int]) -> DataFrame:
-    """Documents of a chunk as compressed record batches of (doc, text)."""
+    """Documents of a chunk as compressed record batches of (doc, text), chunk after chunk in a task."""
 
     def chunk_of(doc, size, alike):
         first, n = ranges.get(alike, rest)
@@ -193,10 +199,11 @@ def _packed(df: DataFrame, ranges: dict, rest: tuple[int, int]) -> DataFrame:
             columns = list(zip(*out)) if out else [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary())], ["chunk", "docs"])
 
-    return df.mapInArrow(pack, PACKED).repartition("chunk")
+    first, n = rest
+    return df.mapInArrow(pack, PACKED).repartition(first + n, "chunk").sortWithinPartitions("chunk")
 
 
-def _unpacked(blob: bytes) -> Iterator[tuple[int | None, str]]:
+def _unpacked(blob) -> Iterator[tuple[int | None, str]]:
     for batch in pa.ipc.open_stream(blob):
         for doc, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             yield doc, (data or b"").decode("utf-8", "replace")
@@ -207,20 +214,24 @@ def _chunk_segments(packed: DataFrame, model: str) -> DataFrame:
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pattern = _segments(model)
-        words: dict[int, set[str]] = {}
-        for batch in batches:
-            for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("docs").to_pylist()):
-                known = words.setdefault(chunk, set())
-                for _, text in _unpacked(blob):
-                    known.update(_words(text))
-        for chunk in list(words):
+        current, words = None, set()
+
+        def done() -> Iterator[pa.RecordBatch]:
             found: set[str] = set()
-            for word in words.pop(chunk):
-                found.update(_cut(word, pattern))
-            listed = list(found)
-            for low in range(0, len(listed), 50_000):
-                part = listed[low : low + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(part), pa.int32()), pa.array(part, pa.string())], ["chunk", "segment"])
+            while words:
+                found.update(_cut(words.pop(), pattern))
+            while found:
+                part = [found.pop() for _ in range(min(len(found), 50_000))]
+                yield pa.RecordBatch.from_arrays([pa.array([current] * len(part), pa.int32()), pa.array(part, pa.string())], ["chunk", "segment"])
+
+        for batch in batches:
+            for chunk, blob in zip(batch.column("chunk"), batch.column("docs")):
+                if chunk.as_py() != current:
+                    yield from done()
+                    current = chunk.as_py()
+                for _, text in _unpacked(blob.as_buffer()):
+                    words.update(_words(text))
+        yield from done()
 
     return packed.mapInArrow(collect, "chunk int, segment string")
 
@@ -261,7 +272,13 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", alike: str |
         pattern = _segments(model)
         ids = known.column("ids").combine_chunks()
         ends, values = (4 * ids.offsets.to_numpy()).tolist(), ids.values.to_numpy().astype("<i4").tobytes()
-        code = {s: values[a:b] for s, a, b in zip(known.column("segment").to_pylist(), ends, ends[1:])}
+        numbers = memoryview(values).cast("i")
+        code: dict[str, bytes] = {}
+        lost: set[str] = set()  # segments that do not read back, and words that hold one
+        for segment, a, b in zip(known.column("segment").to_pylist(), ends, ends[1:]):
+            code[segment] = values[a:b]
+            if b"".join([spelled[i] for i in numbers[a // 4 : b // 4]]) != segment.replace(SPACE, " ").encode():
+                lost.add(segment)
         by_word: dict[str, bytes] = {}
         altered: set[str] = set()
         keys, encoded, whole = [], [], []
@@ -271,9 +288,9 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", alike: str |
                 for word in _words(content):
                     data = by_word.get(word)
                     if data is None:
-                        data = by_word[word] = b"".join([code[s] for s in _cut(word, pattern)])
-                        spoken = word if word[:2] == "  " else " " + word
-                        if decode_ids(memoryview(data).cast("i"), spelled) != spoken[1:]:
+                        cut = _cut(word, pattern)
+                        data = by_word[word] = b"".join([code[s] for s in cut])
+                        if lost and not lost.isdisjoint(cut):
                             altered.add(word)
                     out.append(data)
                 keys.append(doc)
