@@ -75,6 +75,14 @@ def _segments(path: str) -> re.Pattern:
     return re.compile(f"{SPACE}*(?:{letter}+|(?:(?!{letter})[^{SPACE}])+)|{SPACE}+")
 
 
+@cache
+def _letters_hold(path: str) -> bool:
+    """Whether a word of letters alone is one segment."""
+    pattern = _segments(path)
+    letters = {c for piece, _, _ in _model(path)[0] for c in piece if c.isalpha()}
+    return all(pattern.findall(f"{SPACE}a{c}a") == [f"{SPACE}a{c}a"] for c in letters)
+
+
 def _words(text: str) -> list[str]:
     """The space-separated words of a text. One space stands before each; more stay with it."""
     text = text.replace(SPACE, " ")
@@ -85,7 +93,9 @@ def _words(text: str) -> list[str]:
     return text.split(" ")
 
 
-def _cut(word: str, segments: re.Pattern) -> list[str]:
+def _cut(word: str, segments: re.Pattern, whole_letters: bool = False) -> list[str]:
+    if whole_letters and word.isalpha():
+        return [SPACE + word]
     whole = word if word[:2] == "  " else " " + word
     return segments.findall(whole.replace(" ", SPACE))
 
@@ -213,13 +223,13 @@ def _chunk_segments(packed: DataFrame, model: str) -> DataFrame:
     """chunk, segment: the distinct segments of each chunk."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern = _segments(model)
+        pattern, whole_letters = _segments(model), _letters_hold(model)
         current, words = None, set()
 
         def done() -> Iterator[pa.RecordBatch]:
             found: set[str] = set()
             while words:
-                found.update(_cut(words.pop(), pattern))
+                found.update(_cut(words.pop(), pattern, whole_letters))
             while found:
                 part = [found.pop() for _ in range(min(len(found), 50_000))]
                 yield pa.RecordBatch.from_arrays([pa.array([current] * len(part), pa.int32()), pa.array(part, pa.string())], ["chunk", "segment"])
@@ -269,7 +279,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", alike: str |
     known = found.select(F.explode("chunks").alias("part"), "segment", "ids")
 
     def look_up(docs: pa.Table, known: pa.Table) -> pa.Table:
-        pattern = _segments(model)
+        pattern, whole_letters = _segments(model), _letters_hold(model)
         ids = known.column("ids").combine_chunks()
         ends, values = (4 * ids.offsets.to_numpy()).tolist(), ids.values.to_numpy().astype("<i4").tobytes()
         numbers = memoryview(values).cast("i")
@@ -288,7 +298,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", alike: str |
                 for word in _words(content):
                     data = by_word.get(word)
                     if data is None:
-                        cut = _cut(word, pattern)
+                        cut = _cut(word, pattern, whole_letters)
                         data = by_word[word] = b"".join([code[s] for s in cut])
                         if lost and not lost.isdisjoint(cut):
                             altered.add(word)
