@@ -7,6 +7,7 @@ skipped if its root is.
 """
 
 import heapq
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -112,31 +113,35 @@ VECTORS = "dim int, shard int, vec_id long, vector array<double>"
 FOUND = "query_id long, vec_id long, score long"
 
 
-def integer_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def integer_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", copies: int = 1) -> DataFrame:
     """vec_id, vector: floor(256 * x) of every component, without rows that take no part.
 
-    Those have a null id, a null vector, or a null or non-finite component. Of rows that share an id
-    the smallest vector counts. The numbers are whole, and held as doubles.
+    Those have a null id, a null vector, or a null or non-finite component. Of rows that are the same in
+    both, ``copies`` stay at most: a list of as many best ones has no place for more. The
+    numbers are whole, and held as doubles.
     """
     grown = F.transform(F.col(vector), lambda x: F.rint(F.floor(x.cast("double") * 256).cast("double")))
     bad = F.exists(F.col(vector), lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
     rows = df.filter(F.col(key).isNotNull() & F.col(vector).isNotNull() & ~bad)
     rows = rows.select(F.col(key).cast("long").alias("vec_id"), grown.alias("vector"))
-    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    counted = rows.groupBy("vec_id", "vector").agg(F.least(F.count(F.lit(1)), F.lit(copies)).cast("int").alias("n"))
+    return counted.select("vec_id", "vector", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy")).drop("copy")
 
 
 def top_k(df: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id", vector: str = "embedding", shard_rows: int = SHARD_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` largest inner products of each query.
 
-    Queries are the vectors whose id is divisible by ``every``; all other vectors of the same
-    length are candidates, ties go to the smaller id, and fewer candidates give fewer rows.
+    Queries are the rows whose id is divisible by ``every``; all rows of other ids and the same
+    length are candidates, ties go to the smaller id, and fewer candidates give fewer rows. Every
+    row of a repeated id is a candidate of its own; where a query's id is repeated, its rows
+    share one list of the ``k`` best pairs.
     Scores beyond a long are cut to its range. An empty table gives an empty table.
     """
-    vectors, _ = staged(integer_vectors(df, key, vector), "vectors")
+    vectors, _ = staged(integer_vectors(df, key, vector, k), "vectors")
     sizes = vectors.groupBy(F.size("vector").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.select("dim", F.ceil(F.col("n") / shard_rows).cast("int").alias("shards"))
     dealt = vectors.withColumn("dim", F.size("vector")).join(sizes, "dim")
-    dealt = dealt.withColumn("shard", F.expr("CAST(pmod(xxhash64(vec_id), shards) AS INT)"))
+    dealt = dealt.withColumn("shard", F.expr("CAST(pmod(xxhash64(vec_id, vector), shards) AS INT)"))
     # One shard is one row of arrays from here on, of bounded size.
     rows = F.sort_array(F.collect_list(F.struct("vec_id", "vector")))
     shards = dealt.groupBy("dim", "shards", "shard").agg(rows.alias("rows"))
@@ -197,9 +202,9 @@ def top_k(df: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id", vecto
                 for i, query_id in enumerate(block.ids):
                     best = [(int(s), -int(v)) for s, v in zip(scores[i], found[i]) if v != _NONE]
                     heapq.heapify(best)
-                    known = set(best)
-                    best = tree.search(int(query_id), queries[i], bounds[i], k, best)
-                    out += [(int(query_id), -v, _score(s)) for s, v in best if (s, v) not in known]
+                    known = Counter(best)
+                    best = Counter(tree.search(int(query_id), queries[i], bounds[i], k, best))
+                    out += [(int(query_id), -v, _score(s)) for s, v in (best - known).elements()]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     keys = ("dim", "shard", "chunk")

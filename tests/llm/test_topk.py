@@ -8,17 +8,15 @@ KINDS = "vec_id long, embedding array<float>, label int, rank int"
 
 
 def plain(rows, k, every):
-    vectors = {}
+    """Every row of another id is a candidate; rows of a repeated query id share a list."""
+    vectors = []
     for i, v, *_ in rows:
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        whole = [math.floor(256 * float(np.float32(x))) for x in v]
-        vectors[i] = min(vectors.get(i, whole), whole)
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            vectors.append((i, [math.floor(256 * float(np.float32(x))) for x in v]))
     out = []
-    for q, v in vectors.items():
-        if q % every:
-            continue
-        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in vectors.items() if i != q and len(w) == len(v))
+    for q in {i for i, _ in vectors if i % every == 0}:
+        asked = [v for i, v in vectors if i == q]
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for v in asked for i, w in vectors if i != q and len(w) == len(v))
         out += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
@@ -41,6 +39,17 @@ def test_ties_and_one_very_common_vector(spark):
     assert found(spark, rows) == plain(rows, 5, 50)
 
 
+def test_every_row_of_a_repeated_id_counts(spark):
+    rows = [(1, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.5, 0.0]), (50, [1.0, 0.0])]
+    assert found(spark, rows) == plain(rows, 5, 50)
+    assert [r[2:] for r in found(spark, rows)] == [(1, 131_072), (1, 65_536), (2, 32_768)]
+    rng = np.random.default_rng(9)
+    rows = [(int(rng.integers(0, 40)) * 10, [float(x) for x in rng.integers(-2, 3, size=3) / 4]) for _ in range(500)]
+    rows += [(7, [0.5, 0.5, 0.5])] * 250 + [(100, [0.25, -0.5, 0.0])] * 40
+    assert found(spark, rows, shard_rows=32) == plain(rows, 5, 50)
+    assert found(spark, rows, k=9, every=20, shard_rows=4096) == plain(rows, 9, 20)
+
+
 def test_odd_vectors(spark):
     rows = [
         (0, [1.0, 2.0]), (50, [float("nan"), 1.0]), (100, [float("inf"), 1.0]), (150, None), (200, [None, 1.0]),
