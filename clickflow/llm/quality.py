@@ -9,6 +9,7 @@ import json
 import math
 import unicodedata
 from collections import Counter, defaultdict
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,8 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 # A word is common in a language from this share of the language's words on: at most 1,000 are.
 COMMON_SHARE = 0.001
-# A language of fewer words, in a table of any size, is compared with all languages together.
+# The words of a language of fewer, in a table of any size, say too little about shares of single
+# words. What counts there is how many of a text's words its other texts have too.
 LANGUAGE_WORDS = 5_000
 # References of languages with this share of all words are kept on the driver: at most 1,000
 # are. Those of the others are a written table, joined to their texts.
@@ -113,13 +115,25 @@ def word_limit(n: int, bins: int) -> float:
     return math.sqrt(WORD_DISTANCE**2 + bins / (8 * math.log(2) * n))
 
 
-def coverage_limit(n: int) -> float:
-    """The largest accepted coverage distance of a text of ``n`` words.
+def coverage_limit(n: int, reference: float = math.inf) -> float:
+    """The largest accepted coverage distance of a text of ``n`` words from a reference of so many.
 
     Common words and all others are two bins, so chance adds little even to 50 words; three
-    standard deviations of it are allowed for.
+    standard deviations of it, on both sides, are allowed for.
     """
-    return math.sqrt(WORD_DISTANCE**2 + 9 / (8 * math.log(2) * n))
+    return math.sqrt(WORD_DISTANCE**2 + 9 / (8 * math.log(2)) * (1 / n + 1 / reference))
+
+
+def coverage_distance(share: float, wanted: float) -> float:
+    """How far a text's share of known words is below the wanted one; none if it is not below."""
+    if share >= wanted:
+        return 0.0
+    return distance(np.array([share, 1 - share]), np.array([wanted, 1 - wanted]))
+
+
+def _scripts_merged(classes: np.ndarray) -> np.ndarray:
+    """Letters of every script and case as one class."""
+    return np.array([classes[:3].sum(), *classes[3:]])
 
 
 def _rows(batch, text_col, lang_col):
@@ -131,10 +145,12 @@ def _rows(batch, text_col, lang_col):
 def _by_language(batch, text_col, lang_col):
     words: dict = defaultdict(Counter)
     chars: dict = defaultdict(lambda: np.zeros(len(CLASSES), dtype=np.int64))
+    texts: Counter = Counter()
     for text, lang in _rows(batch, text_col, lang_col):
         words[lang].update(text.split())
         chars[lang] += char_classes(text)
-    return words, chars
+        texts[lang] += 1
+    return words, chars, texts
 
 
 def _counts(rows):
@@ -165,13 +181,13 @@ def _references(df: DataFrame, text: str, lang: str) -> tuple[dict, DataFrame |
 
     def candidates(batches):
         for batch in batches:
-            words, chars = _by_language(batch, text, lang)
+            words, chars, texts = _by_language(batch, text, lang)
             words[None] = _together(words)
             chars[None] = sum(chars.values(), np.zeros(len(CLASSES), dtype=np.int64))
             rows = []
             for name, counter in words.items():
                 total = counter.total()
-                rows.append((name, "words", b"", total))
+                rows += [(name, "words", b"", total), (name, "texts", b"", texts[name])]
                 rows += [(name, "class", str(i).encode(), n) for i, n in enumerate(chars[name])]
                 rows += [(name, "word", w, n) for w, n in counter.items() if n >= COMMON_SHARE / 2 * total]
             yield _counts(rows)
@@ -196,15 +212,21 @@ def _references(df: DataFrame, text: str, lang: str) -> tuple[dict, DataFrame |
     def exact(batches):
         for batch in batches:
             counters: dict = defaultdict(Counter)
+            having: dict = defaultdict(Counter)
             for t, name in _rows(batch, text, lang):
-                counters[name].update(t.split())
+                own = t.split()
+                counters[name].update(own)
+                if name not in wanted:
+                    having[name].update(set(own))
             counters[None] = _together(counters)
-            # Words of languages that are not kept on the driver are all counted.
+            # Words of languages that are not kept on the driver are all counted, and texts that have them.
             rows = [(name, "word", w, c[w]) for name, c in counters.items() for w in wanted.get(name, c) if c[w]]
+            rows += [(name, "having", w, n) for name, c in having.items() for w, n in c.items()]
             yield _counts(rows)
 
-    found = docs.mapInArrow(tidy(exact), _COUNTS).groupBy("lang", "key").agg(F.sum("n").alias("n"))
-    found, _ = staged(found, "word_counts")
+    every = docs.mapInArrow(tidy(exact), _COUNTS).groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
+    every, _ = staged(every, "word_counts")
+    found = every.filter("kind = 'word'")
     common = F.col("n") >= COMMON_SHARE * F.col("total")
     shares: dict = defaultdict(dict)
     for row in found.join(large, F.col("lang").eqNullSafe(F.col("name"))).filter(common).collect():
@@ -213,14 +235,19 @@ def _references(df: DataFrame, text: str, lang: str) -> tuple[dict, DataFrame |
         name: (dict(sorted(shares[name].items())), tuple(classes[name] / max(1, classes[name].sum())))
         for name in sizes
     }
-    if others.isEmpty():
+    small = counted.filter(f"kind = 'words' AND n > 0 AND n < {LANGUAGE_WORDS}").select("lang", F.col("n").alias("total"))
+    if others.isEmpty() and small.isEmpty():
         return held, None
     pairs = F.collect_list(F.struct("key", "n"))
     words = found.join(others, "lang").filter(common).groupBy("lang").agg(pairs.alias("words"))
     spread = counted.filter("kind = 'class'").join(others, "lang").groupBy("lang").agg(pairs.alias("classes"))
     more = others.join(spread, "lang").join(words, "lang", "left")
     more = more.select("lang", F.to_json(F.struct("total", "words", "classes")).alias("reference"))
-    return held, small_side(more, "language_references")
+    texts = counted.filter("kind = 'texts'").select("lang", F.col("n").alias("texts"))
+    shared = every.filter("kind = 'having' AND n > 1").join(small, "lang").groupBy("lang").agg(F.collect_list("key").alias("shared"))
+    few = small.join(texts, "lang").join(shared, "lang", "left")
+    few = few.select("lang", F.to_json(F.struct("total", "texts", "shared")).alias("reference"))
+    return held, small_side(more.unionByName(few), "language_references")
 
 
 def references(df: DataFrame, text: str = "text", lang: str = "lang") -> dict:
@@ -235,9 +262,20 @@ def references(df: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     return _references(df, text, lang)[0]
 
 
-def _reference_of(data: str) -> tuple:
+@dataclass(frozen=True)
+class Small:
+    """What is known of a small language: its number of words and texts, and the words that several texts have."""
+
+    total: int
+    texts: int
+    shared: frozenset
+
+
+def _reference_of(data: str) -> "tuple | Small":
     """A reference out of the table of them."""
     row = json.loads(data)
+    if "texts" in row:
+        return Small(row["total"], row["texts"], frozenset(map(base64.b64decode, row.get("shared", ()))))
     shares = {base64.b64decode(w["key"]): w["n"] / row["total"] for w in row.get("words", ())}
     classes = np.zeros(len(CLASSES))
     for c in row["classes"]:
@@ -264,18 +302,21 @@ def _judged(batch, text: str, lang: str, held: dict, cached: dict) -> list:
                     cached.clear()
                 cached[name] = _reference_of(more[i].as_py())
             reference = cached
-        rows.append(judge(data, name, reference))
+        rows.append(judge(data, name, reference, held.get(None)))
     return rows
 
 
-def judge(text: bytes, lang: str, reference: dict) -> tuple:
-    """The values of ``MEASURES`` for one text."""
+def judge(text: bytes, lang: str, reference: dict, together: tuple | None = None) -> tuple:
+    """The values of ``MEASURES`` for one text; ``together`` is the reference of all languages."""
     words = text.split()
     base = base_measures(text, words)
     n, failed = base[0], base[-1]
     if failed or not reference:
         return (*base, None, None, not failed)
-    shares, classes = reference[lang if lang in reference else None]
+    own_reference = reference.get(lang)
+    if own_reference is None or isinstance(own_reference, Small):
+        return (*base, *_judge_small(text, words, own_reference, together or reference[None]))
+    shares, classes = own_reference
     seen = char_classes(text)
     char_distance = distance(seen / seen.sum(), np.array(classes))
     counter = Counter(words)
@@ -284,25 +325,42 @@ def judge(text: bytes, lang: str, reference: dict) -> tuple:
     ref = np.array([*shares.values(), 0.0])
     ref[-1] = max(0.0, 1 - ref.sum())
     # A short text scatters over many bins, but hardly in how many of its words are common ones.
-    rest, ref_rest = own[-1] / n, ref[-1]
-    coverage = distance(np.array([1 - rest, rest]), np.array([1 - ref_rest, ref_rest]))
-    near = char_distance <= MAX_CHAR_DISTANCE and (rest <= ref_rest or coverage <= coverage_limit(n))
-    if lang not in reference:
-        # Which of all languages' common words a text has depends on its language.
-        return (*base, char_distance, coverage, near)
+    coverage = coverage_distance(1 - own[-1] / n, 1 - ref[-1])
+    near = char_distance <= MAX_CHAR_DISTANCE and coverage <= coverage_limit(n)
     word_distance = distance(own / n, ref)
     near = near and word_distance <= word_limit(n, len(shares))
     return (*base, char_distance, word_distance, near)
 
 
+def _judge_small(text: bytes, words: list, small: Small | None, together: tuple) -> tuple:
+    """char_distance, word_distance and kept of a text in a small language.
+
+    Its letters, digits and symbols are held against those of all languages, whatever its script. In
+    a language, texts have words in common: as large a share of words as common ones make up in
+    all languages, less what chance explains, should also be in other texts of its own, or
+    be common ones of all languages, as under a mistyped name. The only text of its language has no
+    others, and its words are not judged.
+    """
+    shares, classes = together
+    n, seen = len(words), char_classes(text)
+    char_distance = distance(_scripts_merged(seen) / seen.sum(), _scripts_merged(np.array(classes)))
+    wanted = sum(shares.values())
+    known = coverage_distance(sum(w in shares for w in words) / n, wanted)
+    near, word_distance = known <= coverage_limit(n), known
+    if small is not None and not near:
+        own = coverage_distance(sum(w in small.shared for w in words) / n, wanted)
+        word_distance = min(known, own)
+        near = small.texts < 2 or own <= coverage_limit(n, max(1, small.total - n))
+    return char_distance, word_distance, char_distance <= MAX_CHAR_DISTANCE and near
+
+
 def quality_measures(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """One row per input row: ``key`` and ``MEASURES``.
 
     Null text counts as empty, which fails the base rule; a null language is the language
     ''. Documents that fail the base rule have null
-    distances. Languages of fewer than ``LANGUAGE_WORDS`` words are compared with all languages
-    together, in character classes and in their share of common words, which is then
-    ``word_distance``. Repeated rows are each judged. Words are runs of anything but
+    distances. In languages of fewer than ``LANGUAGE_WORDS`` words ``word_distance`` is that of the
+    share of words that other texts have too, see ``_judge_small``. Repeated rows are each judged. Words are runs of anything but
     ASCII white space; bytes that are not UTF-8 count as one replacement character each run.
     """
     held, more = _references(df, text, lang)

@@ -96,7 +96,7 @@ def test_short_texts_of_another_language_go(documents):
 
 
 def test_small_languages_are_judged(documents, monkeypatch):
-    """Rare ones by a reference of their own, too rare ones by all languages together."""
+    """Rare ones by a reference of their own, too rare ones by their texts' common words and by all languages."""
     digits = " ".join(str(i * 7919) for i in range(100))
     gibberish = " ".join("".join(np.random.default_rng(i).choice(list("qxzjk"), 9)) for i in range(200))
     good = [(i, prose(i), "s", "en") for i in range(60)]
@@ -112,3 +112,39 @@ def test_small_languages_are_judged(documents, monkeypatch):
     assert sorted(r.doc_id for r in quality.quality_filter(df).collect()) == sorted(i for i, r in rows.items() if r.kept)
     monkeypatch.setattr(quality, "LANGUAGE_SHARE", 0.001)
     assert {r.doc_id: r for r in quality.quality_measures(df).collect()} == rows
+
+
+def sample(seed, n, mark, letters="abcdefghij"):
+    """32 % of the words are 80 common ones, the others are rare."""
+    rng = np.random.default_rng(seed)
+    return " ".join(f"{mark}c{letters[rng.integers(80) // 10]}{letters[rng.integers(10)]}" if rng.random() < 0.32 else mark + "".join(rng.choice(list(letters), 6)) for _ in range(n))
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 10, 40])
+@pytest.mark.parametrize("letters", ["abcdefghij", "абвгдежзик", "あいうえおかきくけこ"])
+def test_no_clean_text_goes_because_its_language_is_small(documents, count, letters):
+    large = [(i, sample(i, 400, "x"), "s", "en") for i in range(40)]
+    own = [(1000 + i, sample(1000 + i, (50, 80, 200)[i % 3], letters[3], letters), "s", "small") for i in range(count)]
+    rows = {r.doc_id: r for r in quality.quality_measures(documents(*large, *own)).collect()}
+    assert all(rows[i].kept for i, *_ in own)
+    assert all(rows[i].kept for i, *_ in large)
+
+
+def test_gibberish_and_symbols_in_a_small_language_go(documents):
+    large = [(i, sample(i, 400, "x"), "s", "en") for i in range(40)]
+    own = [(1000 + i, sample(1000 + i, 120, "y"), "s", "small") for i in range(10)]
+    gibberish = " ".join("".join(np.random.default_rng(i).choice(list("qxzjk"), 9)) for i in range(200))
+    digits = " ".join(str(i * 7919) for i in range(100))
+    symbols = " ".join("#$%&|"[i % 5] + "<>*"[i % 3] + "!" * (i % 47) for i in range(100))
+    odd = [(2000, gibberish, "s", "small"), (2001, digits, "s", "small"), (2002, symbols, "s", "small"), (2003, digits, "s", "alone")]
+    rows = {r.doc_id: r for r in quality.quality_measures(documents(*large, *own, *odd)).collect()}
+    assert not any(rows[i].base_failed for i, *_ in odd)
+    assert sorted(i for i, r in rows.items() if not r.kept) == [2000, 2001, 2002, 2003]
+
+
+def test_long_texts_and_clashing_names(documents):
+    rows = [(i, prose(i)) for i in range(30)] + [(50, " ".join(prose(100 + i, 2000) for i in range(40))), (51, "x" * 500_000)]
+    df = documents(*rows).withColumnsRenamed({"component": "__reference", "host": "n_words", "label": "kept"})
+    kept = quality.quality_filter(df.drop("__reference"))
+    assert kept.columns == [c for c in df.columns if c != "__reference"]
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(30), 50]
