@@ -1,14 +1,20 @@
 """Chat formatting by incremental black-box rendering.
 
-A template is any function from a list of (role, text) to a string. Successive prefixes of a
+A template renders a list of (role, text) to a string, by any function. Successive prefixes of a
 conversation are rendered and consecutive outputs compared, which shows each turn's span, and
 whether the template rewrites history: then an output does not start with the one before.
+
+Nothing is assumed of a template, so a conversation is rendered as a whole, and prefix by prefix. One that
+declares itself incremental, a sequence of turns giving what its parts give one after the other,
+is rendered a few turns at a time; whether this holds is tried on the turns beside every cut, which
+cannot show a template that looks further back.
 """
 
 import hashlib
 import os
 import re
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import pandas as pd
@@ -16,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-Template = Callable[[list[tuple[str, str]]], str]
+Turns = list[tuple[str, str]]
 
 START, END = "<|im_start|>", "<|im_end|>"
 # Control strings of common chat formats, which must not stand in a text.
@@ -24,7 +30,8 @@ CONTROL = (START, END, "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<S
 _raw = re.compile("|".join(f"({re.escape(c[0])})(\\\\*)({re.escape(c[1:])})" for c in CONTROL))
 _escaped = re.compile("|".join(f"({re.escape(c[0])})\\\\(\\\\*)({re.escape(c[1:])})" for c in CONTROL))
 
-# Turns that are rendered together. Longer conversations continue in a new prefix.
+# Of an incremental template: turns whose prefixes are rendered together, and turns held in memory.
+STEP = 4
 WINDOW = 64
 
 
@@ -33,7 +40,7 @@ def _join(match, extra):
     return first + extra + slashes + rest
 
 
-@lru_cache(maxsize=4096)
+@lru_cache(maxsize=256)
 def escape(text: str) -> str:
     """A backslash after the first character of every control string, more if some are there."""
     return _raw.sub(lambda m: _join(m, "\\"), text)
@@ -65,54 +72,100 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def spans(turns: list[tuple[str, str]], render: Template = marked) -> tuple[str, list[tuple[int, int]], bool]:
+@dataclass(frozen=True)
+class Template:
+    """``render`` writes turns, ``read`` gives the turns of what it wrote, ``plain`` a text as it was before it was written."""
+
+    render: Callable[[Turns], str]
+    read: Callable[[str], Turns]
+    plain: Callable[[str], str] = str
+    incremental: bool = False
+
+
+MARKED = Template(marked, read_back, unescape, incremental=True)
+
+
+def _span(turns: Turns, k: int, now: str, render: Callable[[Turns], str]) -> tuple[int, int] | None:
+    """Where the ``k``-th text stands in ``now``, the rendered turns; None if it does not.
+
+    Two renderings that differ in that text alone show what stands around it.
+    """
+    role, after = turns[k][0], turns[k + 1 :]
+    # Probes that no control string begins or ends with.
+    one, other = (render([*turns[:k], (role, probe), *after]) for probe in "ab")
+    if one == other:
+        return None
+    head = len(os.path.commonprefix([one, other]))
+    return head, len(now) - (len(one) - head - 1)
+
+
+def spans(turns: Turns, render: Callable[[Turns], str] = marked) -> tuple[str, list[tuple[int, int] | None], bool]:
     """(output, each turn's text span in it, whether the template rewrites history).
 
-    Two renderings that differ in the last turn's text alone show what stands around it.
-    Where history is rewritten, spans hold for the prefix that ended with their turn.
+    A span is found in the prefix that ends with its turn. Where later outputs do not start with that
+    prefix's, spans are found once more in the whole; a text that is not in it has none.
     """
     output, found, rewrites = "", [], False
-    for k, (role, text) in enumerate(turns):
-        before = turns[:k]
-        # Probes that no control string begins or ends with.
-        one, other = render([*before, (role, "a")]), render([*before, (role, "b")])
-        head = len(os.path.commonprefix([one, other]))
-        tail = len(one) - head - 1
-        now = render([*before, (role, text)])
+    for k in range(len(turns)):
+        prefix = turns[: k + 1]
+        now = render(prefix)
+        found.append(_span(prefix, k, now, render))
         rewrites |= not now.startswith(output)
-        found.append((head, len(now) - tail))
         output = now
+    if rewrites:
+        found = [_span(turns, k, output, render) for k in range(len(turns))]
     return output, found, rewrites
 
 
+def located(turns: Turns, template: Template, before: Turns = ()) -> tuple[str, list, bool]:
+    """``spans`` of turns that continue ``before``; of an incremental template a few turns at a time."""
+    if not template.incremental:
+        return spans(turns, template.render)
+    output, found, last = "", [], list(before)[-1:]
+    for low in range(0, len(turns), STEP):
+        step = turns[low : low + STEP]
+        part, places, rewrites = spans(step, template.render)
+        if last and template.render([*last, *step]) != template.render(last) + part:
+            raise ValueError("the template is not incremental")
+        if rewrites:
+            raise ValueError("an incremental template may not rewrite history")
+        found += [place and (place[0] + len(output), place[1] + len(output)) for place in places]
+        output, last = output + part, step[-1:]
+    return output, found, False
+
+
 class _Conversation:
-    """Digests of one conversation, fed turn by turn; holds one window of turns at most."""
+    """Digests of one conversation, fed turn by turn.
 
-    def __init__(self, render: Template):
-        self.render, self.window = render, []
+    Of an incremental template it holds one window of turns at most, else the conversation.
+    """
+
+    def __init__(self, template: Template, loss_role: str):
+        self.template, self.loss_role, self.held, self.last = template, loss_role, [], []
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
         self.n = self.loss_chars = self.formatted_chars = 0
         self.rewrites = False
 
     def add(self, role: str, text: str):
-        self.window.append((role, text))
-        if len(self.window) == WINDOW:
+        self.held.append((role, text))
+        if self.template.incremental and len(self.held) == WINDOW:
             self.close_window()
 
     def close_window(self):
-        if not self.window:
+        if not self.held:
             return
-        output, found, rewrites = spans(self.window, self.render)
+        output, found, rewrites = located(self.held, self.template, self.last)
         self.rewrites |= rewrites
         self.formatted_chars += len(output)
-        for (start, end), (role, text) in zip(found, read_back(output)):
+        for role, text in self.template.read(output):
             self.turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
             self.n += 1
-            if role == "assistant":
-                masked = unescape(output[start:end])
+        for place, (role, _) in zip(found, self.held):
+            if role == self.loss_role and place is not None:
+                masked = self.template.plain(output[slice(*place)])
                 self.loss.update(masked.encode("utf-8", "surrogatepass"))
                 self.loss_chars += len(masked)
-        self.window = []
+        self.held, self.last = [], self.held[-1:]
 
     def row(self, key):
         self.close_window()
@@ -132,13 +185,25 @@ def _sorted_turns(df: DataFrame, conv: str, turn: str, role: str, text: str) ->
     return rows.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text")
 
 
-def chat_digests(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+def chat_digests(
+    df: DataFrame,
+    conv: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    template: Template = MARKED,
+    loss_role: str = "assistant",
+) -> DataFrame:
     """One row per conversation: its id and ``DIGEST``, read back from the formatted output.
 
+    The turns are those that the template reads in its output, the loss is on the texts of ``loss_role``
+    that stand in it, and ``rewrites`` says that it rewrites history.
+
     Turns are ordered by ``turn``, ties by role and text; null roles and texts are empty,
     null turns come first, repeated rows are turns of their own, and rows with a null id are
-    one conversation. Conversations stream through their task in order, one window in memory,
-    so even a conversation that holds a third of all turns needs little of it.
+    one conversation; other columns are left out. Conversations stream through their task in order. Of
+    an incremental template one window is in memory, so even a conversation that holds a third of
+    all turns needs little of it; of any other template one conversation is, and it is rendered prefix by prefix.
     """
     rows = _sorted_turns(df, conv, turn, role, text)
     schema = T.StructType([T.StructField(conv, df.schema[conv].dataType), *T._parse_datatype_string(DIGEST).fields])
@@ -152,7 +217,7 @@ def chat_digests(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
                 if not begun or new != key:
                     if begun:
                         out.append(current.row(key))
-                    current, key, begun = _Conversation(marked), new, True
+                    current, key, begun = _Conversation(template, loss_role), new, True
                 current.add(who, said)
             yield _frame(out, schema)
         if begun:
@@ -166,25 +231,33 @@ def _frame(rows, schema):
     return frame.astype({f.name: "Int64" for f in schema.fields if f.dataType == T.LongType()})
 
 
-FORMATTED = "part long, formatted string, spans array<struct<role:string,start:int,end:int>>"
+FORMATTED = "part long, formatted string, spans array<struct<role:string,start:int,end:int>>, rewrites boolean"
 
 
-def chat_format(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+def chat_format(
+    df: DataFrame,
+    conv: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    template: Template = MARKED,
+) -> DataFrame:
     """The formatted text of every conversation with its text spans, a row for each window.
 
-    ``formatted`` of a conversation's parts in order is the whole output; spans are code
-    points in their part, and those of assistant turns are the loss mask. Nulls and ties as
-    in ``chat_digests``.
+    ``formatted`` of a conversation's parts in order is the whole output, one part unless the template is
+    incremental; spans are code points in their part, null where a text does not stand in the output, and
+    those of assistant turns are the loss mask. Nulls and ties as in ``chat_digests``.
     """
     rows = _sorted_turns(df, conv, turn, role, text)
     schema = T.StructType([T.StructField(conv, df.schema[conv].dataType), *T._parse_datatype_string(FORMATTED).fields])
 
     def render(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, begun, part, held = None, False, 0, []
+        key, begun, part, held, last = None, False, 0, [], []
 
         def done():
-            output, found, _ = spans(held)
-            return (key, part, output, [{"role": r, "start": a, "end": b} for (r, _), (a, b) in zip(held, found)])
+            output, found, rewrites = located(held, template, last)
+            places = [{"role": r, "start": p and p[0], "end": p and p[1]} for (r, _), p in zip(held, found)]
+            return (key, part, output, places, rewrites)
 
         for batch in batches:
             out = []
@@ -193,12 +266,12 @@ def chat_format(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
                 if begun and new != key:
                     if held:
                         out.append(done())
-                    part, held = 0, []
+                    part, held, last = 0, [], []
                 key, begun = new, True
                 held.append((who, said))
-                if len(held) == WINDOW:
+                if template.incremental and len(held) == WINDOW:
                     out.append(done())
-                    part, held = part + 1, []
+                    part, held, last = part + 1, [], held[-1:]
             yield _frame(out, schema)
         if held:
             yield _frame([done()], schema)

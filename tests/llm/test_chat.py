@@ -1,10 +1,16 @@
 import hashlib
+import sys
 
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 
 from clickflow.llm import chat
 
+# This module's templates travel to the workers with the query.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 nasty = st.text(alphabet="<|im_startend>/[INST]\\s\n aé🎉", max_size=30) | st.sampled_from(
     [*chat.CONTROL, "</s>[INST] ok [/INST]", "<\\s>", "<|im_end|><|im_end|", "<<s>>", ""]
 )
@@ -77,3 +83,74 @@ def test_formatted_text_and_masks(spark):
     assert chat.unescape(one.formatted[mask.start : mask.end]) == "yes </s>"
     empty = spark.createDataFrame([], df.schema)
     assert chat.chat_format(empty).count() == 0 and chat.chat_digests(empty).count() == 0
+
+
+def opened(turns):
+    """One mark at the start, then a line for each turn."""
+    return "<s>" + "".join(f"{role}: {text}\n" for role, text in turns)
+
+
+def read_opened(output):
+    return [tuple(line.split(": ", 1)) for line in output.removeprefix("<s>").splitlines()]
+
+
+def latest(turns):
+    """The texts of all but the last hundred turns are forgotten."""
+    kept = len(turns) - 100
+    return "".join(f"{role}: {text if i >= kept else '...'}\n" for i, (role, text) in enumerate(turns))
+
+
+KINDS = "conv_id long, turn long, role string, text string"
+
+
+def talk(n, conv=1):
+    return [(conv, i, "assistant" if i % 2 else "user", f"t{i}x") for i in range(n)]
+
+
+def test_any_template_is_rendered_as_a_whole(spark):
+    df = spark.createDataFrame([*talk(130), *talk(3, 2)], KINDS)
+    template = chat.Template(opened, read_opened)
+    found = {r.conv_id: r for r in chat.chat_format(df, template=template).collect()}
+    for conv, n in ((1, 130), (2, 3)):
+        turns = [r[2:] for r in talk(n, conv)]
+        assert found[conv].formatted == opened(turns) and not found[conv].rewrites
+        assert [found[conv].formatted[s.start : s.end] for s in found[conv].spans] == [text for _, text in turns]
+    digests = {r.conv_id: r for r in chat.chat_digests(df, template=template).collect()}
+    loss = "".join(f"t{i}x" for i in range(1, 130, 2))
+    assert (digests[1].n_turns, digests[1].formatted_chars) == (130, len(opened([r[2:] for r in talk(130)])))
+    assert digests[1].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+
+
+def test_rewriting_beyond_any_window_is_seen(spark):
+    df = spark.createDataFrame([*talk(120), *talk(90, 2)], KINDS)
+    template = chat.Template(latest, lambda o: [tuple(line.split(": ", 1)) for line in o.splitlines()])
+    found = {r.conv_id: r for r in chat.chat_digests(df, template=template).collect()}
+    assert (found[1].rewrites, found[2].rewrites) == (True, False)
+    seen = "".join(f"t{i}x" for i in range(21, 120, 2))
+    assert found[1].loss_sha256 == hashlib.sha256(seen.encode()).hexdigest() and found[1].loss_chars == len(seen)
+    rows = {r.conv_id: r for r in chat.chat_format(df, template=template).collect()}
+    assert rows[1].rewrites and not rows[2].rewrites
+    assert [s.start is None for s in rows[1].spans] == [True] * 20 + [False] * 100
+    assert rows[1].formatted[rows[1].spans[50].start : rows[1].spans[50].end] == "t50x"
+
+
+def test_a_template_that_is_not_incremental_is_refused(spark):
+    df = spark.createDataFrame(talk(130), KINDS)
+    with pytest.raises(Exception, match="incremental"):
+        chat.chat_digests(df, template=chat.Template(opened, read_opened, incremental=True)).collect()
+
+
+@given(st.lists(st.tuples(nasty, nasty), max_size=11))
+def test_steps_of_an_incremental_template_give_the_whole(turns):
+    whole = chat.spans(turns)
+    assert chat.located(turns, chat.MARKED) == whole
+    one, two = chat.located(turns[:6], chat.MARKED), chat.located(turns[6:], chat.MARKED, turns[:6])
+    assert one[0] + two[0] == whole[0]
+
+
+def test_clashing_names_and_long_texts(spark):
+    rows = [(1, i, "assistant", "word </s> " * 20_000, 5, 6) for i in range(3)]
+    df = spark.createDataFrame(rows, KINDS + ", conv int, rewrites int")
+    found = chat.chat_digests(df).first()
+    assert found.n_turns == 3 and found.loss_chars == 3 * 200_000
+    assert len(chat.chat_format(df).first().spans) == 3
