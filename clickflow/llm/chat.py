@@ -11,7 +11,6 @@ cannot show a template that looks further back.
 """
 
 import hashlib
-import os
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -30,6 +29,8 @@ CONTROL = (START, END, "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<S
 _raw = re.compile("|".join(f"({re.escape(c[0])})(\\\\*)({re.escape(c[1:])})" for c in CONTROL))
 _escaped = re.compile("|".join(f"({re.escape(c[0])})\\\\(\\\\*)({re.escape(c[1:])})" for c in CONTROL))
 
+_FIRST = sorted({c[0] for c in CONTROL})
+
 # Of an incremental template: turns whose prefixes are rendered together, and turns held in memory.
 STEP = 4
 WINDOW = 64
@@ -40,13 +41,22 @@ def _join(match, extra):
     return first + extra + slashes + rest
 
 
+def _may_hold(text: str) -> bool:
+    """Whether a control string can begin anywhere."""
+    return any(first in text for first in _FIRST)
+
+
 @lru_cache(maxsize=256)
 def escape(text: str) -> str:
     """A backslash after the first character of every control string, more if some are there."""
+    if not _may_hold(text):
+        return text
     return _raw.sub(lambda m: _join(m, "\\"), text)
 
 
 def unescape(text: str) -> str:
+    if not _may_hold(text):
+        return text
     return _escaped.sub(lambda m: _join(m, ""), text)
 
 
@@ -85,6 +95,18 @@ class Template:
 MARKED = Template(marked, read_back, unescape, incremental=True)
 
 
+def _common(one: str, other: str) -> int:
+    """How many characters two different strings have in common at their start."""
+    low, high = 0, min(len(one), len(other))
+    while high - low > 1:
+        middle = (low + high) // 2
+        if one[low:middle] == other[low:middle]:
+            low = middle
+        else:
+            high = middle
+    return low + (one[low:high] == other[low:high] and high > low)
+
+
 def _span(turns: Turns, k: int, now: str, render: Callable[[Turns], str]) -> tuple[int, int] | None:
     """Where the ``k``-th text stands in ``now``, the rendered turns; None if it does not.
 
@@ -95,7 +117,7 @@ def _span(turns: Turns, k: int, now: str, render: Callable[[Turns], str]) -> tup
     one, other = (render([*turns[:k], (role, probe), *after]) for probe in "ab")
     if one == other:
         return None
-    head = len(os.path.commonprefix([one, other]))
+    head = _common(one, other)
     return head, len(now) - (len(one) - head - 1)
 
 
