@@ -71,9 +71,24 @@ FROM turns GROUP BY conv_id
 def _url_filter() -> str:
     rules = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in url_filters.RULES)
     start = "(?s)^.*?://"
-    link = r"""(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>"""
-    href = r"""(?is)\shref\s*=\s*["'']?([^"''\s>]+)"""
-    moved = r"""(?is)<meta\b[^>]*http-equiv\s*=\s*["'']?refresh\b[^>]*content\s*=\s*["'']\s*\d+\s*;\s*url\s*=\s*([^"''>]+)"""
+    def quoted(pattern):
+        return pattern.replace("'", "''")
+
+    def attribute(name):
+        return " || ".join(f"regexp_extract(tag, '{quoted(url_filters.attribute_pattern(name))}', {group})" for group in (1, 2, 3))
+
+    def decoded(text):
+        for written, character in url_filters.ENTITIES:
+            text = f"regexp_replace({text}, '(?i){written}', '{quoted(character)}', 'g')"
+        return f"regexp_replace({text}, '^\\s+|\\s+$', '', 'g')"
+
+    def without_dots(path):
+        """Dot segments, up to eight that lead upwards."""
+        text = f"regexp_replace({path}, '/\\.(/|$)', '/', 'g')"
+        text = f"regexp_replace({text}, '/\\.(/|$)', '/', 'g')"
+        for _ in range(8):
+            text = f"regexp_replace({text}, '^/\\.\\.(/|$)|/[^/]+/\\.\\.(/|$)', '/')"
+        return text
 
     def host(url):
         return f"translate(regexp_extract({url}, '{start}([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -90,9 +105,29 @@ def _url_filter() -> str:
 
     return f"""
 WITH RECURSIVE rules(host, path, verdict) AS (VALUES {rules}),
-e AS (
-    SELECT url AS source, unnest([regexp_extract(regexp_extract(html, '{link}'), '{href}', 1), regexp_extract(html, '{moved}', 1)]) AS target FROM pages
-), edges AS (SELECT * FROM e WHERE contains(target, '://') AND source IS NOT NULL),
+tags AS (
+    SELECT url AS source, unnest(regexp_extract_all(html, '{url_filters.TAG}')) AS tag FROM pages WHERE url IS NOT NULL
+), written AS (
+    SELECT source, {decoded("written")} AS t FROM (
+        SELECT source, CASE
+            WHEN lower(tag[1:5]) = '<link' THEN CASE WHEN list_contains(regexp_split_to_array(lower({attribute("rel")}), '\\s+'), 'canonical') THEN {attribute("href")} ELSE '' END
+            WHEN lower(trim({attribute("http-equiv")})) = 'refresh' THEN regexp_extract({attribute("content")}, '{quoted(url_filters.REFRESH)}', 1)
+            ELSE '' END AS written
+        FROM tags)
+), parts AS (
+    SELECT source, t, regexp_extract(source, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1) AS scheme, regexp_extract(source, '{start}([^/?#]*)', 1) AS authority,
+           {path("source")} AS page, regexp_extract({path("source")}, '(?s)^(.*/)', 1) AS folder, regexp_extract(t, '(?s)^([^?#]*)', 1) AS p
+    FROM written
+), e AS (
+    SELECT source, CASE
+        WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
+        WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') OR t = '' OR starts_with(t, '#') OR scheme = '' OR authority = '' THEN NULL
+        WHEN starts_with(t, '//') THEN scheme || ':' || t
+        ELSE scheme || '://' || authority || CASE WHEN p = '' THEN page
+            ELSE {without_dots("CASE WHEN starts_with(p, '/') THEN p WHEN folder = '' THEN '/' || p ELSE folder || p END")} END || t[length(p) + 1:]
+        END AS target
+    FROM parts
+), edges AS (SELECT * FROM e WHERE target IS NOT NULL),
 forms AS (SELECT {form("source")} AS a, {form("target")} AS b FROM edges),
 two_way AS (SELECT a, b FROM forms WHERE a IS NOT NULL AND b IS NOT NULL UNION SELECT b, a FROM forms WHERE a IS NOT NULL AND b IS NOT NULL),
 reach(a, b) AS (SELECT a, a FROM two_way UNION SELECT r.a, x.b FROM reach r JOIN two_way x ON r.b = x.a),

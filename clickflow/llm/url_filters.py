@@ -54,17 +54,93 @@ def canonical(url: Column) -> Column:
     return F.when(host != "", F.concat(site, page, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise("")))
 
 
+# How the characters that urls need are written in attributes; & itself comes last.
+ENTITIES = (
+    ("&quot;|&#0*34;|&#x0*22;", '"'),
+    ("&apos;|&#0*39;|&#x0*27;", "'"),
+    ("&#0*47;|&#x0*2f;|&sol;", "/"),
+    ("&#0*58;|&#x0*3a;|&colon;", ":"),
+    ("&#0*61;|&#x0*3d;|&equals;", "="),
+    ("&#0*63;|&#x0*3f;|&quest;", "?"),
+    ("&amp;|&#0*38;|&#x0*26;", "&"),
+)
+TAG = r"(?is)<(?:link|meta)[\s/][^<>]*>"
+# What a refresh holds: a delay, then the target, with or without its name and quotes.
+REFRESH = r"""(?is)^\s*[0-9.]+\s*[;,\s]\s*(?:url\s*=\s*)?["']?([^"']*)"""
+
+
+def attribute_pattern(name: str) -> str:
+    """Groups 1 to 3 are the value in double quotes, in single quotes or in none."""
+    return rf"""(?is)[\s"'/]{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    return F.concat(*(F.regexp_extract(tag, attribute_pattern(name), group) for group in (1, 2, 3)))
+
+
+def _tag_target(tag: Column) -> Column:
+    """Where a link or meta tag leads; empty if it is no canonical link and no refresh."""
+    relations = F.split(F.lower(_attribute(tag, "rel")), r"\s+")
+    is_link = F.lower(F.substring(tag, 1, 5)) == "<link"
+    link = F.when(is_link & F.array_contains(relations, "canonical"), _attribute(tag, "href"))
+    is_refresh = ~is_link & (F.lower(F.trim(_attribute(tag, "http-equiv"))) == "refresh")
+    return F.coalesce(link, F.when(is_refresh, F.regexp_extract(_attribute(tag, "content"), REFRESH, 1)), F.lit(""))
+
+
+def _decoded(text: Column) -> Column:
+    for written, character in ENTITIES:
+        text = F.regexp_replace(text, f"(?i){written}", character)
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
+def _without_dots(path: Column) -> Column:
+    """A path without its ``.`` and ``..`` segments; it keeps a slash at its end."""
+    parts = F.split(path, "/")
+
+    def step(kept, part):
+        up = F.when(F.size(kept) > 1, F.slice(kept, 1, F.size(kept) - 1)).otherwise(kept)
+        return F.when(part == "..", up).when(part == ".", kept).otherwise(F.concat(kept, F.array(part)))
+
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    ends_open = path.rlike(r"/\.\.?$")
+    return F.concat(F.array_join(kept, "/"), F.when(ends_open, "/").otherwise(""))
+
+
+def resolved(target: Column, source: Column) -> Column:
+    """``target`` as a whole url, seen from the page ``source``.
+
+    Null if it has another kind of scheme, such as ``mailto:``, names the page itself, or is
+    relative to a page without a host.
+    """
+    scheme = F.regexp_extract(source, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1)
+    authority = F.regexp_extract(source, r"(?s)^.*?://([^/?#]*)", 1)
+    site = F.concat(scheme, F.lit("://"), authority)
+    folder = F.regexp_extract(path_of(source), r"(?s)^(.*/)", 1)
+    path = F.regexp_extract(target, r"(?s)^([^?#]*)", 1)
+    rest = F.substring(target, F.length(path) + 1, F.length(target))
+    whole = F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), path))
+    inside = F.concat(site, F.when(path == "", path_of(source)).otherwise(_without_dots(whole)), rest)
+    known = (scheme != "") & (authority != "")
+    return (
+        F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | (target == "") | F.startswith(target, F.lit("#")), None)
+        .when(known & F.startswith(target, F.lit("//")), F.concat(scheme, F.lit(":"), target))
+        .when(known, inside)
+    )
+
+
 def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """source, target: a page's canonical link and its immediate redirect, if it has any.
+    """source, target: a page's canonical links and refreshes, as whole urls.
 
-    Only absolute targets count. Null urls and null pages give no edge.
+    Attributes may stand in any order and quoting, with entities for the characters that urls
+    need; a target may be relative to the page. Null urls and null pages give no edge, and neither does
+    a target that ``resolved`` finds nothing for. A tag ends at its first ``>`` and holds no ``<``.
     """
-    attribute = r"""\shref\s*=\s*["']?([^"'\s>]+)"""
-    link = F.regexp_extract(html, r"""(?is)(<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>)""", 1)
-    moved = r"""(?is)<meta\b[^>]*http-equiv\s*=\s*["']?refresh\b[^>]*content\s*=\s*["']\s*\d+\s*;\s*url\s*=\s*([^"'>]+)"""
-    targets = F.array(F.regexp_extract(link, f"(?is){attribute}", 1), F.regexp_extract(html, moved, 1))
-    found = pages.select(F.col(url).alias("source"), F.explode(targets).alias("target"))
-    return found.filter(F.col("target").contains("://") & F.col("source").isNotNull())
+    tags = F.regexp_extract_all(F.col(html), F.lit(TAG), F.lit(0))
+    found = pages.filter(F.col(url).isNotNull()).select(F.col(url).alias("source"), F.explode(tags).alias("tag"))
+    found = found.select("source", _decoded(_tag_target(F.col("tag"))).alias("written"))
+    edges = found.select("source", resolved(F.col("written"), F.col("source")).alias("target"))
+    return edges.filter(F.col("target").isNotNull())
 
 
 def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:

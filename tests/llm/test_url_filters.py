@@ -73,6 +73,48 @@ def test_edges_of_pages(spark):
     assert sorted(map(tuple, url_filters.page_edges(df).collect())) == [("http://a.org", "http://b.org/x"), ("http://c.org", "http://d.org/")]
 
 
+def test_edges_in_every_writing(spark):
+    page = "http://a.org/dir/page?q=1#f"
+    writings = {
+        '<link rel="canonical" href="/x">': "http://a.org/x",
+        "<link rel=canonical href=//b.org/x>": "http://b.org/x",
+        '<META content="0;url=http://b.org/" http-equiv="refresh">': "http://b.org/",
+        """<meta http-equiv=refresh content="0;url='http://b.org/y'">""": "http://b.org/y",
+        """<meta http-equiv='Refresh' content='1.5; URL="http://b.org/z"'/>""": "http://b.org/z",
+        '<meta http-equiv="refresh" content="5, http://b.org/w">': "http://b.org/w",
+        '<link rel="alternate canonical" href="http://b.org/v">': "http://b.org/v",
+        '<link href="http://b.org/?a=1&amp;b=2" rel="canonical">': "http://b.org/?a=1&b=2",
+        '<link rel="canonical" href="http&#58;&#x2F;&#47;b.org/u">': "http://b.org/u",
+        '<link rel="canonical" href="next">': "http://a.org/dir/next",
+        '<link rel="canonical" href=" ../up/./on/.. ">': "http://a.org/up/",
+        '<link rel="canonical" href="/../../top">': "http://a.org/top",
+        '<link rel="canonical" href="?q=2">': "http://a.org/dir/page?q=2",
+        '<link rel="canonical"\n  href\n=\n"http://b.org/t">': "http://b.org/t",
+    }
+    none = [
+        '<link rel="canonical" href="#top">', '<link rel="canonical" href="">', '<link rel="canonical" href="mailto:a@b.c">',
+        '<link rel="canonically" href="http://b.org">', '<meta name="refresh" content="0;url=http://b.org">',
+        '<meta http-equiv="refresh" content="30">', '<linked rel="canonical" href="http://b.org">', '<link rel="canonical" href="/x"',
+    ]
+    rows = [(page, html) for html in [*writings, *none]]
+    rows += [("no host", '<link rel="canonical" href="/x">'), ("no host", '<link rel="canonical" href="http://b.org/s">')]
+    df = spark.createDataFrame(rows, "url string, html string")
+    found = [tuple(r) for r in url_filters.page_edges(df).collect()]
+    assert sorted(found) == sorted([(page, target) for target in writings.values()] + [("no host", "http://b.org/s")])
+    both = spark.createDataFrame([(page, "".join(writings))], df.schema)
+    assert sorted(r.target for r in url_filters.page_edges(both).collect()) == sorted(writings.values())
+
+
+def test_repeated_urls_long_pages_and_clashing_names(spark):
+    rules = (Rule("bad.org", "/", "block"),)
+    html = "x" * 1_000_000 + '<link rel="canonical" href="//bad.org/a">' + "<link " * 50_000
+    rows = [(1, "http://a.org/1", html), (1, "http://a.org/1", html), (None, "http://a.org/1", None), (2, "http://a.org/2", None)]
+    df = spark.createDataFrame([(*r, 5, "c", "v") for r in rows], "page_id long, url string, html string, labels int, component string, verdict string")
+    judged = url_filters.url_filter(df.drop("html"), url_filters.rule_table(spark, rules), url_filters.page_edges(df))
+    found = sorted((str(r.page_id), r["__verdict"], r.verdict) for r in judged.collect())
+    assert found == [("1", "block", "v"), ("1", "block", "v"), ("2", "allow", "v"), ("None", "block", "v")]
+
+
 def test_empty_tables(spark):
     assert verdicts(spark, []) == {}
 
