@@ -441,6 +441,10 @@ def sort_suffixes(around: DataFrame) -> DataFrame:
     return around.groupBy("bucket").applyInArrow(search, SPAN)
 
 
+# Texts of repeated ids, as written, that are ordered in one task.
+RANKED_BYTES = 16 << 20
+
+
 def numbered(df: DataFrame, key: str, text: str) -> DataFrame:
     """doc, copy, text: rows that share an id are numbered by text, all others are copy 0.
 
@@ -451,10 +455,25 @@ def numbered(df: DataFrame, key: str, text: str) -> DataFrame:
     several, _ = staged(several.select(F.col("doc").alias("d")), "repeated_ids")
     if several.isEmpty():
         return rows.select("doc", F.lit(0).alias("copy"), "text")
-    rank = F.row_number().over(Window.partitionBy("doc").orderBy("text"))
     single = rows.join(several, F.col("doc") == F.col("d"), "left_anti").select("doc", F.lit(0).alias("copy"), "text")
-    repeated = rows.join(several, F.col("doc") == F.col("d"), "left_semi").select("doc", rank.alias("copy"), "text")
-    return single.unionByName(staged(repeated, "repeated_rows")[0])
+    repeated, size = staged(rows.join(several, F.col("doc") == F.col("d"), "left_semi").select("doc", "text"), "repeated_rows")
+    return single.unionByName(_ranked(repeated, parts_for(size, RANKED_BYTES)))
+
+
+def _ranked(rows: DataFrame, parts: int) -> DataFrame:
+    """doc, copy, text: the rows of a doc numbered from 1 by text, however many they are.
+
+    Rows are dealt to ranges of (doc, text), equal ones by chance, and numbered inside each range; a doc's rows in
+    the ranges before are counted and added.
+    """
+    ranged = rows.withColumn("salt", F.rand(0)).repartitionByRange(parts, "doc", "text", "salt")
+    ranged, _ = staged(ranged.withColumn("range", F.spark_partition_id()), "ranged_rows")
+    counts = ranged.groupBy("doc", "range").agg(F.count(F.lit(1)).alias("n"))
+    earlier = F.sum("n").over(Window.partitionBy("doc").orderBy("range")) - F.col("n")
+    before, _ = staged(counts.select(F.col("doc").alias("d"), F.col("range").alias("r"), earlier.alias("before")), "rows_before")
+    inside = F.row_number().over(Window.partitionBy("doc", "range").orderBy("text", "salt"))
+    met = ranged.withColumn("inside", inside).join(before, (F.col("doc") == F.col("d")) & (F.col("range") == F.col("r")))
+    return staged(met.select("doc", (F.col("inside") + F.col("before")).cast("int").alias("copy"), "text"), "ranked_rows")[0]
 
 
 REMOVALS = "doc long, copy int, starts array<long>, ends array<long>"

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from clickflow.llm import suffix_dedup
 from clickflow.llm.suffix_dedup import LENGTH
@@ -106,3 +107,17 @@ def test_long_texts_cross_blocks(documents, monkeypatch):
 
 def test_empty_table(documents):
     assert found(documents, []) == []
+
+
+def test_rows_of_one_id_are_numbered_over_many_tasks(spark, documents, monkeypatch):
+    texts = [f"text {i % 37:02d}" for i in range(300)] + ["same"] * 200
+    rows = [(None if i % 3 else 5, t) for i, t in enumerate(texts)] + [(9, "alone"), (10, None)]
+    monkeypatch.setattr(suffix_dedup, "RANKED_BYTES", 400)
+    found = [(r.doc, r.copy, r.text) for r in suffix_dedup.numbered(documents(*rows), "doc_id", "text").select("doc", F.col("copy").alias("copy"), "text").collect()]
+    by = {}
+    for doc, copy, text in sorted(found):
+        by.setdefault(doc, []).append((copy, text))
+    assert by.pop(9) == [(0, "alone")] and by.pop(10) == [(0, "")]
+    for doc, own in ((-(2**63), [t for i, t in enumerate(texts) if i % 3]), (5, texts[::3])):
+        assert by.pop(doc) == list(enumerate(sorted(own), 1))
+    assert not by
