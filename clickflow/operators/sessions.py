@@ -122,12 +122,12 @@ def push_sessions(actions: DataFrame, sessions: DataFrame, most: int = PUSHED_SE
 
     For use before ``actions_of``, which decides what is kept. On a table that ``write_actions`` has
     laid out the scan then skips files and pages without these sessions. ``sessions`` is read
-    once, so it should be staged; no more than ``most`` ids, and one, come to the driver.
+    once, so it should be staged; no more than ``most`` of its rows, and one, come to the driver.
     """
-    ids = [row.session_id for row in sessions.select("session_id").distinct().limit(most + 1).collect()]
-    ids = sorted(i for i in ids if i is not None)
-    if len(ids) > most:
+    rows = sessions.select("session_id").limit(most + 1).collect()
+    if len(rows) > most:
         return actions
+    ids = sorted({row.session_id for row in rows} - {None})
     groups = [F.col("session_id").isin(ids[at : at + PUSHED_AT_ONCE]) for at in range(0, len(ids), PUSHED_AT_ONCE)]
     while len(groups) > 1:  # paired, so that the condition is not as deep as it is long
         groups = [reduce(or_, groups[at : at + 2]) for at in range(0, len(groups), 2)]
