@@ -2,14 +2,16 @@
 
 Texts are cut where no piece can reach across; the distinct segments are exploded into
 substrings of bounded length, joined with the piece table, grouped to one lattice a segment, and the
-best path is a fold over its edges. Each chunk of documents then looks its segments up.
+best paths are a fold over the edges of many segments together. Each chunk of documents then looks its segments up.
 """
 
 import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
@@ -24,7 +26,7 @@ SPACE = "▁"
 CHUNK_BYTES = 40 << 20
 # Texts that agree in a column get chunks of their own from this share of all bytes on: at most 1,000 values do.
 OWN_SHARE = 0.001
-# Text whose distinct segments make one task's lattices: they are some fifty times their segments' size.
+# Text whose distinct segments make one task's lattices: they are some twenty times their segments' size.
 LATTICE_BYTES = 3 << 20
 # What an unknown character scores below the worst piece.
 UNKNOWN_PENALTY = 10.0
@@ -100,8 +102,8 @@ def _cut(word: str, segments: re.Pattern, whole_letters: bool = False) -> list[s
     return segments.findall(whole.replace(" ", SPACE))
 
 
-def lattice(segments: DataFrame, pieces: DataFrame, most: int, unknown_score: float) -> DataFrame:
-    """Every edge of every segment: ``segment``, its columns, start, end, id, score.
+def lattice(segments: DataFrame, pieces: DataFrame, most: int) -> DataFrame:
+    """Every edge of every segment: ``segment``, its columns, start, end, id.
 
     Substrings of at most ``most`` characters meet the pieces in an equi-join on a 64-bit hash, a far
     quicker key than text, and then have to be equal; the pieces' own hashes all differ. A
@@ -112,46 +114,79 @@ def lattice(segments: DataFrame, pieces: DataFrame, most: int, unknown_score: fl
     starts = segments.withColumn("size", F.length("segment")).withColumn("start", F.explode(F.sequence(F.lit(0), F.col("size") - 1)))
     spans = starts.withColumn("span", F.explode(F.sequence(F.lit(1), F.least(F.lit(most), F.col("size") - F.col("start")))))
     named = spans.withColumn("part", F.substring("segment", F.col("start") + 1, F.col("span")))
-    hashed = pieces.select("piece", F.xxhash64("piece").alias("hash"), F.col("id").alias("piece_id"), F.col("score").alias("piece_score"))
+    hashed = pieces.select("piece", F.xxhash64("piece").alias("hash"), F.col("id").alias("piece_id"))
     met = named.withColumn("hash", F.xxhash64("part")).join(hashed, "hash", "left")
-    same = F.col("part") == F.col("piece")
-    met = met.withColumns({"id": F.when(same, F.col("piece_id")), "score": F.when(same, F.col("piece_score")).otherwise(unknown_score)})
+    met = met.withColumn("id", F.when(F.col("part") == F.col("piece"), F.col("piece_id")))
     edges = met.filter("id IS NOT NULL OR span = 1").withColumn("end", F.col("start") + F.col("span"))
-    return edges.drop("part", "hash", "piece", "piece_id", "piece_score", "span", "size")
+    return edges.drop("part", "hash", "piece", "piece_id", "span", "size")
 
 
-def best_paths(edges: DataFrame, carried: str) -> DataFrame:
+@cache
+def _piece_edges(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """(length, score) of the edge of every id, at its id + 1; at 0 those of an unknown character."""
+    ordinary, _, spelled, _ = _model(path)
+    lengths, scores = np.ones(len(spelled) + 1, np.int64), np.zeros(len(spelled) + 1)
+    for piece, i, score in ordinary:
+        lengths[i + 1], scores[i + 1] = len(piece), score
+    scores[0] = min(score for _, _, score in ordinary) - UNKNOWN_PENALTY
+    return lengths, scores
+
+
+def _best_edges(which: np.ndarray, start: np.ndarray, end: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """Numbers of the edges on the best path of every segment, segment after segment, by start.
+
+    Edges are from ``start`` to ``end`` in segment ``which``. The best score of every place is
+    folded over the edges by their ends, for all segments together. Of equal scores the longer
+    last piece wins.
+    """
+    order = np.lexsort((start, which, end))
+    which, start, end, score = (values[order] for values in (which, start, end, score))
+    sizes = np.zeros(which.max(initial=-1) + 1, np.int64)
+    sizes[which] = end  # the last value assigned stays, here the greatest
+    # A place stands before each character of a segment and one at its end; edges lead from place to place.
+    first = np.cumsum(sizes + 1) - sizes - 1
+    source, target = first[which] + start, first[which] + end
+    best, last = np.zeros(len(sizes) + sizes.sum()), np.zeros(len(sizes) + sizes.sum(), np.int64)
+    for a, b in pairwise([*np.flatnonzero(np.diff(end, prepend=-1)).tolist(), len(end)]):
+        ways, places = best[source[a:b]] + score[a:b], target[a:b]
+        new = np.flatnonzero(np.diff(places, prepend=-1))
+        top = np.maximum.reduceat(ways, new)
+        best[places[new]] = top
+        won = np.flatnonzero(ways == np.repeat(top, np.diff(new, append=b - a)))[::-1]
+        last[places[won]] = a + won  # of equal ways the one with the smallest start is assigned last
+    at, taken = first + sizes, [np.zeros(0, np.int64)]
+    while len(at):
+        taken.append(last[at])
+        at = source[taken[-1][start[taken[-1]] > 0]]
+    path = np.concatenate(taken)
+    return order[path[np.argsort(source[path])]]
+
+
+def best_paths(edges: DataFrame, carried: str, model: str) -> DataFrame:
     """segment, ``carried``, path: the (start, id) of the edges of the best path, in order.
 
-    The best score of every place is folded over the edges by their ends. Of equal scores the
-    longer last piece wins. ``carried`` stands on one edge of each segment.
+    ``carried`` stands on one edge of each segment.
     """
-    edge = F.struct("end", "start", "score", "id")
-    grouped = edges.groupBy("number", "segment").agg(F.sort_array(F.collect_list(edge)).alias("edges"), F.first(carried, ignorenulls=True).alias(carried))
-    # The best way to a place: its score, minus its last edge's start, and that edge's id. Of
-    # two ways the greater one is better.
-    kind = "struct<score:double,back:int,id:int>"
-    none = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(None).cast("int").alias("id")).cast(kind)
-    begin = F.struct(F.array().cast(f"array<{kind}>").alias("done"), none.alias("here"), F.lit(0).alias("end"))
-
-    def extend(s, e):
-        before = F.when(e["start"] == s["end"], s["here"]["score"]).otherwise(F.get(s["done"], e["start"])["score"])
-        way = F.struct((before + e["score"]).alias("score"), (-e["start"]).alias("back"), e["id"].alias("id"))
-        same = F.struct(s["done"].alias("done"), F.greatest(s["here"], way).alias("here"), s["end"].alias("end"))
-        new = F.struct(F.concat(s["done"], F.array(s["here"])).alias("done"), way.alias("here"), e["end"].alias("end"))
-        return F.when(s["end"] == e["end"], same).otherwise(new)
-
-    best = F.aggregate("edges", begin, extend, lambda s: F.concat(s["done"], F.array(s["here"])))
-    state = F.struct(F.length("segment").alias("at"), F.array().cast("array<struct<start:int,id:int>>").alias("path"))
-
-    def back(s, at):
-        e = F.get(F.col("best"), at)
-        step = F.struct((-e["back"]).alias("start"), e["id"].alias("id"))
-        return F.when(s["at"] == at, F.struct((-e["back"]).alias("at"), F.concat(F.array(step), s["path"]).alias("path"))).otherwise(s)
-
-    places = F.sequence(F.length("segment"), F.lit(1), F.lit(-1))
-    path = F.aggregate(places, state, back, lambda s: s["path"])
-    return grouped.select("segment", carried, best.alias("best")).select("segment", carried, path.alias("path"))
+    # An edge is one number to group and to send: its start, and its id + 1 or 0.
+    edge = F.shiftleft(F.col("start").cast("long"), 32) + F.coalesce(F.col("id") + 1, F.lit(0))
+    grouped = edges.groupBy("number", "segment").agg(F.collect_list(edge).alias("edges"), F.first(carried, ignorenulls=True).alias(carried))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lengths, scores = _piece_edges(model)
+        for batch in batches:
+            lists = batch.column("edges")
+            packed = lists.flatten().to_numpy()
+            which = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            start, place = packed >> 32, packed & 0xFFFFFFFF
+            path = _best_edges(which, start, start + lengths[place], scores[place])
+            ids = pa.array(place[path] - 1, pa.int32(), mask=place[path] == 0)
+            steps = pa.StructArray.from_arrays([pa.array(start[path], pa.int32()), ids], ["start", "id"])
+            ends = np.cumsum(np.bincount(which[path], minlength=len(lists)))
+            paths = pa.ListArray.from_arrays(pa.array([0, *ends.tolist()], pa.int32()), steps)
+            yield pa.RecordBatch.from_arrays([batch.column("segment"), batch.column(carried), paths], ["segment", carried, "path"])
+
+    kind = f"segment string, {carried} {edges.schema[carried].dataType.simpleString()}, path array<struct<start:int,id:int>>"
+    return grouped.select("segment", carried, "edges").mapInArrow(fold, kind)
 
 
 def codes(paths: DataFrame, byte_ids: dict[int, int], unknown: int) -> DataFrame:
@@ -263,9 +298,8 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", alike: str |
     spark = df.sparkSession
     ordinary, byte_ids, spelled, unknown = _model(model)
     most = max(len(piece) for piece, _, _ in ordinary)
-    worst = min(score for _, _, score in ordinary) - UNKNOWN_PENALTY
     # The table is the model's, not the data's; its size is checked like any other.
-    table = small_side(spark.createDataFrame(ordinary, "piece string, id int, score double"), "pieces")
+    table = small_side(spark.createDataFrame([piece[:2] for piece in ordinary], "piece string, id int"), "pieces")
     group = F.lit(None).cast("string") if alike is None else F.col(alike).cast("string")
     docs = df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"), group.alias("alike"))
     ranges, rest = _chunk_ranges(docs)
@@ -273,9 +307,9 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", alike: str |
     size = sum(n for _, n in (*ranges.values(), rest)) * CHUNK_BYTES
     # A segment's list of chunks stays in one cell: at most one small number for each chunk.
     segments = _chunk_segments(packed, model).repartition(parts_for(size, LATTICE_BYTES), "segment").groupBy("segment").agg(F.collect_list("chunk").alias("chunks"))
-    edges = lattice(segments, table, most, worst)
+    edges = lattice(segments, table, most)
     once = F.when((F.col("start") == 0) & (F.col("end") == 1), F.col("chunks"))
-    found = codes(best_paths(edges.withColumn("chunks", once), "chunks"), byte_ids, unknown)
+    found = codes(best_paths(edges.withColumn("chunks", once), "chunks", model), byte_ids, unknown)
     known = found.select(F.explode("chunks").alias("part"), "segment", "ids")
 
     def look_up(docs: pa.Table, known: pa.Table) -> pa.Table:

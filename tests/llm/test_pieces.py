@@ -1,5 +1,8 @@
+import contextlib
+import io
 import random
 
+import numpy as np
 import pytest
 
 from clickflow.llm import pieces
@@ -83,3 +86,31 @@ def test_decoding(spark):
 
 def test_empty_table(documents):
     assert encoded(documents, []) == []
+
+
+def test_best_edges_of_many_segments_together():
+    rng = random.Random(3)
+    edges, expected = [], []
+    for which, size in enumerate([1, 7, 2, 40, 1, 12, 7]):
+        best = [(0.0, [])]
+        for end in range(1, size + 1):
+            starts = [s for s in range(max(0, end - 5), end) if s == end - 1 or rng.random() < 0.5]
+            own = [(which, s, end, float(-rng.randint(1, 3))) for s in starts]
+            edges += own
+            # Few different scores: many ways are equal, and the longest last edge wins.
+            best.append(max(((best[e[1]][0] + e[3], [*best[e[1]][1], e]) for e in own), key=lambda way: (way[0], -way[1][-1][1])))
+        expected += best[-1][1]
+    rng.shuffle(edges)
+    which, start, end, score = (np.array(column) for column in zip(*edges))
+    assert [edges[i] for i in pieces._best_edges(which, start, end, score)] == expected
+    assert len(pieces._best_edges(*(np.zeros(0, np.int64),) * 4)) == 0
+
+
+def test_more_segments_than_a_batch_holds_and_no_fold_row_by_row(documents):
+    rng = random.Random(4)
+    rows = [(i, " ".join("".join(rng.choice("abcdeiounrst\u00e9\U0001f389") for _ in range(rng.randint(1, 14))) for _ in range(60))) for i in range(50)]
+    found = pieces.encode(documents(*rows))
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        found.explain()
+    assert "aggregate(" not in plan.getvalue()
+    assert {r.doc_id: list(r.ids) for r in found.collect()} == {doc: plain(text) for doc, text in rows}
