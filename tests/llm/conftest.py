@@ -1,7 +1,12 @@
 import pytest
+from hypothesis import settings
 
 from clickflow.llm.common import ship
 
+# Examples have no time limit: one that reads a vocabulary file takes 0.2 s or more on a slow machine.
+settings.register_profile("untimed", deadline=None)
+settings.load_profile("untimed")
+
 
 @pytest.fixture(autouse=True)
 def shipped(spark):
